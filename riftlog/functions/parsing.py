@@ -25,8 +25,8 @@ def line_matches(line: Column) -> Column:
 
 
 def line_fields(line: Column) -> Column:
-    """The captured groups as an array, or a shorter array when the line does
-    not match.
+    """The captured groups as an array, or an array of one when the line does not
+    match.
 
     One regex pass writes all groups behind a marker that is then split; a line
     that itself holds the marker takes the slower way of one pass per group."""
@@ -39,19 +39,26 @@ def line_fields(line: Column) -> Column:
     return F.when(F.contains(line, F.lit(_MARK)), per_group).otherwise(one_pass)
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are costly to compute. As the output of a generator they
+    are not merged into the filters and projections that use them, which would
+    compute them again in each place."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(made)))
+
+
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines that match become typed columns beside the other columns of
     ``lines``; lines that do not match are left out (see ``rejected_lines``)."""
     others = [c for c in lines.columns if c != line]
-    split_up = lines.filter(line_matches(F.col(line))).select(
-        *others, line_fields(F.col(line)).alias("_f")
-    )
-    at = {name: F.get(F.col("_f"), i) for i, name in enumerate(LINE_FIELDS)}
+    split_up = computed_once(lines, _f=line_fields(F.col(line))).filter(F.size("_f") == _N)
+    at = {name: F.get(F.col("_f"), F.lit(i)) for i, name in enumerate(LINE_FIELDS)}
     return split_up.select(
         *others,
         at["source"].alias("source"),
         at["timestamp"].alias("timestamp"),
-        F.expr(f"try_cast(_f[{LINE_FIELDS.index('pid')}] as bigint)").alias("pid"),
+        at["pid"].try_cast("bigint").alias("pid"),
         at["level"].alias("level"),
         at["component"].alias("component"),
         F.nullif(at["request_id"], F.lit("")).alias("request_id"),

@@ -16,7 +16,7 @@ from riftlog.config import (
     FOREST_CONTAMINATION, FOREST_SAMPLES, FOREST_SEED, FOREST_TREES, FOREST_TRIALS,
 )
 from riftlog.functions.vectors import dense_rows, used_columns
-from riftlog.operators.kmeans import feature_column
+from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.quantiles import exact_quantile
 from riftlog.operators.runs import best_run
 
@@ -109,7 +109,7 @@ class Forest:
         def sparse(x: pd.DataFrame) -> pd.Series:
             return reader.scores(x, wanted)
 
-        out = sparse(F.col(features.name)) if hasattr(features, "name") else dense(features)
+        out = sparse(F.col(features.name)) if isinstance(features, SparseColumn) else dense(features)
         return out if n_trees else F.element_at(out, 1)
 
 
@@ -324,7 +324,7 @@ def search_forest(
                 data, dim, row_id, features, max(counts), samples, seed, n_rows
             )
             forests[samples] = forest
-                    scored = data.select(
+            scored = data.select(
                 forest.score(feature_column(data, features), counts).alias("_s")
             ).select(*[F.col("_s")[i].alias(f"s{i}") for i in range(len(group))]).persist()
             means = scored.agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in range(len(group))]).first()

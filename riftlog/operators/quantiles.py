@@ -11,8 +11,8 @@ def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = ACCURAC
     """The ``p`` quantile with linear interpolation, as a one-row subquery.
 
     A sketch of fixed size gives two values that are sure to enclose the wanted
-    rank, since its rank error is at most 1 / ``accuracy``. Only values between
-    them are then counted one by one."""
+    rank, since its rank error is at most 1 / ``accuracy`` of the rows. Only values
+    between them are then counted one by one."""
     x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
     slack = 3.0 / accuracy
     bounds = x.agg(
@@ -29,17 +29,28 @@ def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = ACCURAC
         ).alias("b")
     )
     marked = x.withColumn("b", bounds.scalar())
-    # Values below the bracket fold into one row, those above are not needed.
-    counted = (
-        marked.filter(F.col("x") <= F.col("b.hi"))
-        .select(F.when(F.col("x") >= F.col("b.lo"), F.col("x")).alias("x"), "b.n")
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    # Values below the bracket fold into one row that keeps their largest, values
+    # above into one that keeps their smallest: the ranks next to the bracket.
+    zone = (
+        F.when(F.col("x") < F.col("b.lo"), 0).when(F.col("x") <= F.col("b.hi"), 1).otherwise(2)
     )
-    until = Window.orderBy(F.asc_nulls_first("x")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    ranked = (
+        marked.select(zone.alias("zone"), "x", "b.n")
+        .groupBy("zone", F.when(F.col("zone") == 1, F.col("x")).alias("v"))
+        .agg(
+            F.count(F.lit(1)).alias("c"),
+            F.max("n").alias("n"),
+            F.when(F.col("zone") == 0, F.max("x")).otherwise(F.min("x")).alias("x"),
+        )
+        .withColumn(
+            "upto",
+            F.sum("c").over(
+                Window.orderBy("zone", "v").rowsBetween(
+                    Window.unboundedPreceding, Window.currentRow
+                )
+            ),
+        )
     )
-    ranked = counted.withColumn("upto", F.sum("c").over(until)).filter(F.col("x").isNotNull())
     at = (F.col("n") - 1) * F.lit(p)
     low, high = F.floor(at), F.ceil(at)
     return (

@@ -57,8 +57,8 @@ def early_stop(losses: DataFrame, patience: int = PATIENCE, epoch: str = "epoch"
     ``best_epoch`` the epoch whose weights are kept.
 
     ``losses`` has one row per epoch of one run."""
-    upto = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.orderBy("e").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("e").rowsBetween(Window.unboundedPreceding, -1)
     marked = losses.select(F.col(epoch).alias("e"), F.col(loss).alias("l")).withColumn(
         "new", F.coalesce(F.col("l") < F.min("l").over(before), F.lit(True))
     )

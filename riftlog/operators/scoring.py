@@ -7,13 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from riftlog.config import DISTANCE_THRESHOLD, WINDOW_LINES
-from riftlog.functions.tokens import shape_of
 from riftlog.operators.autoencoder import Network, with_latent
 from riftlog.operators.features import TfIdf
 from riftlog.operators.iforest import Forest, decide, keep_windows
 from riftlog.operators.kmeans import Centroids, assign_clusters, flag_far
 from riftlog.operators.lookups import lookup_join
-from riftlog.operators.templates import LEAF, distinct_shapes, match_shapes
+from riftlog.operators.templates import LEAF, distinct_shapes, match_shapes, with_shape
 from riftlog.operators.windows import joined, sliding_windows
 from riftlog.session import settle
 
@@ -51,7 +50,7 @@ def with_unit(
         return lines.withColumn("unit", F.col(line))
     if unit != "template":
         raise ValueError(f"unit must be line or template, not {unit!r}")
-    shaped = lines.withColumn("shape", shape_of(F.col(line)))
+    shaped = with_shape(lines, line)
     if templates is None:
         return shaped.withColumnRenamed("shape", "unit")
     found = settle(

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from riftlog.config import KEY_PREFIX, SIMILARITY, UNMAPPED, WILDCARD
+from riftlog.functions.parsing import computed_once
 from riftlog.functions.tokens import first_token, shape_of, token_count
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.positions import BLOCK_ROWS, with_positions
@@ -26,12 +27,12 @@ PIECE_TOKENS = 4_000_000
 
 _MINED = (
     "n_tokens int, first_token string, template string, first_line_no bigint, "
-    "version int, is_current boolean, n_rows bigint"
+    "since_line_no bigint, version int, is_current boolean, n_rows bigint"
 )
 
 
 def with_shape(rows: DataFrame, message: str = "message") -> DataFrame:
-    return rows.withColumn("shape", shape_of(F.col(message)))
+    return computed_once(rows, shape=shape_of(F.col(message)))
 
 
 def distinct_shapes(rows: DataFrame, order: str = "line_no") -> DataFrame:
@@ -128,13 +129,18 @@ def _mine_piece(similarity: float):
             version[p] = version.get(p, 0) + 1
             out.append((" ".join(vocabulary[state[p]]), int(lines[i]), version[p], p))
         rows = np.bincount(place, weights=pdf["n_rows"].to_numpy(), minlength=len(templates))
-        res = pd.DataFrame(out, columns=["template", "first_line_no", "version", "_p"])
+        first = pd.Series(lines).groupby(place).min()
+        res = pd.DataFrame(out, columns=["template", "since_line_no", "version", "_p"])
+        res["first_line_no"] = first[res["_p"]].to_numpy()
         res["is_current"] = res["version"] == res["_p"].map(version)
         res["n_rows"] = rows[res["_p"].to_numpy()].astype(np.int64)
         res["n_tokens"] = pdf["n_tokens"].iloc[0]
         res["first_token"] = pdf["first_token"].iloc[0]
         return res[
-            ["n_tokens", "first_token", "template", "first_line_no", "version", "is_current", "n_rows"]
+            [
+                "n_tokens", "first_token", "template", "first_line_no", "since_line_no", "version",
+                "is_current", "n_rows",
+            ]
         ]
 
     return mine
@@ -147,15 +153,18 @@ def mine_versions(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Mine templates from distinct shapes. Every version a template went through
-    is a row; ``is_current`` marks the last. ``n_rows`` counts the input rows of
-    the template.
+    is a row, from the line that brought it about; ``is_current`` marks the last.
+    ``first_line_no`` is where the template first appeared, and ``n_rows`` counts
+    its input rows.
 
     A leaf with one shape is its own template and never leaves the JVM. A leaf of
     up to ``piece_tokens`` tokens is mined in one go, in order of appearance. A
     larger one is cut into pieces in that order, and the templates of the pieces
     are mined again until the leaf fits or no round makes it smaller by a tenth."""
     per_piece = F.greatest(F.floor(F.lit(piece_tokens) / F.col("n_tokens")), F.lit(2))
-    columns = [*LEAF, "template", "first_line_no", "version", "is_current", "n_rows"]
+    columns = [
+        *LEAF, "template", "first_line_no", "since_line_no", "version", "is_current", "n_rows"
+    ]
     work = settle(shapes.select("shape", "n_rows", "first_line_no", *LEAF), "shapes")
     done: list[DataFrame] = []
     before = None
@@ -183,8 +192,8 @@ def mine_versions(
             pieces.groupBy(*LEAF, "_piece").applyInPandas(_mine_piece(similarity), _MINED), "pieces"
         )
         done.append(mined.filter(~F.col("is_current")).select(*columns))
-        # A current template of a piece is a shape of the next round, placed by
-        # the line that brought it about; equal ones are combined first.
+        # A current template of a piece is a shape of the next round; equal ones
+        # are combined first.
         work = settle(
             mined.filter("is_current")
             .groupBy(F.col("template").alias("shape"), *LEAF)
@@ -201,7 +210,10 @@ def mine_versions(
 
 def _as_templates(shapes: DataFrame) -> DataFrame:
     return shapes.withColumns(
-        {"template": F.col("shape"), "version": F.lit(1), "is_current": F.lit(True)}
+        {
+            "template": F.col("shape"), "since_line_no": F.col("first_line_no"),
+            "version": F.lit(1), "is_current": F.lit(True),
+        }
     )
 
 

@@ -73,7 +73,9 @@ def best_model(runs: DataFrame, metric: dict[str, str]) -> DataFrame:
         ).select(
             "run_id",
             F.expr("try_cast(value as double)").alias("score"),
-            F.coalesce(F.expr("try_cast(get(split(run_id, "/"), 1) as bigint)"), F.lit(0)).alias("run_no"),
+            F.coalesce(
+                F.get(F.split("run_id", "/"), F.lit(1)).try_cast("bigint"), F.lit(0)
+            ).alias("run_no"),
         )
         one = best_run(scores, "run_no", "score", ("run_id",)).withColumn("kind", F.lit(kind))
         out = one if out is None else out.unionByName(one)

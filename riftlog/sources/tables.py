@@ -24,8 +24,10 @@ SEQUENCES = T.StructType(
     [T.StructField("session_id", T.StringType()), T.StructField("sequence", T.StringType())]
 )
 
-# Quotes are doubled inside a quoted field, and a quoted field may span lines.
-_CSV = {"escape": '"', "multiLine": "true"}
+# Quotes are doubled inside a quoted field; blanks at the ends of a field count.
+_CSV = {
+    "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 class MissingColumnError(ValueError):
@@ -58,14 +60,15 @@ def read_csv(
     splittable where no field holds a line break."""
     return (
         spark.read.schema(schema)
-        .options(**{**_CSV, "multiLine": str(multiline).lower()})
+        .options(**_CSV)
+        .option("multiLine", multiline)
         .option("header", header)
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    df.write.option("header", header).option("escape", '"').mode("errorifexists").csv(path)
+    df.write.options(**_CSV).option("header", header).mode("errorifexists").csv(path)
     return path
 
 
@@ -77,7 +80,7 @@ def write_version(df: DataFrame, path: str, fmt: str = "parquet", single_file: b
     out = df.coalesce(1) if single_file else df
     writer = out.write
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**_CSV).option("header", True)
     writer.format(fmt).save(version)
     return version
 
