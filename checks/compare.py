@@ -1,6 +1,6 @@
 """Run registered queries and compare them with their SQL.
 
-    python -m checks.compare [--sf DIR] [--no-write] [query ...]
+    python -m checks.compare [--sf DIR] [query ...]
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def main() -> int:
     from riftlog.session import build_session
 
     spark = build_session("checks", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"
+        "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(args.sf), 0

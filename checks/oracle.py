@@ -46,6 +46,9 @@ _CLEANED = f"""{_PARSED}, cleaned AS (
 _SPACE = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]+"
 
 
+_WORD = r"[\p{L}\p{N}_\p{M}]{2,}"
+
+
 def _strip(x: str) -> str:
     return f"regexp_replace({x}, '^{_SPACE}|{_SPACE}$', '', 'g')"
 
@@ -93,6 +96,53 @@ _LEAF_TEMPLATES = f"""WITH {_DOCUMENT_LINES},
 {_consensus()}
 SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known"""
 
+def _grown(shapes: str = "shapes", similarity: float = 0.4) -> str:
+    """Mining step by step: in each leaf shapes join the most similar template, in
+    order of appearance. ``steps`` has one row per shape, ``versions`` one per
+    change of a template, ``known`` the templates at the end."""
+    return f"""ordered AS (
+  SELECT n_tokens, first_token, string_split(shape, ' ') AS toks, n_rows, first_line_no,
+    row_number() OVER (PARTITION BY n_tokens, first_token ORDER BY first_line_no) AS i FROM {shapes}),
+steps AS (
+  SELECT n_tokens, first_token, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[][]) AS known,
+    CAST(0 AS BIGINT) AS place, CAST(NULL AS VARCHAR[]) AS template, false AS changed,
+    CAST(0 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS line_no
+  FROM (SELECT DISTINCT n_tokens, first_token FROM {shapes})
+  UNION ALL
+  SELECT n_tokens, first_token, i,
+    CASE WHEN fits = 0 THEN list_append(known, toks)
+      ELSE list_concat(list_append(known[1:fits - 1], merged), known[fits + 1:]) END,
+    CASE WHEN fits = 0 THEN len(known) + 1 ELSE fits END,
+    CASE WHEN fits = 0 THEN toks ELSE merged END, fits = 0 OR merged <> known[fits], n_rows, first_line_no
+  FROM (SELECT *, CASE WHEN fits > 0 THEN list_transform(list_zip(known[fits], toks),
+          lambda p: CASE WHEN p[1] = p[2] THEN p[1] ELSE '<*>' END) END AS merged
+    FROM (SELECT *, CASE WHEN len(known) = 0 OR same[best] < {similarity} * n_tokens THEN 0 ELSE best END AS fits
+      FROM (SELECT *, list_position(ranks, list_max(ranks)) AS best
+        FROM (SELECT *, list_transform(list_zip(same, wild), lambda p: p[1] * (n_tokens + 1) + p[2]) AS ranks
+          FROM (SELECT s.n_tokens, s.first_token, o.i, s.known, o.toks, o.n_rows, o.first_line_no,
+              list_transform(s.known, lambda t: len(list_filter(list_zip(t, o.toks),
+                lambda p: p[1] = p[2] AND p[1] <> '<*>'))) AS same,
+              list_transform(s.known, lambda t: len(list_filter(t, lambda x: x = '<*>'))) AS wild
+            FROM steps s JOIN ordered o ON o.n_tokens = s.n_tokens AND o.first_token = s.first_token AND o.i = s.i + 1)))))),
+placed AS (
+  SELECT *, sum(n_rows) OVER leaf_place AS total, min(line_no) OVER leaf_place AS first_line_no
+  FROM steps WHERE i > 0 WINDOW leaf_place AS (PARTITION BY n_tokens, first_token, place)),
+versions AS (
+  SELECT n_tokens, first_token, array_to_string(template, ' ') AS template, first_line_no,
+    line_no AS since_line_no, CAST(row_number() OVER older AS INTEGER) AS version,
+    row_number() OVER (PARTITION BY n_tokens, first_token, place ORDER BY i DESC) = 1 AS is_current,
+    CAST(total AS BIGINT) AS n_rows
+  FROM placed WHERE changed WINDOW older AS (PARTITION BY n_tokens, first_token, place ORDER BY i)),
+merged AS (
+  SELECT template, n_tokens, first_token, CAST(sum(n_rows) AS BIGINT) AS n_rows, min(first_line_no) AS first_line_no
+  FROM versions WHERE is_current GROUP BY ALL),
+known AS (SELECT 'LG_KEY_' || row_number() OVER (ORDER BY first_line_no) AS log_key, * FROM merged)"""
+
+
+_DOCUMENT_SHAPED = f"""WITH RECURSIVE {_DOCUMENT_LINES}, shaped AS (
+  SELECT doc_id * 100000 + line_no AS line_no, line AS message, {_shape('line')} AS shape FROM document_lines),
+{_shapes("SELECT * FROM shaped")}"""
+
 _MATCHED = f"""{_SHAPED},
 {_shapes("SELECT * FROM shaped WHERE level = 'INFO'", "info_shapes")},
 {_consensus("info_shapes")},
@@ -109,7 +159,7 @@ tagged AS (
 def _top(table: str, text: str, doc: str, limit: int | None = 1000) -> str:
     cap = f"ORDER BY corpus_count DESC, term LIMIT {limit}" if limit else ""
     return f"""words AS (
-  SELECT {doc} AS doc_id, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}_\\p{{M}}]{{2,}}')) AS term
+  SELECT {doc} AS doc_id, unnest(regexp_extract_all(lower({text}), '{_WORD}')) AS term
   FROM {table}),
 vocab AS (
   SELECT term, count(*) AS corpus_count, count(DISTINCT doc_id) AS doc_count FROM words GROUP BY term {cap}),
@@ -132,6 +182,14 @@ nearest AS (
   QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1)"""
 
 
+_STUMPS = """paths AS (
+  SELECT vec_id, CASE WHEN embedding[4 * t + 1] <= 0 THEN 40 + t ELSE 216 - t END AS n
+  FROM embeddings CROSS JOIN (SELECT unnest(range(16)) AS t)),
+scored AS (
+  SELECT vec_id, -pow(2, -avg(1 + 2 * (ln(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n)
+    / (2 * (ln(255) + 0.5772156649015329) - 2.0 * 255 / 256)) AS score FROM paths GROUP BY vec_id)"""
+
+
 def _silhouette(distance: str) -> str:
     return f"""WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 means AS (
@@ -282,6 +340,22 @@ ORACLE = {
         'LG_KEY_' || row_number() OVER (ORDER BY first_line_no) AS log_key FROM shapes""",
     "mine_leaf_templates": _LEAF_TEMPLATES,
     "mine_templates_in_pieces": _LEAF_TEMPLATES,
+    "mine_templates": f"WITH RECURSIVE {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_grown()} SELECT * FROM known",
+    "mine_document_templates": f"""{_DOCUMENT_SHAPED}, {_grown()}
+      SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known""",
+    "template_versions": f"WITH RECURSIVE {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_grown()} SELECT * FROM versions",
+    "document_template_versions": f"""{_DOCUMENT_SHAPED}, {_grown()}
+      SELECT * EXCLUDE (first_token) REPLACE (md5(template) AS template) FROM versions""",
+    "template_state_roundtrip": f"""{_DOCUMENT_SHAPED}, {_grown()}, fits AS (
+        SELECT shape, arg_min(log_key, len(list_filter(string_split(template, ' '), lambda x: x = '<*>')) * 1000000000
+          + CAST(log_key[8:] AS BIGINT)) AS log_key
+        FROM shapes JOIN known USING (n_tokens, first_token)
+        WHERE list_bool_and(list_transform(list_zip(string_split(shape, ' '), string_split(template, ' ')),
+          lambda p: p[2] = '<*>' OR p[1] = p[2])) GROUP BY shape)
+      SELECT line_no, coalesce(log_key, 'UNMAPPED') AS log_key FROM shaped LEFT JOIN fits USING (shape)""",
+    "stream_templates": f"""WITH RECURSIVE {_SHAPED}, timed AS (
+        SELECT epoch_us(CAST("timestamp" AS TIMESTAMP)) AS line_no, shape FROM shaped), {_shapes('SELECT * FROM timed')},
+      {_grown()} SELECT n_tokens, first_token, version, template, first_line_no, n_rows FROM versions WHERE is_current""",
     "match_templates": f"WITH {_MATCHED} SELECT * FROM matched",
     "tag_log_key": f"WITH {_MATCHED} SELECT * FROM tagged",
     "template_usage": f"WITH {_MATCHED} SELECT log_key, count(*) AS n FROM tagged GROUP BY log_key",
@@ -310,7 +384,7 @@ ORACLE = {
     "tfidf_full": f"WITH {_top('documents', 'text', 'doc_id', None)}, {_WEIGHTS.format(words='words')}",
     "tfidf_transform": f"""WITH {_top('documents', 'text', 'doc_id')}, turn_words AS (
         SELECT conv_id * 1000 + turn AS doc_id,
-          unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_\\p{{M}}]{{2,}}')) AS term FROM conversations),
+          unnest(regexp_extract_all(lower(text), '{_WORD}')) AS term FROM conversations),
       {_WEIGHTS.format(words='turn_words')}""",
     "dense_vectors": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn', 50)}, weights AS (
         SELECT doc_id, term, count(*) * any_value(idf) AS w FROM words JOIN idf USING (term) GROUP BY doc_id, term),
@@ -320,7 +394,7 @@ ORACLE = {
     "token_ids_padded": f"""WITH {_top('documents', 'text', 'doc_id', 30520)}, ids AS (
         SELECT term, row_number() OVER (ORDER BY corpus_count DESC, term) + 1 AS token_id FROM vocab),
       cut AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM (
-        SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_\\p{{M}}]{{2,}}')[1:64] AS w FROM documents)),
+        SELECT doc_id, regexp_extract_all(lower(text), '{_WORD}')[1:64] AS w FROM documents)),
       per_doc AS (SELECT doc_id, list(coalesce(token_id, 1) ORDER BY pos) AS ids
         FROM cut LEFT JOIN ids USING (term) GROUP BY doc_id),
       filled AS (SELECT doc_id, coalesce(ids, []) AS ids FROM documents LEFT JOIN per_doc USING (doc_id))
@@ -340,6 +414,37 @@ ORACLE = {
     "reconstruction_mse": f"""WITH {_CENTERS} SELECT vec_id, {_dec("d * d / 64", 9)} AS mse FROM distances WHERE cluster = label""",
     "contamination_cut": f"""SELECT CAST(p AS DECIMAL(18, 2)) AS p, {_dec("cut", 4)} AS cut FROM (
       SELECT unnest([0.01, 0.05, 0.1]) AS p, unnest(quantile_cont(l_extendedprice, [0.01, 0.05, 0.1])) AS cut FROM lineitem)""",
+    "iforest_stump_scores": f"WITH {_STUMPS} SELECT vec_id, {_dec('score + 0.43')} AS anomaly_score, score + 0.43 < 0 AS is_anomaly FROM scored",
+    "iforest_stump_mean": f"WITH {_STUMPS} SELECT {_dec('avg(-(score + 0.43))')} AS mean_score FROM scored",
+    "network_errors": f"""WITH x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(64)) AS i FROM embeddings),
+      latent AS (SELECT vec_id, greatest(0, sum(x * (i % 5 - 2) / 8.0) + 0.25) AS a,
+        greatest(0, sum(x * ((i + 3) % 5 - 2) / 8.0) + 0.125) AS b FROM x GROUP BY vec_id),
+      outs AS (SELECT vec_id, a, b, x, 1 / (1 + exp(-(a * (i % 7 - 3) / 8.0 + b * ((i + 2) % 7 - 3) / 8.0))) AS y
+        FROM x JOIN latent USING (vec_id))
+      SELECT vec_id, {_dec("any_value(a)")} AS latent_0, {_dec("any_value(b)")} AS latent_1,
+        {_dec("avg((x - y) * (x - y))")} AS error FROM outs GROUP BY vec_id""",
+    "score_windows_given_centers": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn', 300)},
+      tf AS (SELECT doc_id, term, count(*) * any_value(idf) AS w FROM words JOIN idf USING (term) GROUP BY doc_id, term),
+      unit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM tf),
+      roles AS (SELECT conv_id * 1000 + turn AS doc_id, CASE WHEN role = 'user' THEN 0 ELSE 1 END AS cluster FROM conversations),
+      sizes AS (SELECT cluster, count(*) AS n FROM roles GROUP BY cluster),
+      centers AS (SELECT cluster, term, sum(w) / any_value(n) AS c FROM unit JOIN roles USING (doc_id)
+        JOIN sizes USING (cluster) GROUP BY cluster, term),
+      squares AS (SELECT cluster, sum(c * c) AS cc FROM centers GROUP BY cluster),
+      wins AS (SELECT * FROM (SELECT conv_id, turn, text, count(*) OVER w AS n,
+          string_agg(text, ' ') OVER w AS sequence FROM conversations
+          WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)) WHERE n = 3),
+      win_words AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(sequence), '{_WORD}')) AS term FROM wins),
+      win_tf AS (SELECT conv_id, turn, term, count(*) * any_value(idf) AS w FROM win_words JOIN idf USING (term) GROUP BY ALL),
+      win_unit AS (SELECT conv_id, turn, term, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS w FROM win_tf),
+      dots AS (SELECT conv_id, turn, cluster, sum(w * c) AS xc FROM win_unit JOIN centers USING (term) GROUP BY ALL),
+      lengths AS (SELECT conv_id, turn, sum(w * w) AS xx FROM win_unit GROUP BY ALL),
+      far AS (SELECT w.conv_id, w.turn, w.text, s.cluster,
+          sqrt(greatest(0, coalesce(xx, 0) - 2 * coalesce(xc, 0) + cc)) AS d
+        FROM wins w CROSS JOIN squares s LEFT JOIN lengths USING (conv_id, turn)
+        LEFT JOIN dots ON dots.conv_id = w.conv_id AND dots.turn = w.turn AND dots.cluster = s.cluster)
+      SELECT conv_id, turn AS line_no, md5(any_value(text)) AS window_start_line, arg_min(cluster, d) AS cluster,
+        {_dec("min(d)")} AS anomaly_score, min(d) > 0.5 AS is_anomaly FROM far GROUP BY conv_id, turn""",
     "early_stop_epoch": f"""WITH {_LOSSES}, marked AS (
         SELECT epoch, val_loss, coalesce(val_loss < min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_new FROM losses),
       waited AS (SELECT *, epoch - max(CASE WHEN is_new THEN epoch END) OVER (ORDER BY epoch) AS waiting FROM marked),

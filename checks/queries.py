@@ -13,7 +13,7 @@ from riftlog.operators import (
     templates as tpl, training, windows,
 )
 from riftlog.operators.scoring import (
-    ForestModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
+    ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
 )
 from riftlog.session import scratch_path, settle
 from riftlog.sources import messages, tables, text_logs
@@ -336,8 +336,13 @@ def match_catalogue(spark, sf):
     return catalogue.match_catalogue(parsed(spark, sf)).select("line_no", "event_id")
 
 
+def document_template_versions(spark, sf):
+    shapes = tpl.distinct_shapes(tpl.with_shape(_document_lines(spark, sf)))
+    return tpl.mine_versions(shapes).withColumn("template", F.md5("template")).drop("first_token")
+
+
 def template_state_roundtrip(spark, sf):
-    p = parsed(spark, sf)
+    p = _document_lines(spark, sf)
     path = scratch_path(spark, "state")
     tpl.mine_templates(p).write.parquet(path)
     return tpl.tag_rows(p, spark.read.parquet(path)).select("line_no", "log_key")
@@ -540,6 +545,47 @@ def iforest_scores(spark, sf):
     return iforest.decide(data, forest, "embedding").select("vec_id", "anomaly_score", "is_anomaly")
 
 
+def _stumps():
+    """A forest of fixed stumps: tree t cuts place 4 t at 0."""
+    import pandas as pd
+
+    nodes = [
+        row
+        for t in range(16)
+        for row in ((t, 0, 4 * t, 0.0, 1, 2, 256, 0), (t, 1, -1, 0.0, -1, -1, 40 + t, 1),
+                    (t, 2, -1, 0.0, -1, -1, 216 - t, 1))
+    ]
+    names = ["tree", "node", "feature", "threshold", "left", "right", "size", "depth"]
+    return iforest.Forest(iforest._node_array(pd.DataFrame(nodes, columns=names)), 256, 64, -0.43)
+
+
+def iforest_stump_scores(spark, sf):
+    out = iforest.decide(_vectors(spark, sf), _stumps(), "embedding")
+    return out.select("vec_id", dec(F.col("anomaly_score")).alias("anomaly_score"), "is_anomaly")
+
+
+def iforest_stump_mean(spark, sf):
+    out = iforest.mean_anomaly(iforest.decide(_vectors(spark, sf), _stumps(), "embedding"))
+    return out.select(dec(F.col("mean_score")).alias("mean_score"))
+
+
+def network_errors(spark, sf):
+    """Encoding and reconstruction error under fixed weights, 64 to 2 to 64."""
+    import numpy as np
+
+    first = (((np.arange(64)[:, None] + 3 * np.arange(2)) % 5) - 2) / 8
+    second = (((2 * np.arange(2)[:, None] + np.arange(64)) % 7) - 3) / 8
+    flat = np.concatenate([first.ravel(), [0.25, 0.125], second.ravel(), np.zeros(64)])
+    net = autoencoder.Network((64, 2, 64), flat.astype(np.float32))
+    out = autoencoder.with_latent(_vectors(spark, sf), net, "embedding")
+    return out.select(
+        "vec_id",
+        dec(F.get("latent", F.lit(0))).alias("latent_0"),
+        dec(F.get("latent", F.lit(1))).alias("latent_1"),
+        dec(F.col("reconstruction_error")).alias("error"),
+    )
+
+
 def iforest_search(spark, sf):
     data = _vectors(spark, sf)
     return iforest.search_forest(data, 64, "vec_id", "embedding")[1]
@@ -620,6 +666,22 @@ def score_kmeans_windows(spark, sf):
     return _round_score(score_kmeans(wins, training.train_kmeans(seqs)[0]))
 
 
+def score_windows_given_centers(spark, sf):
+    """Windows of conversations scored against given centres: the mean TF-IDF
+    vector of the turns of each role."""
+    from pyspark.ml.functions import vector_to_array
+
+    turns = table(spark, sf, "conversations")
+    tfidf = features.fit_tfidf(turns, "text", 300)
+    dense = tfidf.transform(turns, "text").withColumn("x", vector_to_array("vector"))
+    roles = dense.withColumn("cluster", F.when(F.col("role") == "user", 0).otherwise(1))
+    centers = kmeans.Centroids.from_table(kmeans.label_means(roles, "x", "cluster"))
+    unit = with_unit(turns.withColumnsRenamed({"turn": "line_no"}), "line", line="text")
+    wins = scoring_windows(unit, 3, "text", ["conv_id"])
+    out = score_kmeans(wins, KMeansModel(tfidf, centers))
+    return _round_score(out).withColumn("window_start_line", F.md5("window_start_line"))
+
+
 def score_forest_windows(spark, sf):
     seqs, wins = _training(spark, sf)
     return _round_score(score_forest(wins, training.train_forest(seqs)[0]))
@@ -687,7 +749,7 @@ def stream_templates(spark, sf):
         .start()
     )
     query.awaitTermination()
-    return streaming_templates.current(spark.read.parquet(out)).drop("place")
+    return streaming_templates.current(spark.read.parquet(out).drop("batch")).drop("place")
 
 
 def stream_score(spark, sf):
@@ -719,16 +781,16 @@ QUERIES = {
         histogram_lineitem, histogram_pid, mean_impute, validation_report, validated_log,
         mask_shapes, mask_document_shapes, template_keys, mine_leaf_templates, mine_templates,
         mine_templates_in_pieces, mine_document_templates, template_versions, match_templates,
-        tag_log_key, template_usage, unseen_templates, match_catalogue, template_state_roundtrip,
+        document_template_versions, tag_log_key, template_usage, unseen_templates, match_catalogue, template_state_roundtrip,
         session_sequences, session_pieces, conversation_sequences, sliding_windows, user_windows,
         conversation_windows, short_files, context_payload,
         vocabulary_top1000, tfidf_capped, tfidf_full, tfidf_transform, dense_vectors,
         token_ids_padded, split_80_20, split_tail10,
         nearest_centroid, centroid_distance, cluster_sizes, inertia, silhouette_exact,
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,
-        iforest_scores, iforest_search, iforest_normal_windows, early_stop_epoch, best_run,
+        iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, early_stop_epoch, best_run,
         loss_curve, autoencoder_losses, latent_clusters, model_roundtrip,
-        score_kmeans_windows, score_forest_windows, score_encoder_windows,
+        score_windows_given_centers, score_kmeans_windows, score_forest_windows, score_encoder_windows,
         stream_templates, stream_score, stream_retrain,
     )
 }

@@ -53,7 +53,8 @@ def _learner(similarity: float):
         for p, c, line, n in zip(place, changed, new["first_line_no"], new["n_rows"]):
             rows[p] = int(rows[p]) + int(n)
             if c:
-                versions[p], lines[p] = int(versions[p]) + 1, int(line)
+                versions[p] = int(versions[p]) + 1
+                lines[p] = int(line) if versions[p] == 1 else int(lines[p])
                 touched.add(int(p))
         texts = [" ".join(vocabulary[t]) for t in templates]
         state.update((texts, lines, versions, rows))
@@ -77,7 +78,7 @@ def learn_templates(rows: DataFrame, message: str = "message", similarity: float
     """A stream of parsed rows (with ``line_no``) becomes a stream of templates
     that are new or have changed: ``n_tokens, first_token, place, version,
     template, first_line_no, n_rows``; a leaf and a place name one template, and
-    its highest version is current.
+    its highest version is current. ``n_rows`` counts the rows up to that version.
 
     State is kept per leaf: the templates of the leaf, no lines. Only distinct
     shapes of a batch reach it."""
