@@ -46,7 +46,7 @@ _CLEANED = f"""{_PARSED}, cleaned AS (
 _SPACE = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]+"
 
 
-_WORD = r"[\p{L}\p{N}_\p{M}]{2,}"
+_WORD = r"[\p{L}\p{N}_]{2,}"
 
 
 def _strip(x: str) -> str:

@@ -26,8 +26,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return tables.read_spread(spark, f"{sf}/{name}.parquet")
+
+
 def lines(spark, sf) -> DataFrame:
-    return event_lines(table(spark, sf, "events"))
+    return event_lines(spread(spark, sf, "events"))
 
 
 def parsed(spark, sf) -> DataFrame:
@@ -38,6 +42,11 @@ def cleaned(spark, sf) -> DataFrame:
     return impute_request(parsed(spark, sf))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A layer written once, for jobs that read it several times."""
+    return settle(df, "layer")
+
+
 def dec(column, digits: int = 6):
     """A double as a decimal of ``digits`` places, for comparison."""
     return F.round(column, digits).cast(T.DecimalType(18, digits))
@@ -53,7 +62,7 @@ def raw_lines(spark, sf):
 
 
 def trim_nonblank_lines(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents")
     text = F.split("text", "\n")
     kept = F.filter(F.transform(text, strip), lambda x: F.length(x) > 0)
     return docs.select("doc_id", F.posexplode(kept).alias("line_no", "line"))
@@ -265,7 +274,7 @@ def mask_shapes(spark, sf):
 
 
 def mask_document_shapes(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("line_no"), F.col("text").alias("message"))
+    docs = spread(spark, sf, "documents").select(F.col("doc_id").alias("line_no"), F.col("text").alias("message"))
     shapes = tpl.distinct_shapes(tpl.with_shape(docs))
     return shapes.select(F.md5("shape").alias("shape_md5"), "n_rows", "first_line_no", "n_tokens", "first_token")
 
@@ -309,14 +318,14 @@ def template_versions(spark, sf):
 
 
 def match_templates(spark, sf):
-    p = parsed(spark, sf)
+    p = stored(parsed(spark, sf))
     shapes = tpl.distinct_shapes(tpl.with_shape(p))
     known = tpl.mine_templates(p.filter(F.col("level") == "INFO"), similarity=0.0)
     return tpl.match_shapes(shapes, known)
 
 
 def tag_log_key(spark, sf):
-    p = parsed(spark, sf)
+    p = stored(parsed(spark, sf))
     known = tpl.mine_templates(p.filter(F.col("level") == "INFO"), similarity=0.0)
     return tpl.tag_rows(p, known).select("line_no", "log_key")
 
@@ -326,7 +335,7 @@ def template_usage(spark, sf):
 
 
 def unseen_templates(spark, sf):
-    p = parsed(spark, sf)
+    p = stored(parsed(spark, sf))
     known = tpl.mine_templates(p, similarity=0.0)
     tagged = tpl.tag_rows(p.filter(F.col("level") == "ERROR"), known)
     return tpl.unseen_templates(tagged, known).select("log_key", "template")
@@ -342,7 +351,7 @@ def document_template_versions(spark, sf):
 
 
 def template_state_roundtrip(spark, sf):
-    p = _document_lines(spark, sf)
+    p = stored(_document_lines(spark, sf))
     path = scratch_path(spark, "state")
     tpl.mine_templates(p).write.parquet(path)
     return tpl.tag_rows(p, spark.read.parquet(path)).select("line_no", "log_key")
@@ -352,9 +361,9 @@ def template_state_roundtrip(spark, sf):
 
 
 def _shape_sequences(spark, sf, **options):
-    shaped = tpl.with_shape(cleaned(spark, sf))
-    keyed = tpl.shape_templates(shaped)
-    tagged = tpl.tag_rows(shaped.drop("shape"), keyed)
+    rows = stored(cleaned(spark, sf))
+    keyed = tpl.shape_templates(tpl.with_shape(rows))
+    tagged = stored(tpl.tag_rows(rows, keyed))
     return sequences.session_sequences(tpl.template_text(tagged, keyed), **options)
 
 
@@ -405,7 +414,7 @@ def context_payload(spark, sf):
 
 
 def vocabulary_top1000(spark, sf):
-    return features.top_vocabulary(table(spark, sf, "documents"), "text")
+    return features.top_vocabulary(spread(spark, sf, "documents"), "text")
 
 
 def _weights(df):
@@ -413,19 +422,19 @@ def _weights(df):
 
 
 def tfidf_capped(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents")
     return _weights(features.fit_tfidf(docs, "text").long_form(docs, "doc_id", "text"))
 
 
 def tfidf_full(spark, sf):
-    return _weights(features.tfidf_full(table(spark, sf, "documents"), "doc_id", "text"))
+    return _weights(features.tfidf_full(spread(spark, sf, "documents"), "doc_id", "text"))
 
 
 def tfidf_transform(spark, sf):
     turns = table(spark, sf, "conversations").withColumn(
         "doc_id", F.col("conv_id") * 1000 + F.col("turn")
     )
-    model = features.fit_tfidf(table(spark, sf, "documents"), "text")
+    model = features.fit_tfidf(spread(spark, sf, "documents"), "text")
     return _weights(model.long_form(turns, "doc_id", "text"))
 
 
@@ -444,7 +453,7 @@ def dense_vectors(spark, sf):
 
 
 def token_ids_padded(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents")
     out = features.padded_token_ids(docs, features.token_vocabulary(docs), "doc_id")
     return out.select(
         "doc_id",
@@ -454,11 +463,11 @@ def token_ids_padded(spark, sf):
 
 
 def split_80_20(spark, sf):
-    return features.split_train(table(spark, sf, "documents").select("doc_id"), "doc_id")
+    return features.split_train(spread(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 def split_tail10(spark, sf):
-    return features.split_tail(table(spark, sf, "documents").select("doc_id"), "doc_id")
+    return features.split_tail(spread(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 # Models
@@ -521,13 +530,10 @@ def reconstruction_mse(spark, sf):
 
 
 def contamination_cut(spark, sf):
-    df = table(spark, sf, "lineitem")
-    cuts = [quantiles.exact_quantile(df, "l_extendedprice", p) for p in (0.01, 0.05, 0.1)]
-    names = F.array(*[F.lit(p) for p in (0.01, 0.05, 0.1)])
-    row = spark.range(1).select(F.arrays_zip(names.alias("p"), F.array(*cuts).alias("cut")).alias("z"))
-    return row.select(F.inline("z")).toDF("p", "cut").select(
-        dec(F.col("p"), 2).alias("p"), dec(F.col("cut"), 4).alias("cut")
-    )
+    shares = [0.01, 0.05, 0.1]
+    cuts = quantiles.exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", shares)
+    rows = spark.createDataFrame(list(zip(shares, cuts)), "p double, cut double")
+    return rows.select(dec(F.col("p"), 2).alias("p"), dec(F.col("cut"), 4).alias("cut"))
 
 
 def kmeans_best_seed(spark, sf):
@@ -644,7 +650,7 @@ def loss_curve(spark, sf):
 
 def _training(spark, sf):
     """Templates, sequences and upload lines of the event log."""
-    p = cleaned(spark, sf)
+    p = stored(cleaned(spark, sf))
     known = tpl.mine_templates(p)
     text = tpl.template_text(tpl.tag_rows(p, known), known)
     seqs = settle(sequences.session_sequences(text), "sequences")
@@ -653,7 +659,7 @@ def _training(spark, sf):
     ).filter(F.col("value").isNotNull())
     from riftlog.operators.positions import with_positions
 
-    upload = with_positions(upload, "n", ["file"], name="line_no").drop("n")
+    upload = stored(with_positions(upload, "n", ["file"], name="line_no").drop("n"))
     return seqs, scoring_windows(with_unit(upload, "template", known))
 
 
@@ -709,7 +715,7 @@ def autoencoder_losses(spark, sf):
 def latent_clusters(spark, sf):
     from pyspark.ml.functions import array_to_vector
 
-    docs = table(spark, sf, "documents")
+    docs = spread(spark, sf, "documents")
     tfidf = features.fit_tfidf(docs, "text", MAX_FEATURES // 5)
     data = settle(
         features.split_tail(tfidf.features(docs, "text").select("doc_id", "features"), "doc_id"), "latent"

@@ -9,7 +9,8 @@ from riftlog.functions.parsing import strip
 
 # A token that holds a digit; the look-behind keeps the scan linear.
 _DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-_WORD = r"(?U)\b\w\w+\b"
+# Two or more letters, digits of any script, or underscores.
+_WORD = r"[\p{L}\p{N}_]{2,}"
 
 
 def shape_of(message: Column) -> Column:

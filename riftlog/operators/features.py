@@ -10,10 +10,12 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riftlog.config import MAX_FEATURES, TOKEN_LENGTH
+from riftlog.functions.parsing import computed_once
 from riftlog.functions.tokens import words
 from riftlog.functions.vectors import sparse_struct
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.positions import with_positions
+from riftlog.session import settle
 
 # Size of the token vocabulary and its reserved ids.
 TOKEN_VOCABULARY = 30_522
@@ -21,22 +23,19 @@ PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
 
 
 def vocabulary(docs: DataFrame, text: str = "sequence") -> DataFrame:
-    """``term, corpus_count, doc_count``. One tokenising pass: every word is sent
-    once, and once more marked as the first of its document; both are counted on
-    the map side, so only one row per term and task is shuffled."""
-    tokens = words(F.col(text))
-    marked = F.concat(
-        F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
-        F.transform(
-            F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))
-        ),
+    """``term, corpus_count, doc_count``. One tokenising pass: all words of a
+    document are sent, and its distinct words once more with a mark; both are
+    counted on the map side, so only one row per term and task is shuffled."""
+    tokenised = computed_once(docs.select(text), _words=words(F.col(text))).select("_words")
+    both = F.array(
+        F.struct(F.lit(0).alias("first"), F.col("_words").alias("terms")),
+        F.struct(F.lit(1).alias("first"), F.array_distinct("_words").alias("terms")),
     )
     return (
-        docs.select(F.inline(marked))
+        tokenised.select(F.inline(both))
+        .select("first", F.explode("terms").alias("term"))
         .groupBy("term")
-        .agg(
-            F.sum(1 - F.col("first")).alias("corpus_count"), F.sum("first").alias("doc_count")
-        )
+        .agg(F.sum(1 - F.col("first")).alias("corpus_count"), F.sum("first").alias("doc_count"))
     )
 
 
@@ -128,8 +127,9 @@ def tfidf_full(docs: DataFrame, doc: str, text: str = "sequence") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    idf = vocabulary(docs, text).select(
-        "term", smooth_idf(F.col("doc_count"), n_docs).alias("idf")
+    idf = settle(
+        vocabulary(docs, text).select("term", smooth_idf(F.col("doc_count"), n_docs).alias("idf")),
+        "idf",
     )
     weighted = lookup_join(tf, idf, ["term"], "inner", [doc], max_rows=1_000_000).select(
         doc, "term", (F.col("tf") * F.col("idf")).alias("w")

@@ -17,8 +17,9 @@ from riftlog.config import (
 )
 from riftlog.functions.vectors import dense_rows, used_columns
 from riftlog.operators.kmeans import SparseColumn, feature_column
-from riftlog.operators.quantiles import exact_quantile
+from riftlog.operators.quantiles import exact_quantiles
 from riftlog.operators.runs import best_run
+from riftlog.session import side_by_side
 
 AUTO_ROWS = 256
 # Sample size of a tree that asks for a share of the rows: the share, up to this.
@@ -37,6 +38,20 @@ def average_path(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, usual))
 
 
+def _pick_feature(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> int:
+    """A random feature that is not constant in ``rows``, or -1. A few blind draws
+    first; only where those fail are all features looked at."""
+    if x.shape[1] == 0:
+        return -1
+    for feature in rng.integers(x.shape[1], size=4):
+        values = x[rows, feature]
+        if values.min() < values.max():
+            return int(feature)
+    part = x[rows]
+    usable = np.flatnonzero(part.min(axis=0) < part.max(axis=0))
+    return int(rng.choice(usable)) if len(usable) else -1
+
+
 def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     """Nodes of one tree: (node, feature, threshold, left, right, size, depth). A
     node is cut at a random value of a random feature that is not constant in it,
@@ -47,15 +62,13 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     free = 1
     while todo:
         node, rows, depth = todo.pop()
-        part = x[rows]
-        low, high = (part.min(axis=0), part.max(axis=0)) if len(rows) else (None, None)
-        usable = np.flatnonzero(low < high) if len(rows) > 1 and depth < limit else ()
-        if len(usable) == 0:
+        feature = _pick_feature(x, rows, rng) if len(rows) > 1 and depth < limit else -1
+        if feature < 0:
             nodes.append((node, -1, 0.0, -1, -1, len(rows), depth))
             continue
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = part[:, feature] <= threshold
+        values = x[rows, feature]
+        threshold = float(rng.uniform(values.min(), values.max()))
+        goes_left = values <= threshold
         left, right = free, free + 1
         free += 2
         nodes.append((node, feature, threshold, left, right, len(rows), depth))
@@ -237,8 +250,7 @@ def with_scores(df: DataFrame, forest: Forest, features: str = "features") -> Da
 
 def fit_offset(scored: DataFrame, contamination: float, score: str = "score") -> float:
     """The score below which the ``contamination`` share of the training rows lies."""
-    q = exact_quantile(scored, score, contamination)
-    return float(scored.sparkSession.range(1).select(q.alias("q")).first()["q"])
+    return exact_quantiles(scored, score, [contamination])[0]
 
 
 def fit_forest(
@@ -328,8 +340,13 @@ def search_forest(
                 forest.score(feature_column(data, features), counts).alias("_s")
             ).select(*[F.col("_s")[i].alias(f"s{i}") for i in range(len(group))]).persist()
             means = scored.agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in range(len(group))]).first()
-            for i, t in enumerate(group):
-                offset = fit_offset(scored, t["contamination"], f"s{i}")
+            offsets = side_by_side(
+                [
+                    lambda i=i, t=t: fit_offset(scored, t["contamination"], f"s{i}")
+                    for i, t in enumerate(group)
+                ]
+            )
+            for i, (t, offset) in enumerate(zip(group, offsets)):
                 rows.append(
                     (
                         t["run_no"], t["n_trees"], t["contamination"], str(samples),

@@ -14,6 +14,7 @@ from riftlog.config import DISTANCE_THRESHOLD, KMEANS_SEEDS, N_CLUSTERS
 from riftlog.functions.vectors import dense_rows, squared_distance
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.runs import best_run
+from riftlog.session import side_by_side
 
 
 @dataclass(frozen=True)
@@ -141,19 +142,25 @@ def fit_best_kmeans(
     spark = df.sparkSession
     data = df.select(vector).persist()
     judge = ClusteringEvaluator(featuresCol=vector, predictionCol="_cluster")
-    runs, fits = [], {}
+
+    def attempt(seed: int):
+        model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="_cluster").fit(data)
+        centers = np.array(model.clusterCenters())
+        score = judge.evaluate(model.transform(data)) if len(centers) > 1 else 0.0
+        return Centroids(centers, tuple(range(len(centers)))), score, model.summary.trainingCost
+
     try:
-        for number, seed in enumerate(seeds):
-            model = KMeans(k=k, seed=seed, featuresCol=vector, predictionCol="_cluster").fit(data)
-            centers = np.array(model.clusterCenters())
-            score = judge.evaluate(model.transform(data)) if len(centers) > 1 else 0.0
-            runs.append((number, seed, float(score), float(model.summary.trainingCost)))
-            fits[number] = Centroids(centers, tuple(range(len(centers))))
+        data.count()
+        fits = side_by_side([lambda s=seed: attempt(s) for seed in seeds])
     finally:
         data.unpersist()
+    runs = [
+        (i, int(seed), float(score), float(cost))
+        for i, (seed, (_, score, cost)) in enumerate(zip(seeds, fits))
+    ]
     table = spark.createDataFrame(runs, "run_no int, seed int, score double, inertia double")
     winner = best_run(table, "run_no", "score").first()["run_no"]
-    return fits[winner], table
+    return fits[winner][0], table
 
 
 def silhouette_squared(df: DataFrame, features: str, cluster: str) -> DataFrame:

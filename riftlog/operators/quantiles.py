@@ -2,63 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 ACCURACY = 100_000
 
 
-def exact_quantile(df: DataFrame, column: str, p: float, accuracy: int = ACCURACY) -> Column:
-    """The ``p`` quantile with linear interpolation, as a one-row subquery.
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = ACCURACY
+) -> list[float | None]:
+    """Quantiles with linear interpolation between ranks; missing values are left
+    out.
 
-    A sketch of fixed size gives two values that are sure to enclose the wanted
-    rank, since its rank error is at most 1 / ``accuracy`` of the rows. Only values
-    between them are then counted one by one."""
+    A sketch of fixed size gives, for each wanted rank, two values that are sure to
+    enclose it, as its rank error is at most 1 / ``accuracy`` of the rows. A second
+    pass counts one by one only the values between such two; all others fold into
+    one row per gap, which keeps its smallest and largest value."""
     x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
     slack = 3.0 / accuracy
-    bounds = x.agg(
-        F.percentile_approx("x", max(0.0, p - slack), accuracy).alias("lo"),
-        F.percentile_approx("x", min(1.0, p + slack), accuracy).alias("hi"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        F.struct(
-            (F.col("min") if p - slack <= 0 else F.col("lo")).alias("lo"),
-            (F.col("max") if p + slack >= 1 else F.col("hi")).alias("hi"),
-            "n",
-        ).alias("b")
-    )
-    marked = x.withColumn("b", bounds.scalar())
-    # Values below the bracket fold into one row that keeps their largest, values
-    # above into one that keeps their smallest: the ranks next to the bracket.
-    zone = (
-        F.when(F.col("x") < F.col("b.lo"), 0).when(F.col("x") <= F.col("b.hi"), 1).otherwise(2)
-    )
+    sides = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-slack, slack)]
+    stats = x.agg(
+        F.percentile_approx("x", sides, accuracy).alias("at"), F.count(F.lit(1)).alias("n")
+    ).first()
+    if not stats["n"]:
+        return [None for _ in probabilities]
+    brackets: list[list[float]] = []
+    for low, high in sorted(zip(stats["at"][::2], stats["at"][1::2])):
+        if brackets and low <= brackets[-1][1]:
+            brackets[-1][1] = max(brackets[-1][1], high)
+        else:
+            brackets.append([low, high])
+    # Zones in order of value: gaps have even numbers, brackets odd ones.
+    zone = F.lit(2 * len(brackets))
+    for i in range(len(brackets) - 1, -1, -1):
+        low, high = brackets[i]
+        zone = F.when(F.col("x") < low, 2 * i).when(F.col("x") <= high, 2 * i + 1).otherwise(zone)
+    until = Window.orderBy("zone", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        marked.select(zone.alias("zone"), "x", "b.n")
-        .groupBy("zone", F.when(F.col("zone") == 1, F.col("x")).alias("v"))
-        .agg(
-            F.count(F.lit(1)).alias("c"),
-            F.max("n").alias("n"),
-            F.when(F.col("zone") == 0, F.max("x")).otherwise(F.min("x")).alias("x"),
-        )
-        .withColumn(
-            "upto",
-            F.sum("c").over(
-                Window.orderBy("zone", "v").rowsBetween(
-                    Window.unboundedPreceding, Window.currentRow
-                )
-            ),
-        )
+        x.select("x", zone.alias("zone"))
+        .groupBy("zone", F.when(F.col("zone") % 2 == 1, F.col("x")).alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .withColumn("upto", F.sum("c").over(until))
+        .withColumn("from", F.col("upto") - F.col("c"))
     )
-    at = (F.col("n") - 1) * F.lit(p)
-    low, high = F.floor(at), F.ceil(at)
-    return (
-        ranked.agg(
-            F.min(F.when(F.col("upto") > low, F.col("x"))).alias("a"),
-            F.min(F.when(F.col("upto") > high, F.col("x"))).alias("b"),
-            F.max(at - low).alias("f"),
+
+    def value_at(rank: int):
+        # A wanted rank lies in a bracket or next to one, at the edge of a gap.
+        here = (F.col("from") <= rank) & (rank < F.col("upto"))
+        return F.max(
+            F.when(here, F.when(F.col("from") == rank, F.col("low")).otherwise(F.col("high")))
         )
-        .select((F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("q"))
-        .scalar()
-    )
+
+    ranks = [p * (stats["n"] - 1) for p in probabilities]
+    row = ranked.agg(
+        *[value_at(math.floor(r)).alias(f"a{i}") for i, r in enumerate(ranks)],
+        *[value_at(math.ceil(r)).alias(f"b{i}") for i, r in enumerate(ranks)],
+    ).first()
+    return [
+        row[f"a{i}"] + (row[f"b{i}"] - row[f"a{i}"]) * (r - math.floor(r))
+        for i, r in enumerate(ranks)
+    ]

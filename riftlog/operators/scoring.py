@@ -53,9 +53,8 @@ def with_unit(
     shaped = with_shape(lines, line)
     if templates is None:
         return shaped.withColumnRenamed("shape", "unit")
-    found = settle(
-        match_shapes(distinct_shapes(shaped, order).select("shape", *LEAF), templates), "matches"
-    )
+    shapes = settle(distinct_shapes(shaped, order).select("shape", *LEAF), "shapes")
+    found = settle(match_shapes(shapes, templates), "matches")
     return (
         lookup_join(shaped, found.select("shape", "template"), ["shape"], "left", [order])
         .withColumn("unit", F.coalesce("template", "shape"))

@@ -64,7 +64,7 @@ def shape_templates(rows: DataFrame, order: str = "line_no") -> DataFrame:
     shapes = distinct_shapes(rows, order).select(
         F.col("shape").alias("template"), "n_rows", "first_line_no"
     )
-    return number_templates(shapes)
+    return settle(number_templates(shapes), "templates")
 
 
 def grow_leaf(tokens: np.ndarray, similarity: float, known: np.ndarray | None = None):
@@ -103,49 +103,80 @@ def grow_leaf(tokens: np.ndarray, similarity: float, known: np.ndarray | None =
     return templates[:have], place, changed
 
 
-def encode_tokens(shapes) -> tuple[np.ndarray, np.ndarray]:
+def encode_tokens(shapes) -> tuple[np.ndarray, list[str]]:
     """Shapes of one length as a code matrix and the words of the codes; the
     wildcard has code 0."""
-    flat = [WILDCARD]
-    for s in shapes:
-        flat.extend(s.split(" "))
-    codes, vocabulary = pd.factorize(np.array(flat, dtype=object))
-    return codes[1:].reshape(len(shapes), -1), np.asarray(vocabulary, dtype=object)
-
-
-def _mine_piece(similarity: float):
-    def mine(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first_line_no", kind="stable")
-        codes, vocabulary = encode_tokens(pdf["shape"])
-        templates, place, changed = grow_leaf(codes, similarity)
-        # Replay the changes, to tell each version of a template from the next.
-        state: dict[int, np.ndarray] = {}
-        version: dict[int, int] = {}
-        out = []
-        lines = pdf["first_line_no"].to_numpy()
-        for i in np.flatnonzero(changed):
-            p = int(place[i])
-            state[p] = codes[i] if p not in state else np.where(state[p] == codes[i], codes[i], 0)
-            version[p] = version.get(p, 0) + 1
-            out.append((" ".join(vocabulary[state[p]]), int(lines[i]), version[p], p))
-        rows = np.bincount(place, weights=pdf["n_rows"].to_numpy(), minlength=len(templates))
-        first = pd.Series(lines).groupby(place).min()
-        res = pd.DataFrame(out, columns=["template", "since_line_no", "version", "_p"])
-        res["first_line_no"] = first[res["_p"]].to_numpy()
-        res["is_current"] = res["version"] == res["_p"].map(version)
-        res["n_rows"] = rows[res["_p"].to_numpy()].astype(np.int64)
-        res["n_tokens"] = pdf["n_tokens"].iloc[0]
-        res["first_token"] = pdf["first_token"].iloc[0]
-        return res[
-            [
-                "n_tokens", "first_token", "template", "first_line_no", "since_line_no", "version",
-                "is_current", "n_rows",
-            ]
-        ]
+    codes = {WILDCARD: 0}
+    rows = [[codes.setdefault(t, len(codes)) for t in s.split(" ")] for s in shapes]
+    return np.array(rows, dtype=np.int32), list(codes)
+
+
+def _mine_leaf(shapes, lines, counts, similarity: float) -> list[tuple]:
+    """All versions of the templates of one leaf: (template, first_line_no,
+    since_line_no, version, is_current, n_rows)."""
+    codes, vocabulary = encode_tokens(shapes)
+    _, place, changed = grow_leaf(codes, similarity)
+    total = np.bincount(place, weights=counts).astype(np.int64)
+    state: dict[int, np.ndarray] = {}
+    version: dict[int, int] = {}
+    first: dict[int, int] = {}
+    out = []
+    # Replay the changes, to tell each version of a template from the next.
+    for i in np.flatnonzero(changed):
+        p = int(place[i])
+        state[p] = codes[i] if p not in state else np.where(state[p] == codes[i], codes[i], 0)
+        version[p] = version.get(p, 0) + 1
+        first.setdefault(p, int(lines[i]))
+        out.append((" ".join([vocabulary[c] for c in state[p]]), p, int(lines[i]), version[p]))
+    return [
+        (text, first[p], since, v, v == version[p], int(total[p])) for text, p, since, v in out
+    ]
+
+
+def _mine_sorted(similarity: float, keys: list[str]):
+    """Mine rows that come sorted by ``keys`` and order of appearance. Batches are
+    cut at the borders of the groups; at most one group waits for its rest."""
+
+    def mine(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            head = pdf[keys]
+            border = (head != head.shift()).any(axis=1).to_numpy()
+            starts = np.flatnonzero(border)
+            carry = pdf.iloc[starts[-1] :]
+            yield _mine_groups(pdf, starts, similarity)
+        if carry is not None:
+            yield _mine_groups(carry, np.array([0, len(carry)]), similarity)
 
     return mine
 
 
+def _mine_groups(pdf: pd.DataFrame, starts: np.ndarray, similarity: float) -> pd.DataFrame:
+    """The groups between consecutive ``starts``."""
+    shapes, lines = pdf["shape"].tolist(), pdf["first_line_no"].to_numpy()
+    counts, sizes, heads = pdf["n_rows"].to_numpy(), pdf["n_tokens"].to_numpy(), pdf["first_token"].tolist()
+    out = []
+    for a, b in zip(starts, starts[1:]):
+        for row in _mine_leaf(shapes[a:b], lines[a:b], counts[a:b], similarity):
+            out.append((sizes[a], heads[a], *row))
+    return pd.DataFrame(
+        out,
+        columns=[*LEAF, "template", "first_line_no", "since_line_no", "version", "is_current", "n_rows"],
+    )
+
+
+def _mine(shapes: DataFrame, keys: list[str], similarity: float) -> DataFrame:
+    """Mine each group of ``keys`` in one task; a task takes many small groups."""
+    return (
+        shapes.select(*keys, "shape", "n_rows", "first_line_no")
+        .repartition(*[F.col(k) for k in keys])
+        .sortWithinPartitions(*keys, "first_line_no")
+        .mapInPandas(_mine_sorted(similarity, keys), _MINED)
+    )
+
+
 def mine_versions(
     shapes: DataFrame,
     similarity: float = SIMILARITY,
@@ -181,16 +212,13 @@ def mine_versions(
             sized = sized.filter(F.col("_size") <= per_piece)
         done.append(_as_templates(sized.filter(F.col("_size") == 1)).select(*columns))
         whole = sized.filter((F.col("_size") > 1) & (F.col("_size") <= per_piece))
-        mined = whole.groupBy(*LEAF).applyInPandas(_mine_piece(similarity), _MINED)
-        done.append(mined.select(*columns))
+        done.append(_mine(whole, list(LEAF), similarity).select(*columns))
         if stuck or not total:
             break
         pieces = with_positions(
             sized.filter(F.col("_size") > per_piece), "first_line_no", LEAF, block_rows
         ).withColumn("_piece", F.floor(F.col("pos") / per_piece))
-        mined = settle(
-            pieces.groupBy(*LEAF, "_piece").applyInPandas(_mine_piece(similarity), _MINED), "pieces"
-        )
+        mined = settle(_mine(pieces, [*LEAF, "_piece"], similarity), "pieces")
         done.append(mined.filter(~F.col("is_current")).select(*columns))
         # A current template of a piece is a shape of the next round; equal ones
         # are combined first.
@@ -279,7 +307,8 @@ def tag_rows(
     """Add ``log_key`` to each row: its template's key, or UNMAPPED; rows without
     a message get none. Only distinct shapes are matched."""
     shaped = with_shape(rows, message)
-    matches = settle(match_shapes(distinct_shapes(shaped, order), templates), "matches")
+    shapes = settle(distinct_shapes(shaped, order), "shapes")
+    matches = settle(match_shapes(shapes, templates), "matches")
     return (
         lookup_join(shaped, matches.select("shape", "log_key"), ["shape"], "left", [order])
         .withColumn(

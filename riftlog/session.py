@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +50,10 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(jobs: Sequence[Callable], at_once: int = 5) -> list:
+    """Run independent Spark jobs at the same time, so that one fills the slots the
+    others leave free; results in the order of ``jobs``."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

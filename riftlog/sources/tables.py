@@ -53,6 +53,15 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table ahead of costly work per row. Where its files give fewer
+    splits than the cluster has slots, rows are dealt out over all slots first; a
+    large table has more splits than that and is read where it lies."""
+    df = spark.read.parquet(path)
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, multiline: bool = True
 ) -> DataFrame:

@@ -56,7 +56,7 @@ def _learner(similarity: float):
                 versions[p] = int(versions[p]) + 1
                 lines[p] = int(line) if versions[p] == 1 else int(lines[p])
                 touched.add(int(p))
-        texts = [" ".join(vocabulary[t]) for t in templates]
+        texts = [" ".join([vocabulary[c] for c in t]) for t in templates]
         state.update((texts, lines, versions, rows))
         at = sorted(touched)
         yield pd.DataFrame(
