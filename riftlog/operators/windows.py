@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riftlog.config import WINDOW_LINES
 
-BLOCK_LINES = 1 << 16
+BLOCK_LINES = 1 << 13
 
 
 def sliding_windows(
@@ -34,7 +34,12 @@ def sliding_windows(
         (F.pmod(number, F.lit(block_lines)) < size - 1) & (block > 0), F.array(block, block - 1)
     ).otherwise(F.array(block))
     columns = list(dict.fromkeys([*keys, order, *collect, *carry]))
-    placed = lines.select(*columns, F.explode(belongs).alias("_block"))
+    # Windows are many times the size of the lines they come from, so the number of
+    # partitions is the configured one, not one made to fit the lines.
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = lines.select(*columns, F.explode(belongs).alias("_block")).repartition(
+        parts, *keys, "_block"
+    )
     frame = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(0, size - 1)
     arrays = {f"{c}_window": F.collect_list(F.struct(c)).over(frame) for c in collect}
     full = F.size(f"{collect[0]}_window") == size
