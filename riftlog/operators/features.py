@@ -152,28 +152,22 @@ def padded_token_ids(
     """``doc, input_ids, attention_mask``: token ids of the first ``length`` words,
     filled up with the pad id. The vocabulary is of fixed size, so it is broadcast."""
     cut = docs.select(doc, F.slice(words(F.col(text)), 1, length).alias("_w"))
+    known = F.struct("_at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
     ids = (
-        cut.select(doc, F.posexplode("_w").alias("_at", "term"))
+        cut.select(doc, F.posexplode_outer("_w").alias("_at", "term"))
         .join(F.broadcast(vocab), "term", "left")
         .groupBy(doc)
         .agg(
-            F.array_sort(
-                F.collect_list(F.struct("_at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
-            )["id"].alias("_ids")
+            F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), known)))["id"].alias("_ids")
         )
     )
-    filled = F.coalesce("_ids", F.array().cast("array<int>"))
-    pad = F.lit(length) - F.size(filled)
-    return (
-        docs.select(doc)
-        .join(ids, doc, "left")
-        .select(
-            doc,
-            F.concat(filled, F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
-            F.concat(
-                F.array_repeat(F.lit(1), F.size(filled)), F.array_repeat(F.lit(0), pad)
-            ).alias("attention_mask"),
-        )
+    pad = F.lit(length) - F.size("_ids")
+    return ids.select(
+        doc,
+        F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
+        F.concat(
+            F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad)
+        ).alias("attention_mask"),
     )
 
 

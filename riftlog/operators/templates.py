@@ -114,6 +114,8 @@ def encode_tokens(shapes) -> tuple[np.ndarray, list[str]]:
 def _mine_leaf(shapes, lines, counts, similarity: float) -> list[tuple]:
     """All versions of the templates of one leaf: (template, first_line_no,
     since_line_no, version, is_current, n_rows)."""
+    if len(shapes) == 1:
+        return [(shapes[0], lines[0], lines[0], 1, True, counts[0])]
     codes, vocabulary = encode_tokens(shapes)
     _, place, changed = grow_leaf(codes, similarity)
     total = np.bincount(place, weights=counts).astype(np.int64)
@@ -188,10 +190,10 @@ def mine_versions(
     ``first_line_no`` is where the template first appeared, and ``n_rows`` counts
     its input rows.
 
-    A leaf with one shape is its own template and never leaves the JVM. A leaf of
-    up to ``piece_tokens`` tokens is mined in one go, in order of appearance. A
-    larger one is cut into pieces in that order, and the templates of the pieces
-    are mined again until the leaf fits or no round makes it smaller by a tenth."""
+    A leaf of up to ``piece_tokens`` tokens is mined in one go, in order of
+    appearance. A larger one is cut into pieces in that order, and the templates of
+    the pieces are mined again until the leaf fits or no round makes it smaller by
+    a tenth. Only the larger leaves are looked up, so as a rule nothing is joined."""
     per_piece = F.greatest(F.floor(F.lit(piece_tokens) / F.col("n_tokens")), F.lit(2))
     columns = [
         *LEAF, "template", "first_line_no", "since_line_no", "version", "is_current", "n_rows"
@@ -200,24 +202,23 @@ def mine_versions(
     done: list[DataFrame] = []
     before = None
     while True:
-        sizes = settle(work.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("_size")), "leaf-sizes")
-        large = sizes.filter(F.col("_size") > per_piece)
+        sizes = work.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("_size"))
+        large = settle(sizes.filter(F.col("_size") > per_piece), "large-leaves")
         total = large.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
-        sized = lookup_join(work, sizes, LEAF, "inner", ["shape"])
-        stuck = before is not None and total > 0.9 * before
-        if stuck:
+        if not total:
+            done.append(_mine(work, list(LEAF), similarity).select(*columns))
+            break
+        large = large.select(*LEAF)
+        whole = lookup_join(work, large, LEAF, "left_anti", ["shape"])
+        done.append(_mine(whole, list(LEAF), similarity).select(*columns))
+        rest = lookup_join(work, large, LEAF, "left_semi", ["shape"])
+        if before is not None and total > 0.9 * before:
             # No piece gained from the others: what is left are the templates.
-            rest = sized.filter(F.col("_size") > per_piece)
             done.append(_as_templates(rest).select(*columns))
-            sized = sized.filter(F.col("_size") <= per_piece)
-        done.append(_as_templates(sized.filter(F.col("_size") == 1)).select(*columns))
-        whole = sized.filter((F.col("_size") > 1) & (F.col("_size") <= per_piece))
-        done.append(_mine(whole, list(LEAF), similarity).select(*columns))
-        if stuck or not total:
             break
-        pieces = with_positions(
-            sized.filter(F.col("_size") > per_piece), "first_line_no", LEAF, block_rows
-        ).withColumn("_piece", F.floor(F.col("pos") / per_piece))
+        pieces = with_positions(rest, "first_line_no", LEAF, block_rows).withColumn(
+            "_piece", F.floor(F.col("pos") / per_piece)
+        )
         mined = settle(_mine(pieces, [*LEAF, "_piece"], similarity), "pieces")
         done.append(mined.filter(~F.col("is_current")).select(*columns))
         # A current template of a piece is a shape of the next round; equal ones
