@@ -60,8 +60,9 @@ class TfIdf:
         return len(self.terms)
 
     def transform(self, df: DataFrame, text: str = "sequence", to: str = "vector") -> DataFrame:
-        """Add the unit-length TF-IDF vector of ``text``; words outside the
-        vocabulary are ignored. Works row by row in the JVM, nothing is shuffled."""
+        """Add the unit-length TF-IDF vector of ``text``, a text or an array of words;
+        words outside the vocabulary are ignored. Works row by row in the JVM, nothing
+        is shuffled."""
         counts = CountVectorizerModel.from_vocabulary(
             list(self.terms), inputCol="_words", outputCol="_counts"
         )
@@ -69,7 +70,9 @@ class TfIdf:
             scalingVec=DenseVector(np.array(self.idf)), inputCol="_counts", outputCol="_weighted"
         )
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=to)
-        tokenised = df.withColumn("_words", F.coalesce(words(F.col(text)), F.array().cast("array<string>")))
+        is_text = df.schema[text].dataType.typeName() == "string"
+        tokens = words(F.col(text)) if is_text else F.col(text)
+        tokenised = df.withColumn("_words", F.coalesce(tokens, F.array().cast("array<string>")))
         out = unit.transform(weigh.transform(counts.transform(tokenised)))
         return out.drop("_words", "_counts", "_weighted")
 

@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from riftlog.config import DISTANCE_THRESHOLD, WINDOW_LINES
+from riftlog.functions.parsing import computed_once
+from riftlog.functions.tokens import words
 from riftlog.operators.autoencoder import Network, with_latent
 from riftlog.operators.features import TfIdf
 from riftlog.operators.iforest import Forest, decide, keep_windows
 from riftlog.operators.kmeans import Centroids, assign_clusters, flag_far
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.templates import LEAF, distinct_shapes, match_shapes, with_shape
-from riftlog.operators.windows import joined, sliding_windows
+from riftlog.operators.windows import sliding_windows
 from riftlog.session import settle
 
 
@@ -65,11 +67,16 @@ def with_unit(
 def scoring_windows(
     lines: DataFrame, size: int = WINDOW_LINES, line: str = "value", keys=("file",)
 ) -> DataFrame:
-    """Windows of an uploaded log with a ``unit`` column: start line and text.
-    Several files are scored at once; files too short for a window give none."""
-    windows = sliding_windows(lines, keys, "line_no", ["unit"], [line], size)
+    """Windows of an uploaded log with a ``unit`` column: start line and words.
+    Several files are scored at once; files too short for a window give none.
+
+    The words of a window are those of its units in order, as if these had been
+    joined by blanks; so each line is cut into words once, not once per window."""
+    none = F.array().cast("array<string>")
+    cut = computed_once(lines, words=F.coalesce(words(F.col("unit")), none))
+    windows = sliding_windows(cut, keys, "line_no", ["words"], [line], size)
     return windows.select(
-        *keys, "line_no", F.col(line).alias("window_start_line"), joined("unit_window").alias("sequence")
+        *keys, "line_no", F.col(line).alias("window_start_line"), F.flatten("words_window").alias("words")
     )
 
 
@@ -78,25 +85,25 @@ def score_kmeans(
 ) -> DataFrame:
     """``window_start_line, cluster, anomaly_score, is_anomaly`` by the distance to
     the nearest centre."""
-    scored = assign_clusters(model.tfidf.features(windows), model.centroids)
-    return flag_far(scored, threshold).drop("features", "sequence")
+    scored = assign_clusters(model.tfidf.features(windows, "words"), model.centroids)
+    return flag_far(scored, threshold).drop("features", "words")
 
 
 def score_forest(windows: DataFrame, model: ForestModel, keep: str = "all") -> DataFrame:
     """``window_start_line, anomaly_score, is_anomaly`` by the isolation forest;
     ``keep`` may leave only the normal or only the abnormal windows."""
-    scored = decide(model.tfidf.features(windows), model.forest)
-    return keep_windows(scored, keep).drop("features", "sequence")
+    scored = decide(model.tfidf.features(windows, "words"), model.forest)
+    return keep_windows(scored, keep).drop("features", "words")
 
 
 def score_encoder(windows: DataFrame, model: EncoderModel) -> DataFrame:
     """``log_window_start, cluster, anomaly_score`` by the reconstruction error,
     with the cluster of the latent vector."""
-    encoded = with_latent(model.tfidf.features(windows), model.network)
+    encoded = with_latent(model.tfidf.features(windows, "words"), model.network)
     return (
         assign_clusters(encoded, model.centroids, "latent")
         .withColumnsRenamed(
             {"reconstruction_error": "anomaly_score", "window_start_line": "log_window_start"}
         )
-        .drop("features", "sequence", "latent", "distance")
+        .drop("features", "words", "latent", "distance")
     )
