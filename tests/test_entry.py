@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, duck
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SOME = ("parse_log", "request_id_top50", "template_keys", "session_pieces", "tfidf_capped", "context_payload")
@@ -11,7 +12,8 @@ SOME = ("parse_log", "request_id_top50", "template_keys", "session_pieces", "tfi
 
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not [q for q in entry.queries() if q.startswith("op") or "pipeline" in q]
+    assert set(QUERIES) <= set(entry.queries())
+    assert all(callable(q) for q in entry.queries().values())
 
 
 def test_flagship(spark):
