@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import mixing
+from riftlog.llm import language_id, mixing, quality_model, toxicity
+from riftlog.llm.labelled import fold, held_out
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,8 +18,36 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language_id.predict(docs, language_id.fit(docs, where=fold(F.col("doc_id")) != 1), keep=["doc_id"])
+    return found.select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", F.col("cosine").alias("score"), "rejected"
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")), keep=["doc_id"])
+    return scored.select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), "offending",
+    )
+
+
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    scored = quality_model.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), where=fold(F.col("doc_id")) != 1)
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id")).alias("held_out"), F.col("quality").alias("score"),
+        (F.col("quality") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLE = {

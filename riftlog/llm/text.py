@@ -69,6 +69,8 @@ class Words:
     start: np.ndarray  # byte offsets in the row's text
     end: np.ndarray
     row_start: np.ndarray  # index of each row's first word, and the total
+    raw: np.ndarray  # the bytes of these rows
+    off: np.ndarray  # where each row's bytes begin, and the total
 
     def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the n-grams inside rows, and the index of their first words."""
@@ -96,13 +98,15 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, (off - off[0]) if len(off) else np.zeros(1, np.int64)
 
 
-def pieces(off: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` bytes; a longer row stands alone, whole."""
+def pieces(off: np.ndarray, size: int = PIECE_BYTES, rows: int = 20_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes and ``rows`` rows at most; a longer row
+    stands alone, whole."""
     a, n = 0, len(off) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(off, off[a] + size, "right")) - 1)
-        yield a, min(b, n)
-        a = min(b, n)
+        b = min(b, n, a + rows)
+        yield a, b
+        a = b
 
 
 def words_of(column: pa.Array, size: int = PIECE_BYTES) -> Iterator[Words]:
@@ -134,7 +138,7 @@ def _words(raw: np.ndarray, off: np.ndarray, first: int) -> Words:
     else:
         h = np.empty(0, _U)
     row = np.searchsorted(off, start, "right") - 1
-    return Words(first, len(off) - 1, h, row, start - off[row], end - off[row], np.searchsorted(row, np.arange(len(off))))
+    return Words(first, len(off) - 1, h, row, start - off[row], end - off[row], np.searchsorted(row, np.arange(len(off))), raw, off)
 
 
 def hash_words(text: str) -> np.ndarray:
