@@ -33,10 +33,11 @@ from riftlog.llm.text import Words, words_of
 
 SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 48_000_000
-#: A word enters the vocabulary if this many sampled toxic documents hold it, if its
-#: share among toxic ones is this many times its share among others, and if the
-#: difference of both shares is this many standard errors.
-LEAST_DOCS, LEAST_RATIO, LEAST_Z = 5, 3.0, 4.0
+#: A word enters the vocabulary if this many sampled toxic documents hold it, if this
+#: share of its documents (with one more of either kind) is toxic, and if its shares
+#: among toxic and other documents differ by this many standard errors; of these, the
+#: words with the greatest differences are the features of the model.
+LEAST_DOCS, LEAST_SHARE, LEAST_Z, MOST_WORDS = 5, 0.6, 5.0, 100
 STEPS, RATE, RIDGE = 400, 0.05, 1e-4
 OFFENDING = 0.5
 
@@ -110,7 +111,8 @@ def vocabulary(doc: np.ndarray, h: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     n_yes, n_no = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
     p, q, both = yes / n_yes, no / n_no, (yes + no) / (n_yes + n_no)
     z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_yes + 1 / n_no))
-    return word[(yes >= LEAST_DOCS) & (z >= LEAST_Z) & (p >= LEAST_RATIO * q)]
+    fit_ = np.flatnonzero((yes >= LEAST_DOCS) & (z >= LEAST_Z) & ((yes + 1) / (yes + no + 2) >= LEAST_SHARE))
+    return np.sort(word[fit_[np.argsort(-z[fit_], kind="stable")[:MOST_WORDS]]])
 
 
 def fit_noisy_or(n_words: int, doc: np.ndarray, bag: np.ndarray, word: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float, float]:
@@ -118,7 +120,7 @@ def fit_noisy_or(n_words: int, doc: np.ndarray, bag: np.ndarray, word: np.ndarra
     evidence, ``word`` is a word of that sentence, ``doc`` the document of each ``bag``."""
     n_bags = len(doc)
     theta = np.zeros(n_words + 2)
-    theta[:n_words], theta[n_words], theta[n_words + 1] = 1.0, -1.0, -3.0
+    theta[:n_words], theta[n_words], theta[n_words + 1] = 1.0, -3.0, -3.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         w, b, leak = theta[:n_words], theta[n_words], theta[n_words + 1]
@@ -157,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     names=["y", "words", "sentences"],
                 )
 
-    rows = texts.select("_y", "_t").mapInArrow(bags, "y int, words binary, sentences binary").toArrow()
+    # Copies of one text are one witness.
+    rows = texts.select("_y", "_t").mapInArrow(bags, "y int, words binary, sentences binary").dropDuplicates(["y", "words"]).toArrow()
     toxic = rows.column("y").to_numpy().astype(float)
     if not len(toxic) or toxic.min() == toxic.max():
         return Model(np.empty(0, np.uint64), np.empty(0), 0.0, float(toxic.mean()) if len(toxic) else 0.0)
