@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riftlog.llm.text import LOWER, column_bytes, mix, pieces
+from riftlog.llm.text import LOWER, carried, column_bytes, mix, pieces
 
 DIMS = 4096
 SAMPLE_ROWS, PER_LANGUAGE, CENTROIDS, ROUNDS = 8_000, 1_000, 4, 12
@@ -137,12 +137,11 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (the columns ``keep``, all by default), ``lang_pred``, ``cosine``, ``rejected``."""
-    keep = docs.columns if keep is None else keep
-    payload = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    payload, texts_of = carried(docs, text_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("text")
+            text = texts_of(batch)
             letters = pc.fill_null(pc.match_substring_regex(text, LETTER), False).to_numpy(zero_copy_only=False)
             for first, counts in term_counts(text):
                 rows = len(counts)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riftlog.llm.labelled import bounded_sample
-from riftlog.llm.text import BYTE_HASH, _POWERS, mix, words_of
+from riftlog.llm.text import BYTE_HASH, _POWERS, carried, mix, words_of
 from riftlog.session import settle
 
 SAMPLE_ROWS = 20_000
@@ -112,13 +112,13 @@ def statistics(words) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def document_statistics(docs: DataFrame, *, text_col: str = "text", keep: list[str]) -> DataFrame:
+def document_statistics(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` and ``x``, the statistics, of every document."""
-    payload = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    payload, texts_of = carried(docs, text_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in words_of(batch.column("text")):
+            for words in words_of(texts_of(batch)):
                 x = statistics(words).astype(np.float32)
                 flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(words.first, words.rows), flat], names=["row", "x"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import language_id, mixing, quality_model, toxicity
+from riftlog.llm import decontaminate, language_id, license_scan, mixing, quality_model, token_counts, toxicity
 from riftlog.llm.labelled import fold, held_out
 
 
@@ -18,6 +18,21 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf, "documents"), token_counts.read_vocabulary(), keep=["doc_id"])
+    return counted.select("row.doc_id", "n_chars", "n_tokens")
+
+
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
+    return found.select("row.doc_id", F.explode("hits").alias("hit")).select("doc_id", F.col("hit.item").alias("item_id"), "hit.matched_words", "hit.first_word", "hit.last_word")
+
+
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
+
+
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = language_id.predict(docs, language_id.fit(docs, where=fold(F.col("doc_id")) != 1), keep=["doc_id"])
@@ -45,6 +60,9 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_token_counts": op2_token_counts,
+    "op3_decontamination": op3_decontamination,
+    "op5_license_scan": op5_license_scan,
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,

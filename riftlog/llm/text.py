@@ -6,11 +6,12 @@ bytes, so that n-grams and windows are array operations."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 PIECE_BYTES = 2_000_000
 _U = np.uint64
@@ -141,6 +142,17 @@ def _words(raw: np.ndarray, off: np.ndarray, first: int) -> Words:
     return Words(first, len(off) - 1, h, row, start - off[row], end - off[row], np.searchsorted(row, np.arange(len(off))), raw, off)
 
 
+def carried(docs: DataFrame, text_col: str, keep: list[str] | None) -> tuple[DataFrame, Callable]:
+    """``docs`` with the columns ``keep`` (all by default) in one column ``row``, so that
+    no name of theirs can clash, and how to get the texts of a batch of it. A text that
+    is kept anyway is not carried twice."""
+    keep = docs.columns if keep is None else keep
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    if text_col in keep and dict(docs.dtypes)[text_col] == "string":
+        return docs.select(row), lambda batch: batch.column("row").field(text_col)
+    return docs.select(row, F.col(f"`{text_col}`").cast("string").alias("text")), lambda batch: batch.column("text")
+
+
 def hash_words(text: str) -> np.ndarray:
     """The word hashes of one text."""
     found = list(words_of(pa.array([text], pa.string())))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riftlog.llm.labelled import bounded_sample, fold
-from riftlog.llm.text import Words, words_of
+from riftlog.llm.text import Words, carried, words_of
 
 SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 48_000_000
@@ -182,13 +182,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (the columns ``keep``, all by default), ``toxicity`` and ``offending``: the
     sentences with p of at least 0.5, as (first_word, last_word, score), words from 0."""
-    keep = docs.columns if keep is None else keep
-    payload = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    payload, texts_of = carried(docs, text_col, keep)
     spans = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in words_of(batch.column("text")):
+            for words in words_of(texts_of(batch)):
                 row, first, last, p = model.sentences(words)
                 silent = np.bincount(row, -np.log1p(-np.minimum(p, 1 - 1e-12)), words.rows)
                 found: list[list] = [[] for _ in range(words.rows)]
