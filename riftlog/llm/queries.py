@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, token_counts, toxicity
+from riftlog.llm import dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, token_counts, toxicity
 from riftlog.llm.labelled import fold, held_out
 
 
@@ -33,6 +33,10 @@ def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
 
 
+def op6_dart_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_lz_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return lz_fingerprint.neighbours(table(spark, sf, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op5_license_scan": op5_license_scan,
+    "op6_dart_minhash": op6_dart_minhash,
     "op7_lz_fingerprint": op7_lz_fingerprint,
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
