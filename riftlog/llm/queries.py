@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, token_counts, toxicity
+from riftlog.llm import dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, suffix_dedup, token_counts, toxicity
 from riftlog.llm.labelled import fold, held_out
 
 
@@ -28,6 +28,11 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("row.doc_id", F.explode("hits").alias("hit")).select("doc_id", F.col("hit.item").alias("item_id"), "hit.matched_words", "hit.first_word", "hit.last_word")
 
 
+def op4_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    spans, _ = suffix_dedup.repeats(table(spark, sf, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), F.col("first").alias("first_word"), (F.col("last") - 1).alias("last_word"))
+
+
 def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf, "documents"), keep=["doc_id"])
     return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
@@ -70,6 +75,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_array": op4_suffix_array,
     "op5_license_scan": op5_license_scan,
     "op6_dart_minhash": op6_dart_minhash,
     "op7_lz_fingerprint": op7_lz_fingerprint,
