@@ -10,6 +10,8 @@ the same beginning are extended to the left and to the right: for each way to sh
 neighbours of a piece at once. What two documents share is reported, as spans of words.
 
 One pass over the texts gives the suffixes, one shuffle sorts them; texts don't move.
+Places of one document that look alike all around (a word or a line repeated on and on)
+are one row with a list of places.
 The words around a suffix are compared by 24 bits each (of ten million pairs of different
 words about one passes as equal, which can lengthen a span by a word), its beginning by 64.
 
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riftlog.llm.text import LOWER, Words, carried, mix, words_of
 from riftlog.session import settle
@@ -39,10 +41,11 @@ from riftlog.session import settle
 LENGTH, SEED = 50, 8
 SIDE = LENGTH - SEED  # words that a run can reach on either side
 GATHER = 40_000  # suffixes compared at once; a beginning is never cut
-SUFFIX = "id long, at int, key long, after binary, before binary"
+SUFFIX = "id long, key long, after binary, before binary, at array<int>"
 #: kind 0: words first .. last - 1 of id are repeated; 1: and another document keeps
-#: them; 2: a suffix to sort again; 3: the run ``key`` is kept by id within one piece.
-FOUND = "kind byte, id long, first int, last int, key long, after binary, before binary"
+#: them; 2: a suffix to sort again; 3: the run ``key``, which begins ``first`` words before
+#: the places ``at``, is kept by id within one piece.
+FOUND = "kind byte, id long, first int, last int, key long, after binary, before binary, at array<int>"
 
 _U = np.uint64
 _INDEX = _U((1 << 24) - 1)
@@ -88,6 +91,17 @@ def contexts(words: Words, at: np.ndarray, fewest: np.ndarray, most: np.ndarray)
     return _binary(code[after], step < (SIDE - fewest)[:, None]), _binary(code[before], step < most[:, None])
 
 
+def alike(words: Words, at: np.ndarray, key: np.ndarray, fewest: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """A number per suffix, equal for those of one row with the same words around."""
+    with np.errstate(over="ignore"):
+        h = mix(key + mix(words.row[at].astype(_U) * _U(1 << 16) + fewest.astype(_U) * _U(1 << 8) + most.astype(_U)))
+        for j in range(SIDE):
+            after, before = np.minimum(at + SEED + j, len(words.hash) - 1), np.maximum(at - 1 - j, 0)
+            h = h * _U(0x9FB21C651E98DF25) + np.where(j < SIDE - fewest, words.hash[after], _U(0))
+            h = h * _U(0x9FB21C651E98DF25) + np.where(j < most, words.hash[before], _U(0))
+        return mix(h)
+
+
 def codes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Back from binary: (rows, SIDE) codes, and how many there are in each row."""
     if isinstance(column, pa.ChunkedArray):
@@ -111,11 +125,15 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for words in words_of(batch.column("text")):
                 at, key, fewest, most = retained(words)
                 if len(at):
-                    after, before = contexts(words, at, fewest, most)
                     row = words.row[at]
+                    look = alike(words, at, key, fewest, most)
+                    order = np.argsort(look, kind="stable")
+                    first = np.flatnonzero(np.append(True, look[order][1:] != look[order][:-1]))
+                    places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array((at - words.row_start[row])[order], pa.int32()))
+                    one = order[first]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[words.first + row]), pa.array((at - words.row_start[row]).astype(np.int32)), pa.array(key.view(np.int64)), after, before],
-                        names=["id", "at", "key", "after", "before"],
+                        [pa.array(ids[words.first + row[one]]), pa.array(key[one].view(np.int64)), *contexts(words, at[one], fewest[one], most[one]), places],
+                        names=["id", "key", "after", "before", "at"],
                     )
 
     return known.mapInArrow(run, SUFFIX)
@@ -155,51 +173,54 @@ def compare(ids: np.ndarray, key: np.ndarray, right: np.ndarray, left: np.ndarra
     return runs, repeated, kept
 
 
-def _spans(ids: np.ndarray, at: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of words covered by the marked runs: ids, first words, last words + 1."""
+def _spans(ids: np.ndarray, at: np.ndarray, start: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of words covered by the marked runs: ids, first words, last words + 1. The
+    places of suffix i are at[start[i] : start[i + 1]]."""
     edge = np.diff(np.pad(marked.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     row, low = np.nonzero(edge == 1)
     _, high = np.nonzero(edge == -1)
-    return ids[row], at[row] - (high - 1), at[row] - low + LENGTH
+    many = start[row + 1] - start[row]
+    place = at[np.repeat(start[row], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
+    return np.repeat(ids[row], many), place - np.repeat(high - 1, many), place - np.repeat(low, many) + LENGTH
 
 
 def extend(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
     """Compare the neighbours of one sorted piece. With ``again`` those that may go on in
     other pieces are given back; otherwise it is told which runs are kept here by whom."""
     names = [x.split()[0] for x in FOUND.split(", ")]
-    kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
 
-    def rows(kind: int, ids, first=None, last=None, key=None, after=None, before=None) -> pa.RecordBatch:
+    def rows(kind: int, ids, first=None, last=None, key=None, after=None, before=None, at=None) -> pa.RecordBatch:
         n = len(ids)
-        given = [np.full(n, kind, np.int8), ids, first, last, key, after, before]
+        given = [np.full(n, kind, np.int8), ids, first, last, key, after, before, at]
         columns = [pa.nulls(n, k) if x is None else x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(given, kinds)]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def piece(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
-        ids, at, key = (table.column(c).to_numpy() for c in ("id", "at", "key"))
+        ids, key = (table.column(c).to_numpy() for c in ("id", "key"))
         change = np.append(True, key[1:] != key[:-1])
         size = np.diff(np.append(np.flatnonzero(change), len(key)))
         use = np.repeat(size, size) > 1
         if not use.any():
             return
-        own = table.filter(pa.array(use))
-        ids, at, key = ids[use], at[use].astype(np.int64), key[use].view(_U)
+        own = table.filter(pa.array(use)).combine_chunks()
+        ids, key = ids[use], key[use].view(_U)
         for a, b in _parts(key):
+            places = own.column("at").slice(a, b - a).combine_chunks()
+            at, start = places.flatten().to_numpy().astype(np.int64), places.offsets.to_numpy().astype(np.int64)
+            start = start - start[0]
             sides = [_sides(*codes_of(own.column(c).slice(a, b - a)), salt) for salt, c in ((1, "after"), (2, "before"))]
             runs, repeated, kept = compare(ids[a:b], key[a:b], *sides)
             for kind, marked in ((0, repeated), (1, repeated & ~kept)):
-                yield rows(kind, *_spans(ids[a:b], at[a:b], marked))
+                yield rows(kind, *_spans(ids[a:b], at, start, marked))
             if not again:
                 row, offset = np.nonzero(repeated & kept)
-                run, where = np.unique(runs[row, offset], return_index=True)
-                row, offset = row[where], offset[where]
-                first = at[a:b][row] - offset
-                yield rows(3, ids[a:b][row], first, first + LENGTH, run.view(np.int64))
+                yield rows(3, ids[a:b][row], first=offset, key=runs[row, offset].view(np.int64), at=places.take(pa.array(row)))
 
     def give_back(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for b in table.to_batches():
-            yield rows(2, b.column("id"), b.column("at"), b.column("at"), b.column("key"), b.column("after"), b.column("before"))
+            yield rows(2, b.column("id"), key=b.column("key"), after=b.column("after"), before=b.column("before"), at=b.column("at"))
 
     held: list[pa.RecordBatch] = []
     first_key = None
@@ -259,18 +280,20 @@ def _merge(spans: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Spans of words that other documents repeat, and those of them that another
     document keeps: (id, first, last), words from 0, ``last`` exclusive."""
-    def look(rows: DataFrame, order: Column, again: bool) -> DataFrame:
-        array = rows.repartitionByRange("key", order).sortWithinPartitions("key", order)
-        return array.select("id", "at", "key", "after", "before").mapInArrow(lambda it: extend(it, again), FOUND)
-
-    found = settle(look(suffixes(docs, id_col, text_col), F.col("after"), True), "suffixes")
-    rest = found.where("kind = 2").select("id", F.col("first").alias("at"), "key", "after", "before")
-    rest = settle(look(rest, F.col("after"), False).unionByName(look(rest, F.col("before"), False)).drop("after", "before"), "hot")
+    def look(rows: DataFrame, one: str, other: str, again: bool) -> DataFrame:
+        order = ["key", one, other, "id"]
+        array = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        return array.mapInArrow(lambda it: extend(it, again), FOUND)
+
+    found = settle(look(suffixes(docs, id_col, text_col), "after", "before", True), "suffixes")
+    rest = found.where("kind = 2").select("id", "key", "after", "before", "at")
+    rest = settle(look(rest, "after", "before", False).unionByName(look(rest, "before", "after", False)).drop("after", "before"), "hot")
     spans = found.where("kind < 2").select("kind", "id", "first", "last").union(rest.where("kind < 2").select("kind", "id", "first", "last"))
     # A run that several pieces keep stays with the smallest id of them all.
     keepers = rest.where("kind = 3")
     least = keepers.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    lost = keepers.join(least, "key").where("id <> least").select("id", "first", "last")
+    lost = keepers.join(least, "key").where("id <> least").select("id", "first", F.explode("at").alias("place"))
+    lost = lost.select("id", (F.col("place") - F.col("first")).alias("first"), (F.col("place") - F.col("first") + LENGTH).alias("last"))
     return (_merge(spans.where("kind = 0").select("id", "first", "last")),
             _merge(spans.where("kind = 1").select("id", "first", "last").union(lost)))
 

@@ -85,6 +85,8 @@ def test_planted_and_hot(spark, pieces):
         for _ in range(3):
             own[random.randrange(len(own))] = random.choice(pool)
         texts.append(own)
+    line = take(7)
+    texts += [["on"] * random.randint(40, 400) for _ in range(20)] + [take(9) + line * random.randint(5, 60) + take(5) for _ in range(20)]
     docs = [(d, " ".join(t).capitalize()) for d, t in enumerate(texts)]
     want, cut = brute(docs)
     table = documents(spark, [t for _, t in docs])
