@@ -32,7 +32,7 @@ from riftlog.llm.labelled import bounded_sample, fold
 from riftlog.llm.text import Words, carried, words_of
 
 SAMPLE_ROWS = 8_000
-SAMPLE_BYTES = 48_000_000
+SAMPLE_BYTES = 24_000_000
 #: A word enters the vocabulary if this many sampled toxic documents hold it, if this
 #: share of its documents (with one more of either kind) is toxic, and if its shares
 #: among toxic and other documents differ by this many standard errors; of these, the
@@ -100,14 +100,18 @@ def _softplus(z):
     return np.logaddexp(0, z)
 
 
-def vocabulary(doc: np.ndarray, h: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Words that mark toxic documents; ``doc`` and ``h`` list the words of documents."""
-    pairs = np.unique(np.stack([h, doc.astype(np.uint64)], 1), axis=0) if len(h) else np.empty((0, 2), np.uint64)
-    word, first = np.unique(pairs[:, 0], return_index=True)
-    if not len(word):
-        return word
-    yes = np.add.reduceat(toxic[pairs[:, 1].astype(np.int64)].astype(float), first)
-    no = np.diff(np.append(first, len(pairs))) - yes
+def vocabulary(hashes: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Words that mark toxic documents; ``hashes`` lists the words of each document."""
+    own = [np.unique(h) for h in hashes]
+    h, doc = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+    if not len(h):
+        return h
+    order = np.argsort(h, kind="stable")
+    h, bad = h[order], toxic[doc[order]]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    word = h[first]
+    yes = np.add.reduceat(bad, first)
+    no = np.diff(np.append(first, len(h))) - yes
     n_yes, n_no = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
     p, q, both = yes / n_yes, no / n_no, (yes + no) / (n_yes + n_no)
     z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_yes + 1 / n_no))
@@ -166,15 +170,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         return Model(np.empty(0, np.uint64), np.empty(0), 0.0, float(toxic.mean()) if len(toxic) else 0.0)
     hashes = [np.frombuffer(x, np.uint64) for x in rows.column("words").to_pylist()]
     sentences = [np.frombuffer(x, np.int32) for x in rows.column("sentences").to_pylist()]
-    lengths = np.array([len(x) for x in hashes])
-    h, doc = np.concatenate(hashes), np.repeat(np.arange(len(hashes)), lengths)
-    words = vocabulary(doc, h, toxic)
+    words = vocabulary(hashes, toxic)
     model = Model(words, np.zeros(len(words)), 0.0, 0.0)
-    at, number = model.find(h)
-    counts = np.array([x[-1] + 1 if len(x) else 0 for x in sentences])
-    bag = np.concatenate(sentences)[at].astype(np.int64) + np.repeat(np.cumsum(counts) - counts, lengths)[at]
-    pairs = np.unique(np.stack([bag, number, doc[at]], 1), axis=0)
-    bags_, first, place = np.unique(pairs[:, 0], return_index=True, return_inverse=True)
+    bag, number, doc, bags_before = [], [], [], 0
+    for d, (h, sentence) in enumerate(zip(hashes, sentences)):
+        at, n = model.find(h)
+        bag.append(sentence[at].astype(np.int64) + bags_before)
+        number.append(n)
+        doc.append(np.full(len(n), d))
+        bags_before += int(sentence[-1]) + 1 if len(sentence) else 0
+    pairs = np.unique(np.stack([np.concatenate(x) for x in (bag, number, doc)], 1), axis=0)
+    _, first, place = np.unique(pairs[:, 0], return_index=True, return_inverse=True)
     model.weights, model.bias, model.leak = fit_noisy_or(len(words), pairs[first, 2], place, pairs[:, 1], toxic)
     return model
 
