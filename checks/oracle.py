@@ -331,6 +331,7 @@ ORACLE = {
       SELECT event_id, {_dec("coalesce(value, (SELECT avg(value) FROM holes))")} AS value,
         {_dec("coalesce(user_id::DOUBLE, (SELECT avg(user_id) FROM holes))")} AS user_id FROM holes""",
     "validation_report": f"WITH {_PARSED}, r AS ({_FAILED}) SELECT *, failed = 0 AS success FROM r",
+    "stored_validation_report": f"WITH {_PARSED}, r AS ({_FAILED}) SELECT *, failed = 0 AS success FROM r",
     "validated_log": f"WITH {_PARSED} SELECT line_no, pid::DOUBLE AS pid FROM parsed",
     "mask_shapes": f"WITH {_SHAPED}, {_shapes('SELECT * FROM shaped')} SELECT shape, n_rows, first_line_no, n_tokens FROM shapes",
     "mask_document_shapes": f"""WITH {_shapes(f"SELECT doc_id AS line_no, {_shape('text')} AS shape FROM documents")}
@@ -367,7 +368,8 @@ ORACLE = {
       hits AS (SELECT line_no, arg_max(event_id, weight) AS event_id FROM parsed
         JOIN catalogue ON regexp_matches(message, pattern) GROUP BY line_no)
       SELECT line_no, event_id FROM parsed LEFT JOIN hits USING (line_no)""",
-    "session_sequences": _pieces(10_000),
+    "session_sequences": _pieces(1 << 40),
+    "session_sequences_from_parts": _pieces(1 << 40),
     "session_pieces": _pieces(256),
     "conversation_sequences": """SELECT conv_id AS session_id, CAST(0 AS BIGINT) AS piece, count(*) AS n_events,
       string_agg(text, ' ' ORDER BY turn) AS sequence FROM conversations GROUP BY conv_id""",

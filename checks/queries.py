@@ -15,6 +15,7 @@ from riftlog.operators import (
 from riftlog.operators.scoring import (
     ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
 )
+from riftlog.plans.batch import store_report
 from riftlog.session import scratch_path, settle
 from riftlog.sources import messages, tables, text_logs
 from riftlog.sources.event_lines import event_lines
@@ -258,6 +259,10 @@ def validation_report(spark, sf):
     return quality.validate(parsed(spark, sf), _suite())
 
 
+def stored_validation_report(spark, sf):
+    return store_report(quality.validate(parsed(spark, sf), _suite()), scratch_path(spark, "reports"))
+
+
 def validated_log(spark, sf):
     """Gate, then impute: rows come out only when the suite holds."""
     p = parsed(spark, sf)
@@ -371,6 +376,10 @@ def session_sequences(spark, sf):
     return _shape_sequences(spark, sf)
 
 
+def session_sequences_from_parts(spark, sf):
+    return _shape_sequences(spark, sf, build_events=256, block_rows=1000)
+
+
 def session_pieces(spark, sf):
     return _shape_sequences(spark, sf, piece_events=256, block_rows=1000)
 
@@ -738,9 +747,14 @@ def model_roundtrip(spark, sf):
 
 def stream_templates(spark, sf):
     source, out, mark = (scratch_path(spark, x) for x in ("arriving", "updates", "mark"))
-    text_logs.write_log(lines(spark, sf), source, files=3)
+    # Three files that arrive one after the other, a micro-batch each.
+    log = stored(lines(spark, sf))
+    n = log.count()
+    for i in range(3):
+        part = log.where((F.col("line_no") >= n * i // 3) & (F.col("line_no") < n * (i + 1) // 3))
+        part.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("append").text(source)
     # Lines of a stream are numbered by their event time here.
-    arriving = with_event_time(parse_lines(spark.readStream.text(source)))
+    arriving = with_event_time(parse_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(source)))
     numbered = arriving.select(
         "message", F.unix_micros(F.col("event_ts").cast("timestamp")).alias("line_no")
     )
@@ -784,11 +798,11 @@ QUERIES = {
         parse_log, parse_rejects, event_times, impute_request_id, drop_missing_message,
         numeric_columns, sequence_text, log_scalars, preview_lines,
         request_id_top50, request_id_top50_map, request_id_profile, column_summary,
-        histogram_lineitem, histogram_pid, mean_impute, validation_report, validated_log,
+        histogram_lineitem, histogram_pid, mean_impute, validation_report, stored_validation_report, validated_log,
         mask_shapes, mask_document_shapes, template_keys, mine_leaf_templates, mine_templates,
         mine_templates_in_pieces, mine_document_templates, template_versions, match_templates,
         document_template_versions, tag_log_key, template_usage, unseen_templates, match_catalogue, template_state_roundtrip,
-        session_sequences, session_pieces, conversation_sequences, sliding_windows, user_windows,
+        session_sequences, session_sequences_from_parts, session_pieces, conversation_sequences, sliding_windows, user_windows,
         conversation_windows, short_files, context_payload,
         vocabulary_top1000, tfidf_capped, tfidf_full, tfidf_transform, dense_vectors,
         token_ids_padded, split_80_20, split_tail10,

@@ -18,9 +18,10 @@ def top_values(df: DataFrame, column: str, k: int = TOP_VALUES) -> DataFrame:
 
 def top_values_map(df: DataFrame, column: str, k: int = TOP_VALUES) -> DataFrame:
     """The top values folded into one map cell (at most ``k`` entries). A map
-    holds no missing key, so that one is written as an empty text."""
-    pair = F.struct(F.coalesce("value", F.lit("")).alias("key"), F.col("n").alias("value"))
-    return top_values(df, column, k).agg(
+    holds no missing key, so that one is counted with the empty text."""
+    named = top_values(df, column, k).groupBy(F.coalesce("value", F.lit("")).alias("value")).agg(F.sum("n").alias("n"))
+    pair = F.struct(F.col("value").alias("key"), F.col("n").alias("value"))
+    return named.agg(
         F.map_from_entries(F.sort_array(F.collect_list(pair))).alias("top")
     )
 

@@ -8,7 +8,8 @@ from riftlog.operators.lookups import lookup_join
 from riftlog.operators.positions import BLOCK_ROWS, with_positions
 from riftlog.session import settle
 
-PIECE_EVENTS = 10_000
+#: Events of a long session that one task puts in order.
+BUILD_EVENTS = 10_000
 
 
 def _in_order(order: str, text: str) -> Column:
@@ -21,16 +22,19 @@ def session_sequences(
     key: str = "request_id",
     order: str = "line_no",
     text: str = "template",
-    piece_events: int = PIECE_EVENTS,
+    piece_events: int | None = None,
+    build_events: int = BUILD_EVENTS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``session_id, piece, n_events, sequence``: the texts of each session in
     order, joined by blanks. Rows without a session or a text are skipped.
 
-    A session of up to ``piece_events`` events is one row with ``piece`` 0. A
-    longer one, such as the system session that takes all unnamed requests, is
-    given in pieces of exactly ``piece_events`` events; joined in order they are
-    the whole sequence. So no task ever holds more than one piece."""
+    A session is one row with ``piece`` 0, whatever its length (up to the 2 GB that a
+    value can hold): a long one, such as the system session that takes all unnamed
+    requests, is put in order in parts of ``build_events`` events, and one aggregate
+    joins its ordered parts. A caller who wants bounded rows names ``piece_events``:
+    longer sessions then come in pieces of exactly that many events."""
+    whole, piece_events = piece_events is None, piece_events or build_events
     kept = rows.select(
         F.col(key).alias("session_id"), F.col(order).alias("_order"), F.col(text).alias("_text")
     ).dropna()
@@ -55,8 +59,12 @@ def session_sequences(
     cold = lookup_join(kept, long_ones, ["session_id"], "left_anti", spread).withColumn(
         "piece", F.lit(0).cast("bigint")
     )
-    return (
-        cold.unionByName(hot)
-        .groupBy("session_id", "piece")
-        .agg(F.count(F.lit(1)).alias("n_events"), _in_order("_order", "_text").alias("sequence"))
+    pieces = lambda df: df.groupBy("session_id", "piece").agg(
+        F.count(F.lit(1)).alias("n_events"), _in_order("_order", "_text").alias("sequence")
     )
+    if not whole:
+        return pieces(cold.unionByName(hot))
+    joined = pieces(hot).groupBy("session_id").agg(
+        F.lit(0).cast("bigint").alias("piece"), F.sum("n_events").alias("n_events"), _in_order("piece", "sequence").alias("sequence")
+    )
+    return pieces(cold).unionByName(joined)

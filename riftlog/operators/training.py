@@ -42,6 +42,7 @@ def train_kmeans(
     sequences: DataFrame, run_id: str = "kmeans", k: int = N_CLUSTERS, seeds=KMEANS_SEEDS,
     max_features: int = MAX_FEATURES,
 ) -> tuple[KMeansModel, DataFrame]:
+    sequences = sequences.filter(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
     tfidf = fit_tfidf(sequences, limit=max_features)
     data = settle(tfidf.transform(tfidf.features(sequences.select("sequence"))), "kmeans-input")
     centroids, trials = fit_best_kmeans(data, "vector", k, seeds)

@@ -16,6 +16,7 @@ from riftlog.sources.messages import append_update
 from riftlog.sources.models import save_model
 from riftlog.sources.tables import read_csv, require_columns, require_rows, write_version
 from riftlog.sources.text_logs import read_log
+from riftlog.session import scratch_path
 
 
 def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) -> dict[str, object]:
@@ -29,9 +30,13 @@ def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) ->
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    raw = read_log(spark, layout.raw, one_log=True)
-    stored(raw.filter(~line_matches(F.col("value"))), layout.rejects)
-    structured = stored(parse_lines(raw), layout.structured)
+    # The log is numbered once; what follows reads the numbered lines by kind.
+    numbered = read_log(spark, layout.raw, one_log=True)
+    path = scratch_path(spark, "numbered")
+    numbered.withColumn("matched", line_matches(F.col("value"))).write.partitionBy("matched").parquet(path)
+    raw = spark.read.schema("file string, line_no bigint, value string, matched boolean").parquet(path)
+    stored(raw.filter(~F.col("matched")).drop("matched"), layout.rejects)
+    structured = stored(parse_lines(raw.filter("matched").drop("matched")), layout.structured)
     require_columns(structured, "request_id", "message")
     require_rows(structured.filter(F.col("message").isNotNull()), "structured log")
 
@@ -53,13 +58,20 @@ def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) ->
     return out
 
 
+def store_report(report: DataFrame, path: str) -> DataFrame:
+    """Keep a validation report as a version below ``path``, and read it back."""
+    return report.sparkSession.read.parquet(write_version(report, path))
+
+
 def run_quality(
-    spark: SparkSession, source: str, schema, out: str, expected: dict[str, str] = EXPECTED_TYPES
+    spark: SparkSession, source: str, schema, out: str, expected: dict[str, str] = EXPECTED_TYPES,
+    reports: str | None = None, multiline: bool = False,
 ) -> str:
-    """Read a table without header, check it, fill missing numbers with their
-    mean, and write it. Stops before the write if a check fails."""
-    df = read_csv(spark, source, schema, header=False)
-    gate(validate(df, schema_suite(expected)))
+    """Read a table without header, check it, store the report (below ``reports``, by
+    default ``<out>-reports``), fill missing numbers with their mean, and write it.
+    Stops before the write if a check fails; the report is then there to read."""
+    df = read_csv(spark, source, schema, header=False, multiline=multiline)
+    gate(store_report(validate(df, schema_suite(expected)), reports or f"{out.rstrip('/')}-reports"))
     return write_version(mean_impute(df), out, "csv")
 
 

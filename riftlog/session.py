@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -29,12 +30,16 @@ def build_session(app: str = "riftlog", master: str | None = None, **settings: s
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only
-    where that is unset, as in tests, a folder of our own is made and named."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only where
+    that is unset and all tasks run in this process, as in tests, a folder of our own
+    is made and named; on a cluster the executors could not share it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="riftlog-")
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from riftlog.operators.lookups import is_small
+
 STRUCTURED = T.StructType(
     [
         T.StructField("source", T.StringType()),
@@ -84,8 +86,11 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
 def write_version(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> str:
     """Write to a fresh directory below ``path`` and return it. A table may so be
     rewritten from itself: readers of the old version are not disturbed.
-    ``single_file`` is for small exports, since one task then writes everything."""
+    ``single_file`` is for small exports, since one task then writes everything; a
+    table that is not proven small is refused."""
     version = f"{path.rstrip('/')}/v={uuid.uuid4().hex}"
+    if single_file and not is_small(df):
+        raise ValueError("too large for a single file")
     out = df.coalesce(1) if single_file else df
     writer = out.write
     if fmt == "csv":

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riftlog.functions.parsing import strip
 from riftlog.operators.lookups import lookup_join
+from riftlog.session import settle
+
+#: File splits whose line counts may be broadcast, and the size of such a row as text.
+SPLITS, SPLIT_BYTES = 4_000_000, 256
 
 
 def _raw(reader, path) -> DataFrame:
@@ -50,7 +54,12 @@ def number_lines(scanned: DataFrame, one_log: bool = False) -> DataFrame:
             "file", "split_start", "_first", (F.sum("_n").over(until) - F.col("_n")).alias("_before")
         )
     )
-    numbered = lookup_join(marked, splits, ["file", "split_start"], "inner", spread_by=["_id"])
+    # One short row per split: settled, so that it is computed once, and broadcast up
+    # to some hundreds of terabytes of log, so that no line moves.
+    numbered = lookup_join(
+        marked, settle(splits, "splits"), ["file", "split_start"], "inner", spread_by=["_id"],
+        max_rows=SPLITS, max_bytes=SPLITS * SPLIT_BYTES,
+    )
     return numbered.select(
         "file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value"
     )

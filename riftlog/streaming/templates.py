@@ -52,10 +52,10 @@ def _learner(similarity: float):
         touched = set()
         for p, c, line, n in zip(place, changed, new["first_line_no"], new["n_rows"]):
             rows[p] = int(rows[p]) + int(n)
+            touched.add(int(p))  # its count is new, its text perhaps
             if c:
                 versions[p] = int(versions[p]) + 1
                 lines[p] = int(line) if versions[p] == 1 else int(lines[p])
-                touched.add(int(p))
         texts = [" ".join([vocabulary[c] for c in t]) for t in templates]
         state.update((texts, lines, versions, rows))
         at = sorted(touched)
@@ -76,9 +76,10 @@ def _learner(similarity: float):
 
 def learn_templates(rows: DataFrame, message: str = "message", similarity: float = SIMILARITY) -> DataFrame:
     """A stream of parsed rows (with ``line_no``) becomes a stream of templates
-    that are new or have changed: ``n_tokens, first_token, place, version,
-    template, first_line_no, n_rows``; a leaf and a place name one template, and
-    its highest version is current. ``n_rows`` counts the rows up to that version.
+    that rows have joined: ``n_tokens, first_token, place, version, template,
+    first_line_no, n_rows``; a leaf and a place name one template. ``version`` counts
+    the changes of its text, ``n_rows`` its rows up to this batch, so the update with
+    the most rows is current.
 
     State is kept per leaf: the templates of the leaf, no lines. Only distinct
     shapes of a batch reach it."""
@@ -101,9 +102,5 @@ def learn_templates(rows: DataFrame, message: str = "message", similarity: float
 
 def current(updates: DataFrame) -> DataFrame:
     """The current templates from a table of all updates."""
-    latest = F.max_by(F.struct("template", "first_line_no", "n_rows"), F.col("version"))
-    return (
-        updates.groupBy(*LEAF, "place")
-        .agg(latest.alias("t"), F.max("version").alias("version"))
-        .select(*LEAF, "place", "version", "t.*")
-    )
+    latest = F.max_by(F.struct("version", "template", "first_line_no", "n_rows"), F.col("n_rows"))
+    return updates.groupBy(*LEAF, "place").agg(latest.alias("t")).select(*LEAF, "place", "t.*")

@@ -10,6 +10,7 @@ from riftlog.operators.scoring import (
     EncoderModel, ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
 )
 from riftlog.plans import batch
+from riftlog.session import scratch_root
 from riftlog.sources import messages, text_logs
 from riftlog.sources.event_lines import event_lines
 from riftlog.sources.models import load_model
@@ -44,6 +45,28 @@ def test_quality_job(spark, tmp_path):
     assert [r["PID"] for r in rows] == ["7.0", "8.0", "9.0"] and rows[0]["Message"] == "a, b"
 
 
+def test_quality_job_keeps_the_report_of_a_failure(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("t1,INFO,c,seven,m\n")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in quality.EXPECTED_TYPES])
+    with pytest.raises(quality.ValidationError):
+        batch.run_quality(spark, str(tmp_path / "in.csv"), schema, str(tmp_path / "out"), reports=str(tmp_path / "reports"))
+    report = spark.read.parquet(f"{tmp_path}/reports/*").where("NOT success").collect()
+    assert [(r["column"], r["rule"], r["failed"]) for r in report] == [("PID", "type", 1)] and not (tmp_path / "out").exists()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+        def getCheckpointDir(self): return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Session())
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     runs.append_run(runs.run_rows(spark, "r1", {"k": 5}, {"s": 0.25}, {"train_loss": [2, 1], "val_loss": [3, 2]}, {"at": "x"}), path)

@@ -56,6 +56,18 @@ def test_session_pieces_make_up_the_whole(spark, piece):
         assert {k: " ".join(v) for k, v in whole.items()} == {k: " ".join(v) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("build", [7, 10_000])
+def test_sessions_are_whole(spark, build):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "request_id string, line_no bigint, template string").repartition(6)
+    want = {}
+    for k, _, t in rows:
+        want.setdefault(k, []).append(t)
+    got = session_sequences(df, build_events=build, block_rows=50).collect()
+    assert {r["session_id"]: (r["piece"], r["n_events"], r["sequence"]) for r in got} == {k: (0, len(v), " ".join(v)) for k, v in want.items()}
+    assert len(got) == len(want)
+
+
 @pytest.mark.parametrize("block", [10, 17, 8192])
 def test_windows_over_block_borders(spark, block):
     sizes = {"a": 200, "b": 10, "c": 9, "d": 1}
