@@ -10,6 +10,7 @@ import decimal
 import glob
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -66,7 +67,8 @@ def main() -> int:
     from riftlog.session import build_session
 
     spark = build_session("checks", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"
+        "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checks-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(args.sf), 0

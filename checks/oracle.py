@@ -459,3 +459,9 @@ ORACLE = {
     "loss_curve": f"""WITH {_LOSSES} SELECT 'run' AS run_id, epoch AS step, {_dec("train_loss")} AS train_loss,
       {_dec("val_loss")} AS val_loss FROM losses""",
 }
+
+ORACLE["anomaly_payload"] = f"""SELECT conv_id, line_no, md5(payload) AS payload
+  FROM ({ORACLE['score_windows_given_centers']}) scored JOIN ({_windows(
+    "conversations", "conv_id", "turn", "text", 3,
+    "conv_id, turn AS line_no, CAST(to_json({'anomaly_line': win[1], 'log_window': win}) AS VARCHAR) AS payload",
+)}) lists USING (conv_id, line_no) WHERE is_anomaly"""

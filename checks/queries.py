@@ -9,7 +9,7 @@ from riftlog.functions.parsing import (
     impute_request, parse_lines, rejected_lines, strip, with_event_time,
 )
 from riftlog.operators import (
-    autoencoder, catalogue, features, iforest, kmeans, profile, quality, quantiles, runs, sequences,
+    autoencoder, catalogue, features, iforest, kmeans, profile, quality, quantiles, runs, scoring, sequences,
     templates as tpl, training, windows,
 )
 from riftlog.operators.scoring import (
@@ -681,7 +681,7 @@ def score_kmeans_windows(spark, sf):
     return _round_score(score_kmeans(wins, training.train_kmeans(seqs)[0]))
 
 
-def score_windows_given_centers(spark, sf):
+def _score_given_centers(spark, sf):
     """Windows of conversations scored against given centres: the mean TF-IDF
     vector of the turns of each role."""
     from pyspark.ml.functions import vector_to_array
@@ -693,10 +693,21 @@ def score_windows_given_centers(spark, sf):
     centers = kmeans.Centroids.from_table(kmeans.label_means(roles, "x", "cluster"))
     unit = with_unit(turns.withColumnsRenamed({"turn": "line_no"}), "line", line="text")
     wins = scoring_windows(unit, 3, "text", ["conv_id"])
-    out = score_kmeans(wins, KMeansModel(tfidf, centers))
+    return score_kmeans(wins, KMeansModel(tfidf, centers))
+
+
+def score_windows_given_centers(spark, sf):
+    out = _score_given_centers(spark, sf)
     return _round_score(out).withColumn("window_start_line", F.md5("window_start_line"))
 
 
+def anomaly_payload(spark, sf):
+    """The lines of the windows that score as anomalies."""
+    turns = table(spark, sf, "conversations").withColumnRenamed("turn", "line_no")
+    found = scoring.anomaly_payload(stored(_score_given_centers(spark, sf)), turns, "text", ["conv_id"], 3)
+    return found.withColumn("payload", F.md5("payload"))
+
+
 def score_forest_windows(spark, sf):
     seqs, wins = _training(spark, sf)
     return _round_score(score_forest(wins, training.train_forest(seqs)[0]))
@@ -810,7 +821,7 @@ QUERIES = {
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,
         iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, early_stop_epoch, best_run,
         loss_curve, autoencoder_losses, latent_clusters, model_roundtrip,
-        score_windows_given_centers, score_kmeans_windows, score_forest_windows, score_encoder_windows,
+        score_windows_given_centers, anomaly_payload, score_kmeans_windows, score_forest_windows, score_encoder_windows,
         stream_templates, stream_score, stream_retrain,
     )
 }

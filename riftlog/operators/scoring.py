@@ -15,7 +15,7 @@ from riftlog.operators.iforest import Forest, decide, keep_windows
 from riftlog.operators.kmeans import Centroids, assign_clusters, flag_far
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.templates import LEAF, distinct_shapes, match_shapes, with_shape
-from riftlog.operators.windows import sliding_windows
+from riftlog.operators.windows import context_payload, sliding_windows
 from riftlog.session import settle
 
 
@@ -80,6 +80,20 @@ def scoring_windows(
     )
 
 
+def anomaly_payload(
+    scored: DataFrame, lines: DataFrame, line: str = "value", keys=("file",), size: int = WINDOW_LINES
+) -> DataFrame:
+    """The windows flagged ``is_anomaly`` with their lines, as JSON text: ``line_no`` and
+    ``payload``. Lines are fetched for flagged windows only, so scoring carries none."""
+    keys = list(keys)
+    flagged = scored.filter("is_anomaly").select(*keys, F.col("line_no").alias("_first"))
+    places = flagged.withColumn("line_no", F.explode(F.sequence("_first", F.col("_first") + size - 1)))
+    found = places.join(lines.select(*keys, "line_no", F.col(line).alias("_line")), [*keys, "line_no"])
+    rows = F.array_sort(F.collect_list(F.struct("line_no", "_line")))
+    whole = found.groupBy(*keys, F.col("_first").alias("line_no")).agg(rows["_line"].alias("log_window"))
+    return context_payload(whole, "log_window").select(*keys, "line_no", "payload")
+
+
 def score_kmeans(
     windows: DataFrame, model: KMeansModel, threshold: float = DISTANCE_THRESHOLD
 ) -> DataFrame:
