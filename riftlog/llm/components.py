@@ -9,17 +9,19 @@ from riftlog.session import settle
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node to the smallest of its surroundings.
-    The smallest is an aggregate (combined on the map side) that is joined back, so the
-    rows of a node with very many neighbours can be split."""
+    The smallest is an aggregate (combined on the map side), written before it is joined
+    back: both sides of the join are then plain shuffles, so the rows of a node with very
+    many neighbours can be split."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(settle(least, "least"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = settle(least, "least")
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
