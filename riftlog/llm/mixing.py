@@ -81,6 +81,7 @@ def allocate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
         *[c.alias(k) for k, c in keys.items()],
     )
+    slim = settle(slim, "sizes")  # texts are read once, though the sort samples its input first
     order = ["source", "size", "id", *keys]
     line = slim.repartitionByRange(*order).sortWithinPartitions(*order)
     row = F.monotonically_increasing_id()
