@@ -340,7 +340,6 @@ ORACLE = {
       SELECT shape AS template, n_rows, first_line_no,
         'LG_KEY_' || row_number() OVER (ORDER BY first_line_no) AS log_key FROM shapes""",
     "mine_leaf_templates": _LEAF_TEMPLATES,
-    "mine_templates_in_pieces": _LEAF_TEMPLATES,
     "mine_templates": f"WITH RECURSIVE {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_grown()} SELECT * FROM known",
     "mine_document_templates": f"""{_DOCUMENT_SHAPED}, {_grown()}
       SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known""",
@@ -460,6 +459,7 @@ ORACLE = {
       {_dec("val_loss")} AS val_loss FROM losses""",
 }
 
+ORACLE["mine_templates_in_pieces"] = ORACLE["mine_document_templates"]
 ORACLE["anomaly_payload"] = f"""SELECT conv_id, line_no, md5(payload) AS payload
   FROM ({ORACLE['score_windows_given_centers']}) scored JOIN ({_windows(
     "conversations", "conv_id", "turn", "text", 3,

@@ -305,9 +305,9 @@ def mine_leaf_templates(spark, sf):
 
 
 def mine_templates_in_pieces(spark, sf):
-    """The same, but the larger leaves are cut into pieces that are mined again, as
-    a leaf too large for one task would be."""
-    return _brief(tpl.mine_templates(_document_lines(spark, sf), similarity=0.0, piece_tokens=200))
+    """The usual similarity, a few shapes at a time: large leaves stream by in many
+    chunks and give the templates they give at once."""
+    return _brief(tpl.mine_templates(_document_lines(spark, sf), chunk=5))
 
 
 def mine_templates(spark, sf):

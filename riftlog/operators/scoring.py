@@ -14,7 +14,7 @@ from riftlog.operators.features import TfIdf
 from riftlog.operators.iforest import Forest, decide, keep_windows
 from riftlog.operators.kmeans import Centroids, assign_clusters, flag_far
 from riftlog.operators.lookups import lookup_join
-from riftlog.operators.templates import LEAF, distinct_shapes, match_shapes, with_shape
+from riftlog.operators.templates import distinct_shapes, learn_more, match_shapes, with_shape
 from riftlog.operators.windows import context_payload, sliding_windows
 from riftlog.session import settle
 
@@ -44,10 +44,12 @@ def with_unit(
     templates: DataFrame | None = None,
     line: str = "value",
     order: str = "line_no",
+    learn: bool = False,
 ) -> DataFrame:
     """Add ``unit``, the text a window is made of: the line itself, or the
     template of the line. Templates are looked up in ``templates``; a line that
-    fits none stands for itself with its digits masked, as a new template would."""
+    fits none stands for itself with its digits masked, as a new template would.
+    With ``learn``, the templates first go on learning from all lines given."""
     if unit == "line":
         return lines.withColumn("unit", F.col(line))
     if unit != "template":
@@ -55,7 +57,9 @@ def with_unit(
     shaped = with_shape(lines, line)
     if templates is None:
         return shaped.withColumnRenamed("shape", "unit")
-    shapes = settle(distinct_shapes(shaped, order).select("shape", *LEAF), "shapes")
+    shapes = settle(distinct_shapes(shaped, order), "shapes")
+    if learn:
+        templates = learn_more(templates, shapes)
     found = settle(match_shapes(shapes, templates), "matches")
     return (
         lookup_join(shaped, found.select("shape", "template"), ["shape"], "left", [order])

@@ -4,9 +4,8 @@ Mining follows the idea of the fixed-depth tree of He et al., "Drain: An Online
 Log Parsing Approach with Fixed Depth Tree" (ICWS 2017): messages of the same
 number of tokens and the same first token form a leaf, and within a leaf a
 message joins the most similar template or starts a new one. Here messages are
-first masked and reduced to distinct shapes, leaves are mined in parallel, and a
-leaf too large for one task is mined in pieces whose templates are then mined
-again."""
+first masked and reduced to distinct shapes; leaves are mined in parallel, the shapes
+of a leaf in a sorted stream of which only the templates are kept."""
 
 from __future__ import annotations
 
@@ -22,13 +21,14 @@ from riftlog.operators.positions import BLOCK_ROWS, with_positions
 from riftlog.session import settle
 
 LEAF = ("n_tokens", "first_token")
-# Tokens one mining task holds at most; a leaf beyond that is mined in pieces.
-PIECE_TOKENS = 4_000_000
+# Shapes a mining task takes up at once. It bounds memory and changes no result.
+CHUNK_SHAPES = 4096
 
 _MINED = (
     "n_tokens int, first_token string, template string, first_line_no bigint, "
-    "since_line_no bigint, version int, is_current boolean, n_rows bigint"
+    "since_line_no bigint, version int, is_current boolean, n_rows bigint, known_no bigint"
 )
+_MINED_NAMES = [column.split()[0] for column in _MINED.split(", ")]
 
 
 def with_shape(rows: DataFrame, message: str = "message") -> DataFrame:
@@ -111,139 +111,116 @@ def encode_tokens(shapes) -> tuple[np.ndarray, list[str]]:
     return np.array(rows, dtype=np.int32), list(codes)
 
 
-def _mine_leaf(shapes, lines, counts, similarity: float) -> list[tuple]:
-    """All versions of the templates of one leaf: (template, first_line_no,
-    since_line_no, version, is_current, n_rows)."""
-    if len(shapes) == 1:
-        return [(shapes[0], lines[0], lines[0], 1, True, counts[0])]
-    codes, vocabulary = encode_tokens(shapes)
-    _, place, changed = grow_leaf(codes, similarity)
-    total = np.bincount(place, weights=counts).astype(np.int64)
-    state: dict[int, np.ndarray] = {}
-    version: dict[int, int] = {}
-    first: dict[int, int] = {}
-    out = []
-    # Replay the changes, to tell each version of a template from the next.
-    for i in np.flatnonzero(changed):
-        p = int(place[i])
-        state[p] = codes[i] if p not in state else np.where(state[p] == codes[i], codes[i], 0)
-        version[p] = version.get(p, 0) + 1
-        first.setdefault(p, int(lines[i]))
-        out.append((" ".join([vocabulary[c] for c in state[p]]), p, int(lines[i]), version[p]))
+class Leaf:
+    """A leaf while it is mined: per template its text, the line it first appeared
+    on, the number of its changes and of its rows. No shapes are kept."""
+
+    def __init__(self, texts=(), first=(), versions=(), n_rows=()):
+        self.texts, self.first = list(texts), list(first)
+        self.versions, self.n_rows = list(versions), list(n_rows)
+
+    def add(self, shapes, lines, counts, similarity: float) -> tuple[set[int], list[tuple]]:
+        """Learn shapes in order of appearance. How many come at a time changes
+        nothing. Returns the places they joined, and each change of a template as
+        (place, version, text, line)."""
+        known = len(self.texts)
+        if not known and len(shapes) == 1:
+            vocabulary, states, place, changed = None, [shapes[0]], [0], [True]
+        else:
+            codes, vocabulary = encode_tokens([*self.texts, *shapes])
+            _, place, changed = grow_leaf(codes[known:], similarity, codes[:known])
+            states = dict(enumerate(codes[:known]))
+        changes = []
+        for i, (p, is_new) in enumerate(zip(place, changed)):
+            p = int(p)
+            if p == len(self.texts):
+                self.texts.append("")
+                self.first.append(int(lines[i]))
+                self.versions.append(0)
+                self.n_rows.append(0)
+            self.n_rows[p] += int(counts[i])
+            if not is_new:
+                continue
+            if vocabulary is None:
+                text = states[p]
+            else:
+                row = codes[known + i]
+                states[p] = np.where(states[p] == row, row, 0) if p in states else row
+                text = " ".join([vocabulary[c] for c in states[p]])
+            self.texts[p] = text
+            self.versions[p] += 1
+            changes.append((p, self.versions[p], text, int(lines[i])))
+        return {int(p) for p in place}, changes
+
+
+def _finished(key: tuple, leaf: Leaf, changes: list[tuple], keys: list) -> list[tuple]:
     return [
-        (text, first[p], since, v, v == version[p], int(total[p])) for text, p, since, v in out
+        (*key, text, leaf.first[p], since, version, version == leaf.versions[p], leaf.n_rows[p],
+         keys[p] if p < len(keys) else None)
+        for p, version, text, since in changes
     ]
 
 
-def _mine_sorted(similarity: float, keys: list[str]):
-    """Mine rows that come sorted by ``keys`` and order of appearance. Batches are
-    cut at the borders of the groups; at most one group waits for its rest."""
+def _mine_sorted(similarity: float, chunk: int):
+    """Mine rows that come sorted by leaf, known templates first, then shapes in
+    order of appearance. Shapes pass by ``chunk`` at a time; what is held are the
+    templates of one leaf and their versions."""
 
     def mine(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            head = pdf[keys]
-            border = (head != head.shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(border)
-            carry = pdf.iloc[starts[-1] :]
-            yield _mine_groups(pdf, starts, similarity)
-        if carry is not None:
-            yield _mine_groups(carry, np.array([0, len(carry)]), similarity)
+        key, leaf, changes, keys = None, Leaf(), [], []
+        for batch in batches:
+            for at in range(0, len(batch), chunk):
+                pdf = batch.iloc[at : at + chunk]
+                sizes, heads = pdf["n_tokens"].to_numpy(), pdf["first_token"].to_numpy()
+                known_no = pdf["known_no"].to_numpy(dtype=float, na_value=np.nan)
+                is_known = ~np.isnan(known_no)
+                shapes, lines, counts = pdf["shape"].tolist(), pdf["first_line_no"].tolist(), pdf["n_rows"].tolist()
+                edge = (sizes[1:] != sizes[:-1]) | (heads[1:] != heads[:-1]) | (is_known[1:] != is_known[:-1])
+                starts = [0, *(np.flatnonzero(edge) + 1).tolist(), len(pdf)]
+                out = []
+                for a, b in zip(starts, starts[1:]):
+                    here = (int(sizes[a]), heads[a])
+                    if here != key:
+                        out += _finished(key, leaf, changes, keys) if key else []
+                        key, leaf, changes, keys = here, Leaf(), [], []
+                    if is_known[a]:
+                        leaf = Leaf(
+                            leaf.texts + shapes[a:b], leaf.first + lines[a:b],
+                            leaf.versions + [1] * (b - a), leaf.n_rows + counts[a:b],
+                        )
+                        changes += [(len(keys) + i, 1, shapes[a + i], lines[a + i]) for i in range(b - a)]
+                        keys += known_no[a:b].astype(int).tolist()
+                    else:
+                        changes += leaf.add(shapes[a:b], lines[a:b], counts[a:b], similarity)[1]
+                yield pd.DataFrame(out, columns=_MINED_NAMES)
+        if key:
+            yield pd.DataFrame(_finished(key, leaf, changes, keys), columns=_MINED_NAMES)
 
     return mine
 
 
-def _mine_groups(pdf: pd.DataFrame, starts: np.ndarray, similarity: float) -> pd.DataFrame:
-    """The groups between consecutive ``starts``."""
-    shapes, lines = pdf["shape"].tolist(), pdf["first_line_no"].to_numpy()
-    counts, sizes, heads = pdf["n_rows"].to_numpy(), pdf["n_tokens"].to_numpy(), pdf["first_token"].tolist()
-    out = []
-    for a, b in zip(starts, starts[1:]):
-        for row in _mine_leaf(shapes[a:b], lines[a:b], counts[a:b], similarity):
-            out.append((sizes[a], heads[a], *row))
-    return pd.DataFrame(
-        out,
-        columns=[*LEAF, "template", "first_line_no", "since_line_no", "version", "is_current", "n_rows"],
-    )
-
-
-def _mine(shapes: DataFrame, keys: list[str], similarity: float) -> DataFrame:
-    """Mine each group of ``keys`` in one task; a task takes many small groups."""
+def _mine(shapes: DataFrame, similarity: float, chunk: int) -> DataFrame:
+    """Mine each leaf in one task; a task takes many small leaves."""
     return (
-        shapes.select(*keys, "shape", "n_rows", "first_line_no")
-        .repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, "first_line_no")
-        .mapInPandas(_mine_sorted(similarity, keys), _MINED)
+        shapes.repartition(*LEAF)
+        .sortWithinPartitions(*LEAF, F.col("known_no").asc_nulls_last(), "first_line_no", "shape")
+        .mapInPandas(_mine_sorted(similarity, chunk), _MINED)
     )
 
 
 def mine_versions(
-    shapes: DataFrame,
-    similarity: float = SIMILARITY,
-    piece_tokens: int = PIECE_TOKENS,
-    block_rows: int = BLOCK_ROWS,
+    shapes: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUNK_SHAPES
 ) -> DataFrame:
     """Mine templates from distinct shapes. Every version a template went through
     is a row, from the line that brought it about; ``is_current`` marks the last.
     ``first_line_no`` is where the template first appeared, and ``n_rows`` counts
     its input rows.
 
-    A leaf of up to ``piece_tokens`` tokens is mined in one go, in order of
-    appearance. A larger one is cut into pieces in that order, and the templates of
-    the pieces are mined again until the leaf fits or no round makes it smaller by
-    a tenth. Only the larger leaves are looked up, so as a rule nothing is joined."""
-    per_piece = F.greatest(F.floor(F.lit(piece_tokens) / F.col("n_tokens")), F.lit(2))
-    columns = [
-        *LEAF, "template", "first_line_no", "since_line_no", "version", "is_current", "n_rows"
-    ]
-    work = settle(shapes.select("shape", "n_rows", "first_line_no", *LEAF), "shapes")
-    done: list[DataFrame] = []
-    before = None
-    while True:
-        sizes = work.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("_size"))
-        large = settle(sizes.filter(F.col("_size") > per_piece), "large-leaves")
-        total = large.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
-        if not total:
-            done.append(_mine(work, list(LEAF), similarity).select(*columns))
-            break
-        large = large.select(*LEAF)
-        whole = lookup_join(work, large, LEAF, "left_anti", ["shape"])
-        done.append(_mine(whole, list(LEAF), similarity).select(*columns))
-        rest = lookup_join(work, large, LEAF, "left_semi", ["shape"])
-        if before is not None and total > 0.9 * before:
-            # No piece gained from the others: what is left are the templates.
-            done.append(_as_templates(rest).select(*columns))
-            break
-        pieces = with_positions(rest, "first_line_no", LEAF, block_rows).withColumn(
-            "_piece", F.floor(F.col("pos") / per_piece)
-        )
-        mined = settle(_mine(pieces, [*LEAF, "_piece"], similarity), "pieces")
-        done.append(mined.filter(~F.col("is_current")).select(*columns))
-        # A current template of a piece is a shape of the next round; equal ones
-        # are combined first.
-        work = settle(
-            mined.filter("is_current")
-            .groupBy(F.col("template").alias("shape"), *LEAF)
-            .agg(F.sum("n_rows").alias("n_rows"), F.min("first_line_no").alias("first_line_no"))
-            .select("shape", "n_rows", "first_line_no", *LEAF),
-            "shapes",
-        )
-        before = total
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _as_templates(shapes: DataFrame) -> DataFrame:
-    return shapes.withColumns(
-        {
-            "template": F.col("shape"), "since_line_no": F.col("first_line_no"),
-            "version": F.lit(1), "is_current": F.lit(True),
-        }
-    )
+    A leaf is mined in order of appearance, whatever its size: its shapes stream
+    through one task, ``chunk`` at a time, sorted by Spark; only its templates stay
+    in memory. The order is the rule of the method, so a leaf is not split."""
+    work = shapes.select(*LEAF, "shape", "n_rows", "first_line_no", F.lit(None).cast("bigint").alias("known_no"))
+    return _mine(work, similarity, chunk).drop("known_no")
 
 
 def current_templates(versions: DataFrame) -> DataFrame:
@@ -253,7 +230,7 @@ def current_templates(versions: DataFrame) -> DataFrame:
         .groupBy("template", *LEAF)
         .agg(F.sum("n_rows").alias("n_rows"), F.min("first_line_no").alias("first_line_no"))
     )
-    return number_templates(merged)
+    return number_templates(settle(merged, "mined"))
 
 
 def mine_templates(
@@ -265,6 +242,38 @@ def mine_templates(
     return settle(current_templates(versions), "templates")
 
 
+def learn_more(
+    templates: DataFrame, shapes: DataFrame, similarity: float = SIMILARITY, chunk: int = CHUNK_SHAPES
+) -> DataFrame:
+    """The template table after it went on learning from the distinct shapes of
+    another log. A known template keeps its key and first line while its text may get
+    more general; should two become the same text, the lower key stays. New ones are
+    numbered on behind the highest key, by first appearance in the other log."""
+    columns = [*LEAF, "shape", "n_rows", "first_line_no", "known_no"]
+    known = templates.withColumns({"shape": F.col("template"), "known_no": _key_number()}).select(*columns)
+    fresh = shapes.withColumn("known_no", F.lit(None).cast("bigint")).select(*columns)
+    mined = _mine(known.unionByName(fresh), similarity, chunk).filter("is_current")
+    merged = settle(
+        mined.groupBy("template", *LEAF).agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.min_by("first_line_no", F.struct(F.col("known_no").isNull(), "known_no", "first_line_no")).alias("first_line_no"),
+            F.min("known_no").alias("known_no"),
+        ),
+        "learned",
+    )
+    highest = templates.agg(F.coalesce(F.max(_key_number()), F.lit(0))).first()[0]
+    kept = merged.filter("known_no is not null").withColumn("_no", F.col("known_no"))
+    new = with_positions(merged.filter("known_no is null"), "first_line_no", name="_no").withColumn(
+        "_no", F.col("_no") + highest + 1
+    )
+    numbered = kept.unionByName(new).withColumn("log_key", F.concat(F.lit(KEY_PREFIX), F.col("_no").cast("string")))
+    return settle(numbered.drop("known_no", "_no"), "templates")
+
+
+def _key_number():
+    return F.substring_index("log_key", "_", -1).cast("bigint")
+
+
 def match_shapes(shapes: DataFrame, templates: DataFrame) -> DataFrame:
     """Which template each distinct shape fits, without learning: ``shape,
     template, log_key``. A template fits when it has the same leaf and every token
@@ -278,7 +287,7 @@ def match_shapes(shapes: DataFrame, templates: DataFrame) -> DataFrame:
     keyed = templates.select(
         "template",
         "log_key",
-        F.substring_index("log_key", "_", -1).cast("bigint").alias("_no"),
+        _key_number().alias("_no"),
         token_count(F.col("template")).alias("n_tokens"),
         first_token(F.col("template")).alias("first_token"),
         wild.alias("_mask"),

@@ -20,15 +20,17 @@ def score_arrivals(
     checkpoint: str,
     unit: str = "template",
     templates: DataFrame | None = None,
+    learn: bool = False,
 ) -> StreamingQuery:
     """Score each uploaded log when it arrives and append the result to the table
     at ``out``. A file belongs to one micro-batch as a whole, so its windows need
     no state. Batches carry their number, and a batch that is run again after a
-    failure replaces its own earlier rows."""
+    failure replaces its own earlier rows. With ``learn``, ``templates`` go on
+    learning from the files of a batch before its windows are formed."""
 
     def one(batch: DataFrame, number: int) -> None:
         lines = number_lines(strip_blank(batch))
-        windows = scoring_windows(with_unit(lines, unit, templates))
+        windows = scoring_windows(with_unit(lines, unit, templates, learn=learn))
         score(windows).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riftlog.config import SIMILARITY
 from riftlog.functions.tokens import first_token, shape_of, token_count
-from riftlog.operators.templates import LEAF, encode_tokens, grow_leaf
+from riftlog.operators.templates import CHUNK_SHAPES, LEAF, Leaf
 
 _SHAPES = "n_tokens int, first_token string, shape string, n_rows bigint, first_line_no bigint"
 _STATE = "templates array<string>, first_line_nos array<bigint>, versions array<int>, n_rows array<bigint>"
@@ -39,35 +39,23 @@ def _learner(similarity: float):
             .agg(n_rows=("n_rows", "sum"), first_line_no=("first_line_no", "min"))
             .sort_values("first_line_no", kind="stable")
         )
-        if state.exists:
-            texts, lines, versions, rows = (list(x) for x in state.get)
-        else:
-            texts, lines, versions, rows = [], [], [], []
-        known = len(texts)
-        codes, vocabulary = encode_tokens([*texts, *new["shape"]])
-        templates, place, changed = grow_leaf(codes[known:], similarity, codes[:known])
-        lines += [0] * (len(templates) - known)
-        versions += [0] * (len(templates) - known)
-        rows += [0] * (len(templates) - known)
-        touched = set()
-        for p, c, line, n in zip(place, changed, new["first_line_no"], new["n_rows"]):
-            rows[p] = int(rows[p]) + int(n)
-            touched.add(int(p))  # its count is new, its text perhaps
-            if c:
-                versions[p] = int(versions[p]) + 1
-                lines[p] = int(line) if versions[p] == 1 else int(lines[p])
-        texts = [" ".join([vocabulary[c] for c in t]) for t in templates]
-        state.update((texts, lines, versions, rows))
-        at = sorted(touched)
+        leaf = Leaf(*state.get) if state.exists else Leaf()
+        shapes, lines, counts = (new[c].tolist() for c in ("shape", "first_line_no", "n_rows"))
+        joined = set()
+        for at in range(0, len(new), CHUNK_SHAPES):
+            end = at + CHUNK_SHAPES
+            joined |= leaf.add(shapes[at:end], lines[at:end], counts[at:end], similarity)[0]
+        state.update((leaf.texts, leaf.first, leaf.versions, leaf.n_rows))
+        at = sorted(joined)  # their counts are new, their texts perhaps
         yield pd.DataFrame(
             {
                 "n_tokens": key[0],
                 "first_token": key[1],
                 "place": np.array(at, dtype=np.int32),
-                "version": np.array([versions[p] for p in at], dtype=np.int32),
-                "template": [texts[p] for p in at],
-                "first_line_no": [int(lines[p]) for p in at],
-                "n_rows": [int(rows[p]) for p in at],
+                "version": np.array([leaf.versions[p] for p in at], dtype=np.int32),
+                "template": [leaf.texts[p] for p in at],
+                "first_line_no": [leaf.first[p] for p in at],
+                "n_rows": [leaf.n_rows[p] for p in at],
             }
         )
 

@@ -57,12 +57,36 @@ def test_mining_equals_one_ordered_pass(spark, similarity):
         assert current == sorted(mine_plainly(texts, similarity))
 
 
-def test_pieces_lose_no_row_and_still_match(spark):
-    rows = rows_of(spark, messages())
-    whole = tpl.mine_templates(rows).agg(F.sum("n_rows")).first()[0]
-    cut = tpl.mine_templates(rows, piece_tokens=12)
-    assert cut.agg(F.sum("n_rows")).first()[0] == whole == 600
-    assert tpl.tag_rows(rows, cut).filter("log_key = 'UNMAPPED'").count() == 0
+@pytest.mark.parametrize("chunk", [1, 3, 50])
+def test_mining_is_the_same_in_chunks_of_any_size(spark, chunk):
+    shapes = tpl.distinct_shapes(tpl.with_shape(rows_of(spark, messages())))
+    whole = sorted(map(str, tpl.mine_versions(shapes).collect()))
+    assert sorted(map(str, tpl.mine_versions(shapes, chunk=chunk).collect())) == whole
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+def test_learning_more_equals_learning_at_once(spark, chunk):
+    """Known templates come first, so two logs in a row are one longer log."""
+    texts = messages()
+    rows = rows_of(spark, texts)
+    first, second = rows.filter("line_no < 250"), rows.filter("line_no >= 250")
+    known = tpl.mine_templates(first, 0.7)
+    shapes = tpl.distinct_shapes(tpl.with_shape(second))
+    grown = tpl.learn_more(known, shapes, 0.7, chunk).collect()
+    keys = {r["log_key"]: r for r in grown}
+    assert len(keys) == len(grown) and sum(r["n_rows"] for r in grown) == len(texts)
+    for r in known.collect():  # known keys stay; texts only lose tokens
+        if r["log_key"] in keys:
+            now = keys[r["log_key"]]
+            assert now["first_line_no"] == r["first_line_no"]
+            assert all(a in ("<*>", b) for a, b in zip(now["template"].split(" "), r["template"].split(" ")))
+    again = tpl.learn_more(known, shapes.limit(0), 0.7).collect()
+    assert sorted(map(str, again)) == sorted(map(str, known.select(*again[0].asDict()).collect()))
+    fresh = tpl.learn_more(known.limit(0), tpl.distinct_shapes(tpl.with_shape(rows)), 0.7)
+    want = tpl.mine_templates(rows, 0.7)
+    assert sorted(map(str, fresh.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    tagged = tpl.tag_rows(rows, spark.createDataFrame(grown))
+    assert tagged.filter("log_key = 'UNMAPPED'").count() == 0
 
 
 def test_tags_equal_brute_force(spark):
