@@ -143,17 +143,36 @@ _DOCUMENT_SHAPED = f"""WITH RECURSIVE {_DOCUMENT_LINES}, shaped AS (
   SELECT doc_id * 100000 + line_no AS line_no, line AS message, {_shape('line')} AS shape FROM document_lines),
 {_shapes("SELECT * FROM shaped")}"""
 
-_MATCHED = f"""{_SHAPED},
-{_shapes("SELECT * FROM shaped WHERE level = 'INFO'", "info_shapes")},
-{_consensus("info_shapes")},
-{_shapes("SELECT * FROM shaped")},
+_TWO_LOGS = f"""{_SHAPED}, both_logs AS (
+  SELECT line_no, message, shape FROM shaped
+  UNION ALL SELECT 1000000000000 + conv_id * 1000 + turn, text, {_shape('text')} FROM conversations)"""
+
+_MATCHED = f"""{_TWO_LOGS},
+{_shapes("SELECT * FROM shaped", "log_shapes")},
+{_consensus("log_shapes")},
+{_shapes("SELECT * FROM both_logs")},
 matched AS (
   SELECT shape, template, log_key FROM shapes JOIN known USING (n_tokens, first_token)
   WHERE list_bool_and(list_transform(list_zip(string_split(shape, ' '), string_split(template, ' ')),
     lambda p: p[2] = '<*>' OR p[1] = p[2]))),
 tagged AS (
   SELECT s.line_no, CASE WHEN s.message IS NOT NULL THEN coalesce(m.log_key, 'UNMAPPED') END AS log_key
-  FROM shaped s LEFT JOIN matched m USING (shape))"""
+  FROM both_logs s LEFT JOIN matched m USING (shape))"""
+
+# Leaves of the document lines first, by line, then the new leaves of the conversations.
+_LEARNED = f"""{_DOCUMENT_LINES}, learn_rows AS (
+  SELECT doc_id * 100000 + line_no AS line_no, {_shape('line')} AS shape, true AS is_old FROM document_lines
+  UNION ALL SELECT conv_id * 1000 + turn, {_shape('text')}, false FROM conversations),
+{_shapes("SELECT is_old, line_no, shape FROM learn_rows")},
+{_consensus()},
+leaf_starts AS (
+  SELECT CAST(len(string_split(shape, ' ')) AS INTEGER) AS n_tokens, string_split(shape, ' ')[1] AS first_token,
+    bool_or(is_old) AS is_old, min(line_no) FILTER (is_old) AS old_line, min(line_no) AS any_line
+  FROM learn_rows WHERE shape IS NOT NULL GROUP BY ALL),
+learned AS (
+  SELECT n_tokens, first_token, template, n_rows,
+    'LG_KEY_' || row_number() OVER (ORDER BY is_old DESC, coalesce(old_line, any_line)) AS log_key
+  FROM known JOIN leaf_starts USING (n_tokens, first_token))"""
 
 
 def _top(table: str, text: str, doc: str, limit: int | None = 1000) -> str:
@@ -312,7 +331,9 @@ ORACLE = {
     "impute_request_id": f"WITH {_CLEANED} SELECT line_no, request_id FROM cleaned",
     "drop_missing_message": f"WITH {_PARSED} SELECT line_no, message FROM parsed WHERE message IS NOT NULL",
     "numeric_columns": f"WITH {_PARSED} SELECT line_no, pid FROM parsed",
-    "sequence_text": "SELECT conv_id, turn, CAST(turn AS VARCHAR) AS sequence FROM conversations WHERE turn IS NOT NULL",
+    "sequence_text": """SELECT row_number() OVER (ORDER BY conv_id) - 1 AS row_no, sequence FROM (
+        SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS sequence FROM conversations GROUP BY conv_id)
+      WHERE sequence <> ''""",
     "log_scalars": f"""WITH {_CLEANED} SELECT line_no, source || ', ' || level AS joined, 'LG_KEY_' || pid AS formatted,
       strftime(CAST("timestamp" AS TIMESTAMP), '%Y%m%d_%H%M%S') AS stamp,
       CASE level WHEN 'ERROR' THEN 'high' WHEN 'WARNING' THEN 'medium' ELSE 'low' END AS severity,
@@ -323,7 +344,8 @@ ORACLE = {
     "request_id_top50_map": f"WITH {_PARSED}, {_COUNTS}, {_TOP50} SELECT coalesce(value, '') AS value, n FROM top50",
     "request_id_profile": f"WITH {_PARSED}, {_COUNTS}, {_IDS} SELECT * FROM ids",
     "column_summary": f"WITH {_PARSED} {_summary(_COLUMNS)}",
-    "histogram_lineitem": f"{_histogram('lineitem', 'l_quantity')} UNION ALL {_histogram('lineitem', 'l_extendedprice')}",
+    "histogram_lineitem": " UNION ALL ".join(_histogram("lineitem", c) for c in (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")),
     "histogram_pid": f"WITH {_PARSED} {_histogram('parsed', 'pid')}",
     "mean_impute": f"""WITH holes AS (
         SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value,
@@ -359,10 +381,11 @@ ORACLE = {
     "match_templates": f"WITH {_MATCHED} SELECT * FROM matched",
     "tag_log_key": f"WITH {_MATCHED} SELECT * FROM tagged",
     "template_usage": f"WITH {_MATCHED} SELECT log_key, count(*) AS n FROM tagged GROUP BY log_key",
-    "unseen_templates": f"""WITH {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_consensus()},
+    "unseen_templates": f"""WITH {_TWO_LOGS}, {_shapes('SELECT * FROM both_logs')}, {_consensus()},
       seen AS (SELECT DISTINCT CAST(len(string_split(shape, ' ')) AS INTEGER) AS n_tokens,
-        string_split(shape, ' ')[1] AS first_token FROM shaped WHERE level = 'ERROR' AND shape IS NOT NULL)
+        string_split(shape, ' ')[1] AS first_token FROM shaped WHERE shape IS NOT NULL)
       SELECT log_key, template FROM known ANTI JOIN seen USING (n_tokens, first_token)""",
+    "learn_templates": f"WITH {_LEARNED} SELECT md5(template) AS template_md5, n_rows, n_tokens, log_key FROM learned",
     "match_catalogue": f"""WITH {_PARSED}, catalogue(event_id, pattern, weight) AS (VALUES {_CATALOGUE_ROWS}),
       hits AS (SELECT line_no, arg_max(event_id, weight) AS event_id FROM parsed
         JOIN catalogue ON regexp_matches(message, pattern) GROUP BY line_no)
@@ -387,7 +410,7 @@ ORACLE = {
         SELECT conv_id * 1000 + turn AS doc_id,
           unnest(regexp_extract_all(lower(text), '{_WORD}')) AS term FROM conversations),
       {_WEIGHTS.format(words='turn_words')}""",
-    "dense_vectors": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn', 50)}, weights AS (
+    "dense_vectors": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn')}, weights AS (
         SELECT doc_id, term, count(*) * any_value(idf) AS w FROM words JOIN idf USING (term) GROUP BY doc_id, term),
       sums AS (SELECT doc_id, sum(w) / sqrt(sum(w * w)) AS total FROM weights GROUP BY doc_id)
       SELECT conv_id, turn, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS dim, {_dec("coalesce(total, 0)")} AS total
@@ -424,7 +447,7 @@ ORACLE = {
         FROM x JOIN latent USING (vec_id))
       SELECT vec_id, {_dec("any_value(a)")} AS latent_0, {_dec("any_value(b)")} AS latent_1,
         {_dec("avg((x - y) * (x - y))")} AS error FROM outs GROUP BY vec_id""",
-    "score_windows_given_centers": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn', 300)},
+    "score_windows_given_centers": f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn')},
       tf AS (SELECT doc_id, term, count(*) * any_value(idf) AS w FROM words JOIN idf USING (term) GROUP BY doc_id, term),
       unit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM tf),
       roles AS (SELECT conv_id * 1000 + turn AS doc_id, CASE WHEN role = 'user' THEN 0 ELSE 1 END AS cluster FROM conversations),
@@ -465,3 +488,49 @@ ORACLE["anomaly_payload"] = f"""SELECT conv_id, line_no, md5(payload) AS payload
     "conversations", "conv_id", "turn", "text", 3,
     "conv_id, turn AS line_no, CAST(to_json({'anomaly_line': win[1], 'log_window': win}) AS VARCHAR) AS payload",
 )}) lists USING (conv_id, line_no) WHERE is_anomaly"""
+
+_TURN_WINDOWS = """wins AS (SELECT * FROM (SELECT conv_id, turn, text, count(*) OVER w AS n,
+    string_agg(unit, ' ') OVER w AS sequence FROM {units}
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)) WHERE n = 3),
+  win_words AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(sequence), '""" + _WORD + """')) AS term FROM wins)"""
+
+ORACLE["score_forest_given_stumps"] = f"""WITH {_top('conversations', 'text', 'conv_id * 1000 + turn')},
+  {_TURN_WINDOWS.replace("{units}", "(SELECT *, text AS unit FROM conversations)")},
+  asked AS (SELECT term, (row_number() OVER (ORDER BY term) - 1) / 4 AS t FROM vocab),
+  has AS (SELECT DISTINCT conv_id, turn, CAST(t AS INTEGER) AS t FROM win_words JOIN asked USING (term) WHERE t = floor(t) AND t < 16),
+  paths AS (SELECT conv_id, turn, text, CASE WHEN has.t IS NULL THEN 40 + s.t ELSE 216 - s.t END AS n
+    FROM wins CROSS JOIN (SELECT unnest(range(16))::INTEGER AS t) s LEFT JOIN has USING (conv_id, turn, t)),
+  scored AS (SELECT conv_id, turn, any_value(text) AS text,
+    -pow(2, -avg(1 + 2 * (ln(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n)
+      / (2 * (ln(255) + 0.5772156649015329) - 2.0 * 255 / 256)) + 0.43 AS score FROM paths GROUP BY conv_id, turn)
+  SELECT conv_id, turn AS line_no, md5(text) AS window_start_line, {_dec("score")} AS anomaly_score,
+    score < 0 AS is_anomaly FROM scored"""
+
+ORACLE["score_encoder_learning"] = f"""WITH {_LEARNED}, {_top('conversations', 'text', 'conv_id * 1000 + turn')},
+  units AS (SELECT conv_id, turn, text, template AS unit FROM (SELECT *, {_shape('text')} AS shape FROM conversations)
+    LEFT JOIN learned ON n_tokens = len(string_split(shape, ' ')) AND first_token = string_split(shape, ' ')[1]),
+  {_TURN_WINDOWS.replace("{units}", "units")},
+  places AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS i FROM vocab),
+  tf AS (SELECT conv_id, turn, term, count(*) * any_value(idf) AS w FROM win_words JOIN idf USING (term) GROUP BY ALL),
+  x AS (SELECT conv_id, turn, i, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS x FROM tf JOIN places USING (term)),
+  latent AS (SELECT conv_id, turn, any_value(text) AS text,
+      greatest(0, coalesce(sum(x * (i % 5 - 2) / 8.0), 0) + 0.25) AS a,
+      greatest(0, coalesce(sum(x * ((i + 3) % 5 - 2) / 8.0), 0) + 0.125) AS b
+    FROM wins LEFT JOIN x USING (conv_id, turn) GROUP BY conv_id, turn),
+  errors AS (SELECT conv_id, turn, avg(pow(coalesce(x, 0)
+      - 1 / (1 + exp(-(a * (i % 7 - 3) / 8.0 + b * ((i + 2) % 7 - 3) / 8.0))), 2)) AS e
+    FROM latent CROSS JOIN places LEFT JOIN x USING (conv_id, turn, i) GROUP BY conv_id, turn)
+  SELECT conv_id, conv_id * 1000 + turn AS line_no, md5(text) AS log_window_start, {_dec("e")} AS anomaly_score,
+    CASE WHEN a * a + b * b <= pow(a - 0.5, 2) + pow(b - 0.5, 2) THEN 0 ELSE 1 END AS cluster
+  FROM latent JOIN errors USING (conv_id, turn)"""
+
+ORACLE["model_roundtrip"] = f"""WITH {_PARSED}, upload AS (
+    SELECT source AS file, message, row_number() OVER (PARTITION BY source ORDER BY line_no) - 1 AS line_no,
+      count(*) OVER (PARTITION BY source) AS n FROM parsed WHERE message IS NOT NULL)
+  SELECT file, line_no, message AS window_start_line, true AS same FROM upload WHERE line_no + 10 <= n"""
+
+ORACLE["stream_score"] = f"""WITH {_LINES}, n AS (SELECT count(*) AS n FROM lines), arriving AS (
+    SELECT value, line_no AS place, CAST(line_no >= n // 3 AS INTEGER) + CAST(line_no >= n * 2 // 3 AS INTEGER) AS file FROM lines, n),
+  upload AS (SELECT value, row_number() OVER (PARTITION BY file ORDER BY place) - 1 AS line_no,
+    count(*) OVER (PARTITION BY file) AS n FROM arriving)
+  SELECT line_no, value AS window_start_line, true AS same FROM upload WHERE line_no + 10 <= n"""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from riftlog.config import MAX_FEATURES
 from riftlog.functions.parsing import (
     impute_request, parse_lines, rejected_lines, strip, with_event_time,
 )
@@ -13,7 +14,7 @@ from riftlog.operators import (
     templates as tpl, training, windows,
 )
 from riftlog.operators.scoring import (
-    ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
+    EncoderModel, ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
 )
 from riftlog.plans.batch import store_report
 from riftlog.session import scratch_path, settle
@@ -176,11 +177,9 @@ def numeric_columns(spark, sf):
 
 
 def sequence_text(spark, sf):
-    return (
-        table(spark, sf, "conversations")
-        .select("conv_id", "turn", F.col("turn").cast("string").alias("sequence"))
-        .filter(F.col("sequence").isNotNull())
-    )
+    """The texts a model trains on, in the order of their session."""
+    turns = table(spark, sf, "conversations")
+    return training.numbered_sequences(sequences.session_sequences(turns, "conv_id", "turn", "text"))
 
 
 def log_scalars(spark, sf):
@@ -228,7 +227,7 @@ def _bins(df):
 
 
 def histogram_lineitem(spark, sf):
-    return _bins(profile.histogram(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"]))
+    return _bins(profile.histogram(table(spark, sf, "lineitem")))
 
 
 def histogram_pid(spark, sf):
@@ -322,17 +321,25 @@ def template_versions(spark, sf):
     return tpl.mine_versions(tpl.distinct_shapes(tpl.with_shape(parsed(spark, sf))))
 
 
+def _two_logs(spark, sf):
+    """The event log, and behind it a second log that other templates wrote: the turns
+    of all conversations."""
+    log = parsed(spark, sf).select("line_no", "message")
+    turns = table(spark, sf, "conversations").select(
+        (F.lit(10**12) + F.col("conv_id") * 1000 + F.col("turn")).alias("line_no"), F.col("text").alias("message")
+    )
+    return stored(log), stored(log.unionByName(turns))
+
+
 def match_templates(spark, sf):
-    p = stored(parsed(spark, sf))
-    shapes = tpl.distinct_shapes(tpl.with_shape(p))
-    known = tpl.mine_templates(p.filter(F.col("level") == "INFO"), similarity=0.0)
-    return tpl.match_shapes(shapes, known)
+    log, both = _two_logs(spark, sf)
+    return tpl.match_shapes(tpl.distinct_shapes(tpl.with_shape(both)), tpl.mine_templates(log, similarity=0.0))
 
 
 def tag_log_key(spark, sf):
-    p = stored(parsed(spark, sf))
-    known = tpl.mine_templates(p.filter(F.col("level") == "INFO"), similarity=0.0)
-    return tpl.tag_rows(p, known).select("line_no", "log_key")
+    """Both logs under the templates of the first."""
+    log, both = _two_logs(spark, sf)
+    return tpl.tag_rows(both, tpl.mine_templates(log, similarity=0.0)).select("line_no", "log_key")
 
 
 def template_usage(spark, sf):
@@ -340,10 +347,24 @@ def template_usage(spark, sf):
 
 
 def unseen_templates(spark, sf):
-    p = stored(parsed(spark, sf))
-    known = tpl.mine_templates(p, similarity=0.0)
-    tagged = tpl.tag_rows(p.filter(F.col("level") == "ERROR"), known)
-    return tpl.unseen_templates(tagged, known).select("log_key", "template")
+    """Templates of both logs that the first has no line of."""
+    log, both = _two_logs(spark, sf)
+    known = tpl.mine_templates(both, similarity=0.0)
+    return tpl.unseen_templates(tpl.tag_rows(log, known), known).select("log_key", "template")
+
+
+def learn_templates(spark, sf):
+    """Templates of the document lines go on learning from the second log: every
+    leaf ends with what all its shapes agree on."""
+    docs, turns = _document_lines(spark, sf), _turn_lines(spark, sf)
+    known = tpl.mine_templates(docs, similarity=0.0)
+    grown = tpl.learn_more(known, tpl.distinct_shapes(tpl.with_shape(turns)), similarity=0.0)
+    return grown.select(F.md5("template").alias("template_md5"), "n_rows", "n_tokens", "log_key")
+
+
+def _turn_lines(spark, sf):
+    turns = table(spark, sf, "conversations")
+    return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("line_no"), F.col("text").alias("message"))
 
 
 def match_catalogue(spark, sf):
@@ -451,7 +472,7 @@ def dense_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     turns = table(spark, sf, "conversations")
-    model = features.fit_tfidf(turns, "text", 50)
+    model = features.fit_tfidf(turns, "text")
     dense = vector_to_array(F.col("vector"))
     return model.transform(turns, "text").select(
         "conv_id",
@@ -584,14 +605,19 @@ def iforest_stump_mean(spark, sf):
     return out.select(dec(F.col("mean_score")).alias("mean_score"))
 
 
-def network_errors(spark, sf):
-    """Encoding and reconstruction error under fixed weights, 64 to 2 to 64."""
+def _fixed_network(dim):
+    """Weights by a rule, ``dim`` to 2 to ``dim``."""
     import numpy as np
 
-    first = (((np.arange(64)[:, None] + 3 * np.arange(2)) % 5) - 2) / 8
-    second = (((2 * np.arange(2)[:, None] + np.arange(64)) % 7) - 3) / 8
-    flat = np.concatenate([first.ravel(), [0.25, 0.125], second.ravel(), np.zeros(64)])
-    net = autoencoder.Network((64, 2, 64), flat.astype(np.float32))
+    first = (((np.arange(dim)[:, None] + 3 * np.arange(2)) % 5) - 2) / 8
+    second = (((2 * np.arange(2)[:, None] + np.arange(dim)) % 7) - 3) / 8
+    flat = np.concatenate([first.ravel(), [0.25, 0.125], second.ravel(), np.zeros(dim)])
+    return autoencoder.Network((dim, 2, dim), flat.astype(np.float32))
+
+
+def network_errors(spark, sf):
+    """Encoding and reconstruction error under fixed weights, 64 to 2 to 64."""
+    net = _fixed_network(64)
     out = autoencoder.with_latent(_vectors(spark, sf), net, "embedding")
     return out.select(
         "vec_id",
@@ -687,13 +713,43 @@ def _score_given_centers(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     turns = table(spark, sf, "conversations")
-    tfidf = features.fit_tfidf(turns, "text", 300)
+    tfidf = features.fit_tfidf(turns, "text")
     dense = tfidf.transform(turns, "text").withColumn("x", vector_to_array("vector"))
     roles = dense.withColumn("cluster", F.when(F.col("role") == "user", 0).otherwise(1))
     centers = kmeans.Centroids.from_table(kmeans.label_means(roles, "x", "cluster"))
+    return score_kmeans(_turn_windows(turns), KMeansModel(tfidf, centers))
+
+
+def _turn_windows(turns):
     unit = with_unit(turns.withColumnsRenamed({"turn": "line_no"}), "line", line="text")
+    return scoring_windows(unit, 3, "text", ["conv_id"])
+
+
+def score_forest_given_stumps(spark, sf):
+    """The windows under a forest of fixed stumps: tree t asks whether the window has
+    word 4 t of the vocabulary."""
+    turns = table(spark, sf, "conversations")
+    tfidf = features.fit_tfidf(turns, "text")
+    forest = dataclasses.replace(_stumps(), dim=tfidf.dim)
+    out = score_forest(_turn_windows(turns), ForestModel(tfidf, forest))
+    return _round_score(out).withColumn("window_start_line", F.md5("window_start_line"))
+
+
+def score_encoder_learning(spark, sf):
+    """Templates of the document lines go on learning from the conversations that are
+    scored; their windows are made of the learned templates, under fixed weights."""
+    turns = table(spark, sf, "conversations")
+    known = tpl.mine_templates(_document_lines(spark, sf), similarity=0.0)
+    unit = with_unit(
+        turns.withColumnsRenamed({"turn": "turn_no"}).withColumn("line_no", F.col("conv_id") * 1000 + F.col("turn_no")),
+        "template", known, "text", learn=True, similarity=0.0,
+    )
     wins = scoring_windows(unit, 3, "text", ["conv_id"])
-    return score_kmeans(wins, KMeansModel(tfidf, centers))
+    tfidf = features.fit_tfidf(turns, "text")
+    centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [0.5, 0.5])], "cluster int, center array<double>")
+    model = EncoderModel(tfidf, _fixed_network(tfidf.dim), kmeans.Centroids.from_table(centers))
+    out = _round_score(score_encoder(wins, model))
+    return out.withColumn("log_window_start", F.md5("log_window_start"))
 
 
 def score_windows_given_centers(spark, sf):
@@ -715,10 +771,7 @@ def score_forest_windows(spark, sf):
 
 def iforest_normal_windows(spark, sf):
     seqs, wins = _training(spark, sf)
-    rows = training.numbered_sequences(seqs)
-    tfidf = features.fit_tfidf(rows)
-    forest = iforest.fit_forest(tfidf.features(rows), tfidf.dim, "row_no", "features", 100, 0.1)
-    return _round_score(score_forest(wins, ForestModel(tfidf, forest), "normal"))
+    return _round_score(score_forest(wins, training.train_forest(seqs)[0], "normal"))
 
 
 def score_encoder_windows(spark, sf):
@@ -728,7 +781,7 @@ def score_encoder_windows(spark, sf):
 
 def autoencoder_losses(spark, sf):
     seqs, _ = _training(spark, sf)
-    log = training.train_encoder(seqs, epochs=8)[1]
+    log = training.train_encoder(seqs)[1]
     return runs.loss_curve(log)
 
 
@@ -736,34 +789,49 @@ def latent_clusters(spark, sf):
     from pyspark.ml.functions import array_to_vector
 
     docs = spread(spark, sf, "documents")
-    tfidf = features.fit_tfidf(docs, "text", MAX_FEATURES // 5)
+    tfidf = features.fit_tfidf(docs, "text")
     data = settle(
         features.split_tail(tfidf.features(docs, "text").select("doc_id", "features"), "doc_id"), "latent"
     )
-    net, _ = autoencoder.fit_autoencoder(data, tfidf.dim, epochs=3)
+    net, _ = autoencoder.fit_autoencoder(data, tfidf.dim)
     latent = autoencoder.with_latent(data, net).withColumn("vector", array_to_vector("latent"))
     model = kmeans.fit_kmeans(latent)
     return kmeans.assign_clusters(latent, model, "latent").select("doc_id", "cluster", "reconstruction_error")
 
 
+def _same_scores(a, b, keys):
+    """All windows of two scorings, and whether both say the same of each."""
+    near = F.abs(F.col("x.anomaly_score") - F.col("y.anomaly_score")) < 1e-9
+    on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in (*keys, "window_start_line")]
+    both = a.alias("x").join(b.alias("y"), on, "full")
+    same = F.coalesce(near & (F.col("x.cluster") == F.col("y.cluster")), F.lit(False))
+    return both.select(*[F.coalesce(f"x.{k}", f"y.{k}").alias(k) for k in (*keys, "window_start_line")], same.alias("same"))
+
+
 def model_roundtrip(spark, sf):
+    """Every window, and whether the stored and loaded model scores it as the model itself."""
     seqs, wins = _training(spark, sf)
-    model = training.train_kmeans(seqs, seeds=(0,))[0]
+    wins = stored(wins)
+    model = training.train_kmeans(seqs)[0]
     path = save_model(spark, model, scratch_path(spark, "model"))
-    return _round_score(score_kmeans(wins, load_model(spark, type(model), path)))
+    return _same_scores(score_kmeans(wins, model), score_kmeans(wins, load_model(spark, type(model), path)), ["file", "line_no"])
 
 
 # Streams
 
 
-def stream_templates(spark, sf):
-    source, out, mark = (scratch_path(spark, x) for x in ("arriving", "updates", "mark"))
-    # Three files that arrive one after the other, a micro-batch each.
+def _write_arriving(spark, sf, path):
+    """The log as three files that arrive one after the other."""
     log = stored(lines(spark, sf))
     n = log.count()
     for i in range(3):
         part = log.where((F.col("line_no") >= n * i // 3) & (F.col("line_no") < n * (i + 1) // 3))
-        part.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("append").text(source)
+        part.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("append").text(path)
+
+
+def stream_templates(spark, sf):
+    source, out, mark = (scratch_path(spark, x) for x in ("arriving", "updates", "mark"))
+    _write_arriving(spark, sf, source)
     # Lines of a stream are numbered by their event time here.
     arriving = with_event_time(parse_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(source)))
     numbered = arriving.select(
@@ -784,14 +852,16 @@ def stream_templates(spark, sf):
 
 
 def stream_score(spark, sf):
+    """Every window of the files that arrive, and whether it scores as it does in batch."""
     seqs, _ = _training(spark, sf)
-    model = training.train_kmeans(seqs, seeds=(0,))[0]
+    model = training.train_kmeans(seqs)[0]
     source, out, mark = (scratch_path(spark, x) for x in ("arriving", "scores", "mark"))
-    text_logs.write_log(lines(spark, sf), source, files=4)
+    _write_arriving(spark, sf, source)
     streaming_jobs.score_arrivals(
         spark, source, lambda wins: score_kmeans(wins, model), out, mark
     ).awaitTermination()
-    return _round_score(spark.read.parquet(out).drop("file", "batch"))
+    batch = score_kmeans(scoring_windows(with_unit(text_logs.read_upload(spark, source))), model)
+    return _same_scores(spark.read.parquet(out).drop("batch"), batch, ["file", "line_no"]).drop("file")
 
 
 def stream_retrain(spark, sf):
@@ -812,7 +882,7 @@ QUERIES = {
         histogram_lineitem, histogram_pid, mean_impute, validation_report, stored_validation_report, validated_log,
         mask_shapes, mask_document_shapes, template_keys, mine_leaf_templates, mine_templates,
         mine_templates_in_pieces, mine_document_templates, template_versions, match_templates,
-        document_template_versions, tag_log_key, template_usage, unseen_templates, match_catalogue, template_state_roundtrip,
+        document_template_versions, tag_log_key, template_usage, unseen_templates, learn_templates, match_catalogue, template_state_roundtrip,
         session_sequences, session_sequences_from_parts, session_pieces, conversation_sequences, sliding_windows, user_windows,
         conversation_windows, short_files, context_payload,
         vocabulary_top1000, tfidf_capped, tfidf_full, tfidf_transform, dense_vectors,
@@ -821,7 +891,7 @@ QUERIES = {
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,
         iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, early_stop_epoch, best_run,
         loss_curve, autoencoder_losses, latent_clusters, model_roundtrip,
-        score_windows_given_centers, anomaly_payload, score_kmeans_windows, score_forest_windows, score_encoder_windows,
+        score_windows_given_centers, score_forest_given_stumps, score_encoder_learning, anomaly_payload, score_kmeans_windows, score_forest_windows, score_encoder_windows,
         stream_templates, stream_score, stream_retrain,
     )
 }

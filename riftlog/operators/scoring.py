@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from riftlog.config import DISTANCE_THRESHOLD, WINDOW_LINES
+from riftlog.config import DISTANCE_THRESHOLD, SIMILARITY, WINDOW_LINES
 from riftlog.functions.parsing import computed_once
 from riftlog.functions.tokens import words
 from riftlog.operators.autoencoder import Network, with_latent
@@ -45,6 +45,7 @@ def with_unit(
     line: str = "value",
     order: str = "line_no",
     learn: bool = False,
+    similarity: float = SIMILARITY,
 ) -> DataFrame:
     """Add ``unit``, the text a window is made of: the line itself, or the
     template of the line. Templates are looked up in ``templates``; a line that
@@ -59,7 +60,7 @@ def with_unit(
         return shaped.withColumnRenamed("shape", "unit")
     shapes = settle(distinct_shapes(shaped, order), "shapes")
     if learn:
-        templates = learn_more(templates, shapes)
+        templates = learn_more(templates, shapes, similarity)
     found = settle(match_shapes(shapes, templates), "matches")
     return (
         lookup_join(shaped, found.select("shape", "template"), ["shape"], "left", [order])
