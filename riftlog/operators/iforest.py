@@ -1,10 +1,11 @@
 """Isolation forest: Liu, Ting, Zhou, "Isolation Forest" (ICDM 2008).
 
-Trees grow in parallel, each from its own random sample of rows; the grown forest
-is a table of nodes; every row is scored by all trees, one Arrow batch at a time."""
+Trees grow in parallel, each from its own random sample of rows, large nodes by
+aggregates and small ones in a task each; the grown forest is a table of nodes; every row is scored by all trees, one Arrow batch at a time."""
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass, replace
 
@@ -17,14 +18,15 @@ from riftlog.config import (
 )
 from riftlog.functions.vectors import dense_rows, used_columns
 from riftlog.operators.kmeans import SparseColumn, feature_column
+from riftlog.operators.lookups import lookup_join
 from riftlog.operators.quantiles import exact_quantiles
 from riftlog.operators.runs import best_run
-from riftlog.session import side_by_side
+from riftlog.session import settle, side_by_side
 
 AUTO_ROWS = 256
-# Sample size of a tree that asks for a share of the rows: the share, up to this.
-# The sample is a parameter of the method and is recorded with the model.
-TREE_ROWS = 8192
+# Rows a task grows a node from. Larger nodes are cut by aggregates over all tasks
+# first; where a node is grown changes nothing about it.
+NODE_ROWS = 16384
 EULER = 0.5772156649015329
 
 _NODES = "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -38,42 +40,59 @@ def average_path(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, usual))
 
 
-def _pick_feature(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator) -> int:
-    """A random feature that is not constant in ``rows``, or -1. A few blind draws
-    first; only where those fail are all features looked at."""
-    if x.shape[1] == 0:
-        return -1
-    for feature in rng.integers(x.shape[1], size=4):
-        values = x[rows, feature]
-        if values.min() < values.max():
-            return int(feature)
-    part = x[rows]
-    usable = np.flatnonzero(part.min(axis=0) < part.max(axis=0))
-    return int(rng.choice(usable)) if len(usable) else -1
-
-
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of one tree: (node, feature, threshold, left, right, size, depth). A
-    node is cut at a random value of a random feature that is not constant in it,
-    until it holds one row, all its rows are equal, or it is at full depth."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
+def _draws(seed: int, tree: int, node: int) -> tuple[float, float]:
+    """Two numbers in [0, 1) that depend on the node alone (splitmix64), so a node is
+    cut the same wherever it is grown."""
+    mask, out = (1 << 64) - 1, []
+    x = (seed * 0x9E3779B97F4A7C15 + tree * 0xD1342543DE82EF95 + node * 0x2545F4914F6CDD1D) & mask
+    for _ in range(2):
+        x = (x + 0x9E3779B97F4A7C15) & mask
+        z = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & mask
+        out.append(((z ^ (z >> 31)) >> 11) / (1 << 53))
+    return out[0], out[1]
+
+
+def pick_cut(features, low, high, seed: int, tree: int, node: int) -> tuple[int, float]:
+    """A random one of ``features``, in ascending order and none constant, and a random
+    value between its ``low`` and ``high``."""
+    a, b = _draws(seed, tree, node)
+    i = int(a * len(features))
+    threshold = float(low[i]) + b * (float(high[i]) - float(low[i]))
+    return int(features[i]), threshold if threshold < high[i] else float(low[i])
+
+
+def depth_limit(size: int) -> int:
+    return math.ceil(math.log2(max(size, 2)))
+
+
+def grow_tree(
+    x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int = 1
+) -> list[tuple]:
+    """Nodes below and with ``root`` for its rows ``x``, whose columns are the features
+    ``columns``: (node, feature, threshold, size). Node n has the children 2n and
+    2n + 1. A node is cut at a random value of a random feature that is not constant in
+    it, until it holds one row, all its rows are equal, or it is at depth ``limit``."""
     nodes: list[tuple] = []
-    todo = [(0, np.arange(len(x)), 0)]
-    free = 1
+    todo = [(root, np.arange(len(x)), np.arange(x.shape[1]))]
     while todo:
-        node, rows, depth = todo.pop()
-        feature = _pick_feature(x, rows, rng) if len(rows) > 1 and depth < limit else -1
-        if feature < 0:
-            nodes.append((node, -1, 0.0, -1, -1, len(rows), depth))
+        node, rows, places = todo.pop()
+        if len(rows) > 1 and node.bit_length() - 1 < limit:
+            part = x[np.ix_(rows, places)]
+            low, high = part.min(axis=0), part.max(axis=0)
+            varied = np.flatnonzero(low < high)
+            # What is constant in a node is constant in its children.
+            places, low, high = places[varied], low[varied], high[varied]
+        else:
+            places = places[:0]
+        if not len(places):
+            nodes.append((node, -1, 0.0, len(rows)))
             continue
-        values = x[rows, feature]
-        threshold = float(rng.uniform(values.min(), values.max()))
-        goes_left = values <= threshold
-        left, right = free, free + 1
-        free += 2
-        nodes.append((node, feature, threshold, left, right, len(rows), depth))
-        todo.append((right, rows[~goes_left], depth + 1))
-        todo.append((left, rows[goes_left], depth + 1))
+        feature, threshold = pick_cut(columns[places], low, high, seed, tree, node)
+        goes_left = x[rows, np.searchsorted(columns, feature)] <= threshold
+        nodes.append((node, feature, threshold, len(rows)))
+        todo.append((2 * node + 1, rows[~goes_left], places))
+        todo.append((2 * node, rows[goes_left], places))
     return nodes
 
 
@@ -178,36 +197,139 @@ def sample_size(n_rows: int, max_samples: str | int | float) -> int:
     if max_samples == "auto":
         return min(AUTO_ROWS, n_rows)
     if isinstance(max_samples, float):
-        return max(1, min(int(max_samples * n_rows), TREE_ROWS))
-    return min(max_samples, n_rows, TREE_ROWS)
+        return max(1, int(max_samples * n_rows))
+    return min(max_samples, n_rows)
 
 
-def _uniform(seed: int, salt: str, *columns) -> Column:
-    """A number in [0, 1) that depends on the values alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *columns), F.lit(1 << 40)) / float(1 << 40)
+HASH = 1 << 40
+
+
+def _hash(seed: int, salt: str, *columns) -> Column:
+    """A number below 2^40 that depends on the values alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *columns), F.lit(HASH))
 
 
 def tree_samples(
     df: DataFrame, row_id: str, n_trees: int, size: int, n_rows: int, seed: int
 ) -> DataFrame:
     """``tree`` beside the columns of ``df``: a random sample of ``size`` rows per
-    tree. Rows are drawn by hash, so the samples do not depend on partitioning.
+    tree, those of lowest hash. The samples do not depend on partitioning.
 
-    One hash per row draws a pool some times larger than all samples together;
-    only pool rows are offered to the trees, and each tree keeps the ``size`` rows
-    of lowest hash. So what is shuffled depends on the forest, not on the table."""
+    One hash per row draws a pool some times larger than all samples together, and
+    only pool rows are offered to the trees; so what is shuffled depends on the forest,
+    not on the table. Rows per 1/65536 of the hash range are counted; a tree takes the
+    ranges that it can take whole and ranks the rows of its last one only."""
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    if size >= n_rows:
+        return df.withColumn("tree", F.explode(trees))
     aim = 4.0 * n_trees * size + 1000
     share = min(1.0, aim / max(n_rows, 1))
-    pool = df if share == 1.0 else df.filter(_uniform(seed, "pool", F.col(row_id)) < share)
+    pool = df if share == 1.0 else df.filter(_hash(seed, "pool", F.col(row_id)) < share * HASH)
     pooled = share * n_rows
     offer = min(1.0, (size + 8.0 * math.sqrt(size) + 16.0) / max(pooled - 8 * math.sqrt(pooled), 1.0))
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    draw = lambda t: _uniform(seed, "tree", F.col(row_id), t)
-    offered = pool.withColumn("tree", F.explode(F.filter(trees, lambda t: draw(t) < offer)))
-    rank = F.row_number().over(
-        Window.partitionBy("tree").orderBy(draw(F.col("tree")), F.col(row_id))
+    draw = lambda t: _hash(seed, "tree", F.col(row_id), t)
+    offered = pool.withColumn("tree", F.explode(F.filter(trees, lambda t: draw(t) < offer * HASH))).withColumns(
+        {"_draw": draw(F.col("tree")), "_range": F.shiftright(draw(F.col("tree")), 24)}
+    )
+    so_far = Window.partitionBy("tree").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = (
+        offered.groupBy("tree", "_range").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(so_far) - F.col("_n"))
+        .filter(F.col("_before") < size)
+        .groupBy("tree").agg(F.max_by(F.struct("_range", "_before"), "_range").alias("_last"))
     )
-    return offered.withColumn("_rank", rank).filter(F.col("_rank") <= size).drop("_rank")
+    # One row per tree.
+    placed = offered.join(F.broadcast(last), "tree").filter(F.col("_range") <= F.col("_last._range"))
+    whole = placed.filter(F.col("_range") < F.col("_last._range"))
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", row_id))
+    edge = placed.filter(F.col("_range") == F.col("_last._range")).withColumn("_rank", rank)
+    edge = edge.filter(F.col("_rank") <= size - F.col("_last._before")).drop("_rank")
+    return whole.unionByName(edge).select(*df.columns, "tree")
+
+
+_GROWN = "tree int, node bigint, feature int, threshold double, size bigint"
+
+
+def _grow_small(rows: DataFrame, row_id: str, features: str, dim: int, seed: int, limit: int) -> DataFrame:
+    """All nodes below those of ``rows``, a task per node of ``rows``."""
+    is_struct = rows.schema[features].dataType.typeName() == "struct"
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree, root = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
+        batch = pd.DataFrame(pdf[features].tolist()) if is_struct else pdf[features]
+        used = used_columns(batch, dim)
+        nodes = grow_tree(dense_rows(batch, dim, used), used, seed, tree, limit, root)
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "size"])
+        out.insert(0, "tree", tree)
+        return out
+
+    return rows.groupBy("tree", "node").applyInPandas(grow, _GROWN)
+
+
+def _cut_large(rows: DataFrame, sizes: DataFrame, features: str, seed: int) -> DataFrame:
+    """One cut per node of ``sizes``: ``tree, node, feature, threshold, size``; no row
+    for a node without a feature that varies. Ranges are combined on the map side."""
+    if rows.schema[features].dataType.typeName() == "struct":
+        pairs = F.explode(F.arrays_zip(f"{features}.indices", f"{features}.values")).alias("p")
+        entries = rows.select("tree", "node", pairs).select(
+            "tree", "node", F.col("p.indices").alias("feature"), F.col("p.values").alias("x")
+        )
+    else:
+        entries = rows.select("tree", "node", F.posexplode(features).alias("feature", "x"))
+    x = F.col("x").cast("double")
+    ranges = entries.groupBy("tree", "node", "feature").agg(
+        F.min(x).alias("low"), F.max(x).alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    # A row that does not list a feature has 0 there.
+    lists_all = F.col("n") == F.col("size")
+    ranges = ranges.join(sizes, ["tree", "node"]).withColumns({
+        "low": F.when(lists_all, F.col("low")).otherwise(F.least("low", F.lit(0.0))),
+        "high": F.when(lists_all, F.col("high")).otherwise(F.greatest("high", F.lit(0.0))),
+    })
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("feature")
+        tree, node, size = (int(pdf[c].iloc[0]) for c in ("tree", "node", "size"))
+        chosen = pick_cut(*(pdf[c].to_numpy() for c in ("feature", "low", "high")), seed, tree, node)
+        return pd.DataFrame([(tree, node, *chosen, size)], columns=["tree", "node", "feature", "threshold", "size"])
+
+    return ranges.filter("low < high").groupBy("tree", "node").applyInPandas(cut, _GROWN)
+
+
+def _value_at(df: DataFrame, features: str) -> Column:
+    if df.schema[features].dataType.typeName() != "struct":
+        return F.get(features, F.col("feature")).cast("double")
+    at = F.array_position(f"{features}.indices", F.col("feature")) - 1
+    return F.when(at < 0, 0.0).otherwise(F.get(F.col(f"{features}.values"), at.cast("int")))
+
+
+def grow_nodes(
+    samples: DataFrame, row_id: str, features: str, dim: int, seed: int, size: int, node_rows: int
+) -> DataFrame:
+    """All nodes of all trees. While some node holds more than ``node_rows`` rows, one
+    level of such nodes is cut: an aggregate finds the range of every feature in every
+    node, and each row goes to the side of its node. Smaller nodes go to a task each."""
+    limit = depth_limit(size)
+    rows, done = samples.withColumn("node", F.lit(1).cast("bigint")), []
+    if size > node_rows:
+        rows = settle(rows, "forest-rows")
+        for level in range(limit + 1):
+            sizes = settle(rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")), "forest-sizes")
+            large = sizes.filter(F.col("size") > node_rows)
+            if large.isEmpty():
+                break
+            in_large = lookup_join(rows, large.select("tree", "node"), ["tree", "node"], "left_semi", [row_id])
+            cuts = settle(_cut_large(in_large, large, features, seed).filter(F.lit(level < limit)), "forest-cuts")
+            # At full depth, or without a feature that varies, a large node is a leaf.
+            flat = large.join(cuts, ["tree", "node"], "left_anti")
+            done += [cuts, flat.select("tree", "node", F.lit(-1).alias("feature"), F.lit(0.0).alias("threshold"), "size")]
+            placed = lookup_join(rows, cuts.drop("size"), ["tree", "node"], "left", [row_id])
+            placed = lookup_join(placed, flat.select("tree", "node"), ["tree", "node"], "left_anti", [row_id])
+            side = F.when(_value_at(rows, features) <= F.col("threshold"), 0).otherwise(1)
+            node = F.when(F.col("feature").isNull(), F.col("node")).otherwise(F.col("node") * 2 + side)
+            rows = settle(placed.withColumn("node", node).select(*rows.columns), "forest-rows")
+    done.append(_grow_small(rows, row_id, features, dim, seed, limit))
+    return functools.reduce(DataFrame.unionByName, done)
 
 
 def grow_forest(
@@ -219,29 +341,32 @@ def grow_forest(
     max_samples: str | int | float = "auto",
     seed: int = FOREST_SEED,
     n_rows: int | None = None,
+    node_rows: int = NODE_ROWS,
 ) -> Forest:
-    """Grow all trees in one job, a task per tree. ``row_id`` is unique."""
+    """Grow all trees side by side. ``row_id`` is unique. The grown forest, at most
+    twice the sample size of nodes per tree, is the model and is held whole: for a
+    large table ask for a number of rows per tree rather than a share."""
     n_rows = df.count() if n_rows is None else n_rows
     size = sample_size(n_rows, max_samples)
     samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed)
-    is_struct = df.schema[features].dataType.typeName() == "struct"
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(row_id)
-        tree = int(pdf["tree"].iloc[0])
-        batch = pd.DataFrame(pdf[features].tolist()) if is_struct else pdf[features]
-        used = used_columns(batch, dim)
-        nodes = grow_tree(dense_rows(batch, dim, used), np.random.default_rng([seed, tree]))
-        out = pd.DataFrame(
-            nodes, columns=["node", "feature", "threshold", "left", "right", "size", "depth"]
-        )
-        inner = out["feature"] >= 0
-        out.loc[inner, "feature"] = used[out.loc[inner, "feature"]]
-        out.insert(0, "tree", tree)
-        return out
-
-    nodes = samples.groupBy("tree").applyInPandas(grow, _NODES).toPandas()
-    return Forest(_node_array(nodes), size, dim)
+    nodes = grow_nodes(samples, row_id, features, dim, seed, size, node_rows).toPandas()
+    return Forest(_linked(nodes), size, dim)
+
+
+def _linked(grown: pd.DataFrame) -> np.ndarray:
+    """Nodes 1, 2n, 2n + 1 numbered 0, 1, ... per tree, with their children and depth."""
+    grown = grown.sort_values(["tree", "node"], ignore_index=True)
+    number = grown.groupby("tree").cumcount()
+    at = pd.Series(number.to_numpy(), index=pd.MultiIndex.from_frame(grown[["tree", "node"]]))
+    inner = grown["feature"].to_numpy() >= 0
+    children = [
+        np.where(inner, at.reindex(pd.MultiIndex.from_arrays([grown["tree"], grown["node"] * 2 + side])).to_numpy(), -1)
+        for side in (0, 1)
+    ]
+    depth = np.frexp(grown["node"].to_numpy().astype(np.float64))[1] - 1
+    return _node_array(
+        grown.assign(node=number, left=children[0], right=children[1], depth=depth)
+    )
 
 
 def with_scores(df: DataFrame, forest: Forest, features: str = "features") -> DataFrame:

@@ -145,6 +145,33 @@ def test_forest_scores_and_partitioning(spark):
     assert iforest.keep_windows(iforest.decide(df, forest), "normal").count() == 126 - 7
 
 
+@pytest.mark.parametrize("sparse", [False, True])
+def test_forest_is_the_same_where_nodes_are_cut_by_aggregates(spark, sparse):
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random((90, 6)) < 0.5, 0.0, rng.normal(size=(90, 6)).round(1))
+    x[:30] = x[0]  # a third of all rows are copies
+    x[:, 5] = 0.0
+    rows = [
+        (i, {"indices": np.flatnonzero(r).tolist(), "values": r[r != 0].tolist()} if sparse else r.tolist())
+        for i, r in enumerate(x)
+    ]
+    kind = "struct<indices:array<int>,values:array<double>>" if sparse else "array<double>"
+    df = spark.createDataFrame(rows, f"id bigint, features {kind}")
+    for samples in (1.0,) if sparse else (0.8, 50):
+        whole = iforest.grow_forest(df, 6, "id", n_trees=3, max_samples=samples)
+        cut = iforest.grow_forest(df.repartition(4), 6, "id", n_trees=3, max_samples=samples, node_rows=25)
+        assert (whole.nodes == cut.nodes).all() and whole.sample == {0.8: 72, 1.0: 90, 50: 50}[samples]
+        for t in range(3):
+            nodes = whole.nodes[whole.nodes["tree"] == t]
+            assert nodes["size"][0] == whole.sample == nodes["size"][nodes["feature"] < 0].sum()
+            assert nodes["depth"].max() <= 7 and (nodes["size"] > 0).all() and (nodes["feature"] < 5).all()
+
+
+def test_share_is_the_share_at_any_size():
+    assert iforest.sample_size(100_000, 50_000) == 50_000
+    assert iforest.sample_size(100_000, 0.8) == 80_000
+
+
 def test_forest_search(spark):
     _, df = points(spark)
     trials = [
