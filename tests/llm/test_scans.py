@@ -1,13 +1,16 @@
 """Token counts, decontamination and license scans against brute force."""
 
+import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers
 
 from riftlog.llm import decontaminate, license_scan, token_counts
 from riftlog.llm.queries import op2_token_counts, op3_decontamination, op5_license_scan
+from riftlog.llm.text import words_of
 
 from .common import ODD_TEXTS, SF, documents, odd, read, words
 
@@ -90,6 +93,19 @@ def test_overlaps_planted(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(range(120)) - {d for d, _ in want}
 
 
+@pytest.mark.parametrize("n", range(8, 18))
+def test_every_accepted_overlap_has_a_seed(n):
+    """Items of n words with every choice of up to n / 3 changed words."""
+    item = [f"w{i}" for i in range(n)]
+    needed = min(12, -(-n * 8 // 10))
+    docs = [[f"x{i}" if i in changed else w for i, w in enumerate(item)]
+            for k in range(n // 3 + 1) for changed in itertools.combinations(range(n), k)]
+    want = {d for d, own in enumerate(docs) if best_run(own, item) >= needed}
+    found = next(words_of(pa.array([" ".join(own) for own in docs])))
+    assert found.rows == len(docs)
+    assert set(decontaminate.Index([" ".join(item)]).hits(found)[0].tolist()) == want and len(want) > 1
+
+
 def test_overlaps_on_the_table(spark):
     docs, bench = read("documents"), read("benchmark")
     got = {(r["doc_id"], r["item_id"]) for r in op3_decontamination(spark, SF).collect()}
