@@ -15,11 +15,10 @@ are one row with a list of places.
 The words around a suffix are compared by 24 bits each (of ten million pairs of different
 words about one passes as equal, which can lengthen a span by a word), its beginning by 64.
 
-Hot passages: suffixes that share a beginning with those of another piece (the first and
-the last of each piece) are sorted again on their own, once by what follows and once by
-what precedes, so that a passage that a third of all documents hold is split over many
-tasks. Two of these documents can then only miss each other's run if, in both orders,
-more than a piece lies between them, and then each still has those nearer to it.
+Hot passages: suffixes that may share a beginning with those of another piece (the first
+and the last of each piece) are given back. The hashes of all their runs are aggregated to
+the smallest and the largest id (combined on the map side) and joined back, so that a
+passage that a third of all documents hold is split over many tasks and none is missed.
 
 Of the documents that share a run, the one with the smallest id keeps it.
 
@@ -43,9 +42,9 @@ SIDE = LENGTH - SEED  # words that a run can reach on either side
 GATHER = 40_000  # suffixes compared at once; a beginning is never cut
 SUFFIX = "id long, key long, after binary, before binary, at array<int>"
 #: kind 0: words first .. last - 1 of id are repeated; 1: and another document keeps
-#: them; 2: a suffix to sort again; 3: the run ``key``, which begins ``first`` words before
-#: the places ``at``, is kept by id within one piece.
+#: them; 2: a suffix whose beginning may go on in another piece.
 FOUND = "kind byte, id long, first int, last int, key long, after binary, before binary, at array<int>"
+RUNS = "run long, id long, offset int, at array<int>"
 
 _U = np.uint64
 _INDEX = _U((1 << 24) - 1)
@@ -150,27 +149,32 @@ def _sides(codes: np.ndarray, many: np.ndarray, salt: int) -> np.ndarray:
     return out
 
 
-def compare(ids: np.ndarray, key: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each suffix (hashes of its sides given) and each a in 0 .. SIDE, about the run
-    that begins a words before it: its hash, whether another document has it too, and whether none smaller has."""
+def runs_of(key: np.ndarray, right: np.ndarray, left: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes (hashes of their sides given) with a run that begins a words before
+    them, and its hash."""
+    x, y = left[:, a], right[:, SIDE - a]
+    at = np.flatnonzero((x != 0) & (y != 0))
+    with np.errstate(over="ignore"):
+        return at, mix(key[at] + x[at] * _U(0xA0761D6478BD642F) + mix(y[at] + _U(a)))
+
+
+def compare(ids: np.ndarray, key: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix (hashes of its sides given) and each a in 0 .. SIDE: whether another
+    document has the run that begins a words before it too, and whether none smaller has."""
     n = len(ids)
-    runs = np.zeros((n, SIDE + 1), _U)
     repeated, kept = np.zeros((n, SIDE + 1), bool), np.zeros((n, SIDE + 1), bool)
     for a in range(SIDE + 1):
-        x, y = left[:, a], right[:, SIDE - a]
-        with np.errstate(over="ignore"):
-            runs[:, a] = mix(key + x * _U(0xA0761D6478BD642F) + mix(y + _U(a)))
-        at = np.flatnonzero((x != 0) & (y != 0))
+        at, own = runs_of(key, right, left, a)
         if len(at) < 2:
             continue
-        at = at[np.lexsort((ids[at], runs[at, a]))]
-        own, doc = runs[at, a], ids[at]
+        order = np.lexsort((ids[at], own))
+        at, own, doc = at[order], own[order], ids[at[order]]
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
         size = np.diff(np.append(first, len(at)))
         low, high = np.repeat(doc[first], size), np.repeat(doc[first + size - 1], size)
         repeated[at, a] = low != high
         kept[at, a] = doc == low
-    return runs, repeated, kept
+    return repeated, kept
 
 
 def _spans(ids: np.ndarray, at: np.ndarray, start: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,9 +188,9 @@ def _spans(ids: np.ndarray, at: np.ndarray, start: np.ndarray, marked: np.ndarra
     return np.repeat(ids[row], many), place - np.repeat(high - 1, many), place - np.repeat(low, many) + LENGTH
 
 
-def extend(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
-    """Compare the neighbours of one sorted piece. With ``again`` those that may go on in
-    other pieces are given back; otherwise it is told which runs are kept here by whom."""
+def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the neighbours of one sorted piece; those that may go on in other pieces
+    are given back."""
     names = [x.split()[0] for x in FOUND.split(", ")]
     kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
 
@@ -211,12 +215,9 @@ def extend(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.Record
             at, start = places.flatten().to_numpy().astype(np.int64), places.offsets.to_numpy().astype(np.int64)
             start = start - start[0]
             sides = [_sides(*codes_of(own.column(c).slice(a, b - a)), salt) for salt, c in ((1, "after"), (2, "before"))]
-            runs, repeated, kept = compare(ids[a:b], key[a:b], *sides)
+            repeated, kept = compare(ids[a:b], key[a:b], *sides)
             for kind, marked in ((0, repeated), (1, repeated & ~kept)):
                 yield rows(kind, *_spans(ids[a:b], at, start, marked))
-            if not again:
-                row, offset = np.nonzero(repeated & kept)
-                yield rows(3, ids[a:b][row], first=offset, key=runs[row, offset].view(np.int64), at=places.take(pa.array(row)))
 
     def give_back(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for b in table.to_batches():
@@ -232,22 +233,17 @@ def extend(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.Record
             continue
         table = pa.Table.from_batches(held)
         key = table.column("key").to_numpy()
-        if again and first_key is None:
-            first_key = key[0]
-            own = int(np.searchsorted(key, first_key, "right"))
-            yield from give_back(table.slice(0, own))
-            table, key = table.slice(own), key[own:]
-        elif again:
-            own = int(np.searchsorted(key, first_key, "right"))
-            yield from give_back(table.slice(0, own))
-            table, key = table.slice(own), key[own:]
+        first_key = key[0] if first_key is None else first_key
+        own = int(np.searchsorted(key, first_key, "right"))
+        yield from give_back(table.slice(0, own))
+        table, key = table.slice(own), key[own:]
         cut = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
         yield from piece(table.slice(0, cut)) if cut else ()
         held = table.slice(cut).to_batches()
     if held:
         table = pa.Table.from_batches(held)
         key = table.column("key").to_numpy()
-        if again and len(key):
+        if len(key):
             a = int(np.searchsorted(key, key[0] if first_key is None else first_key, "right"))
             b = max(a, int(np.searchsorted(key, key[-1], "left")))
             yield from give_back(table.slice(0, a))
@@ -268,6 +264,21 @@ def _parts(key: np.ndarray, most: int = GATHER) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every run through the given suffixes, by its hash."""
+    for whole in batches:
+        for a in range(0, whole.num_rows, GATHER):
+            batch = whole.slice(a, GATHER)
+            ids, key = batch.column("id").to_numpy(), batch.column("key").to_numpy().view(_U)
+            right, left = (_sides(*codes_of(batch.column(c)), salt) for salt, c in ((1, "after"), (2, "before")))
+            for offset in range(SIDE + 1):
+                at, own = runs_of(key, right, left, offset)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own.view(np.int64)), pa.array(ids[at]), pa.array(np.full(len(at), offset, np.int32)), batch.column("at").take(pa.array(at))],
+                    names=["run", "id", "offset", "at"],
+                )
+
+
 def _merge(spans: DataFrame) -> DataFrame:
     """Overlapping and touching spans of each id made one: (id, first, last)."""
     line = Window.partitionBy("id").orderBy("first", "last")
@@ -280,22 +291,18 @@ def _merge(spans: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Spans of words that other documents repeat, and those of them that another
     document keeps: (id, first, last), words from 0, ``last`` exclusive."""
-    def look(rows: DataFrame, one: str, other: str, again: bool) -> DataFrame:
-        order = ["key", one, other, "id"]
-        array = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        return array.mapInArrow(lambda it: extend(it, again), FOUND)
-
-    found = settle(look(suffixes(docs, id_col, text_col), "after", "before", True), "suffixes")
-    rest = found.where("kind = 2").select("id", "key", "after", "before", "at")
-    rest = settle(look(rest, "after", "before", False).unionByName(look(rest, "before", "after", False)).drop("after", "before"), "hot")
-    spans = found.where("kind < 2").select("kind", "id", "first", "last").union(rest.where("kind < 2").select("kind", "id", "first", "last"))
-    # A run that several pieces keep stays with the smallest id of them all.
-    keepers = rest.where("kind = 3")
-    least = keepers.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    lost = keepers.join(least, "key").where("id <> least").select("id", "first", F.explode("at").alias("place"))
-    lost = lost.select("id", (F.col("place") - F.col("first")).alias("first"), (F.col("place") - F.col("first") + LENGTH).alias("last"))
-    return (_merge(spans.where("kind = 0").select("id", "first", "last")),
-            _merge(spans.where("kind = 1").select("id", "first", "last").union(lost)))
+    order = ["key", "after", "before", "id"]
+    array = suffixes(docs, id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = settle(array.mapInArrow(extend, FOUND), "suffixes")
+    spans = found.where("kind < 2").select("kind", "id", "first", "last")
+    # Written before they are joined: both sides are plain shuffles, and a hot run's can be split.
+    runs = settle(found.where("kind = 2").select("id", "key", "after", "before", "at").mapInArrow(all_runs, RUNS), "runs")
+    shared = runs.groupBy("run").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("run", "least")
+    hot = settle(runs.join(settle(shared, "shared"), "run").select("id", "offset", "at", "least"), "hot")
+    hot = hot.select("id", "least", "offset", F.explode("at").alias("place"))
+    hot = hot.select("id", "least", (F.col("place") - F.col("offset")).alias("first"), (F.col("place") - F.col("offset") + LENGTH).alias("last"))
+    return (_merge(spans.where("kind = 0").select("id", "first", "last").union(hot.select("id", "first", "last"))),
+            _merge(spans.where("kind = 1").select("id", "first", "last").union(hot.where("id <> least").select("id", "first", "last"))))
 
 
 def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:

@@ -109,6 +109,30 @@ def test_planted_and_hot(spark, pieces):
             assert d in cut or after[d]["text"] == t
 
 
+def test_run_between_many_variants(spark):
+    """A hot phrase between headers and footers that are each shared by more rows than a
+    piece: two holders of a run on both sides of the seed are far apart in either order."""
+    random.seed(8)
+    pool = [f"w{i}" for i in range(3000)]
+    take = lambda n: random.choices(pool, k=n)
+    phrase, heads, feet = take(20), [take(15) for _ in range(12)], [take(15) for _ in range(12)]
+    texts = [take(30) + h + phrase + f + take(30) for h in heads for f in feet for _ in range(2)]
+    random.shuffle(texts)
+    docs = [(d, " ".join(t)) for d, t in enumerate(texts)]
+    want, cut = brute(docs)
+    names = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        spans, cuts = sd.repeats(documents(spark, [t for _, t in docs]))
+        got, got_cut = covered(tuple(r) for r in spans.collect()), covered(tuple(r) for r in cuts.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(want) == len(docs) and got == want and got_cut == cut
+
+
 def test_odd(spark):
     docs = odd(spark)
     spans, cuts = sd.repeats(docs)
