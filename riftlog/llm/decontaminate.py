@@ -8,9 +8,11 @@ are compared, and the run with the best score (+1 for an equal word, -``PRICE``
 different one) must hold ``LEAST_WORDS`` equal words, or ``LEAST_SHARE`` of a shorter
 item's words.
 
-The documents never move: the benchmark is read in blocks of bounded size
-(``BLOCK_BYTES`` of text), each block travels to the tasks, and every document passes
-every block. A larger benchmark means more blocks, not more memory.
+The documents are never shuffled: the benchmark is read in blocks of bounded size
+(``BLOCK_BYTES``; copies of an item count once), each block travels to the tasks, and every
+document passes every block. A larger benchmark means more blocks, not more memory: with
+more than one, a block is read, run and its result written before the next is read, so that
+driver and tasks hold one. That writes the documents once a block.
 
 Defined results: null and empty texts match nothing; items with fewer than
 ``SHORTEST`` words are no evidence and match nothing; an empty benchmark matches
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from riftlog.llm.text import Words, carried, mix, words_of
+from riftlog.session import settle
 
 #: Every overlap that ``verify`` accepts has one of these: the last words of a run, up to
 #: the ``needed`` equal ones, score more than 0 from any of its words on, which leaves at
@@ -33,6 +36,7 @@ from riftlog.llm.text import Words, carried, mix, words_of
 MASKS = ("10110111", "10010001111", "10100010111", "1101111", "110001111", "1110111")
 LEAST_WORDS, LEAST_SHARE, SHORTEST, PRICE = 12, 0.8, 8, 2
 BLOCK_BYTES = 4_000_000
+ITEM_BYTES = 64  # what an item takes besides its text
 HITS = "array<struct<item:long,matched_words:int,first_word:int,last_word:int>>"
 _ODD = np.uint64(0x9FB21C651E98DF25)
 
@@ -130,27 +134,37 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", k
     matched_words, first_word, last_word) per item that the document overlaps, at the
     place with most equal words; words from 0. With ``clean_only`` only rows without hits."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Copies of one item are one row with their number, so that hashing spreads all rows.
+    items = items.groupBy("item", "text").agg(F.count(F.lit(1)).alias("copies"))
+    size = items.agg(F.sum(F.octet_length("text") + F.lit(ITEM_BYTES))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
+    if blocks > 1:
+        items = settle(items, "benchmark")
     payload, texts_of = carried(docs, text_col, keep)
     payload = payload.withColumn("hits", F.expr(f"cast(array() as {HITS})"))
     kind = pa.list_(pa.struct([("item", pa.int64()), ("matched_words", pa.int32()), ("first_word", pa.int32()), ("last_word", pa.int32())]))
     for block in range(blocks):
-        # A block holds about block_bytes of text, however large the benchmark is.
+        # A block holds about block_bytes, however large the benchmark is.
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        ids, texts = [r["item"] for r in own], [r["text"] for r in own]
+        # Equal texts are compared once.
+        ids: dict[str, list[tuple[int, int]]] = {}
+        for r in own:
+            ids.setdefault(r["text"], []).append((r["item"], r["copies"]))
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], ids=list(ids.values()), texts=list(ids)) -> Iterator[pa.RecordBatch]:
             index = Index(texts)
             for batch in batches:
                 before = batch.column("hits").to_pylist()
                 for words in words_of(texts_of(batch)):
                     found = before[words.first : words.first + words.rows]
                     for r, i, n, a, b in zip(*(x.tolist() for x in index.hits(words))):
-                        found[r] = [*found[r], {"item": ids[i], "matched_words": n, "first_word": a, "last_word": b}]
+                        found[r] = [*found[r], *({"item": item, "matched_words": n, "first_word": a, "last_word": b}
+                                                 for item, copies in ids[i] for _ in range(copies))]
                     part = batch.slice(words.first, words.rows)
                     part = part.set_column(part.schema.get_field_index("hits"), "hits", pa.array(found, kind))
                     yield part.filter(pa.array([not f for f in found])) if clean_only else part
 
         payload = payload.mapInArrow(run, payload.schema)
+        if blocks > 1:
+            payload = settle(payload, "block")
     return payload.select("row", "hits")

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer, models, normalizers
 from riftlog.llm import decontaminate, license_scan, token_counts
 from riftlog.llm.queries import op2_token_counts, op3_decontamination, op5_license_scan
 from riftlog.llm.text import words_of
+from riftlog.session import settle
 
 from .common import ODD_TEXTS, SF, documents, odd, read, words
 
@@ -106,6 +107,27 @@ def test_every_accepted_overlap_has_a_seed(n):
     assert set(decontaminate.Index([" ".join(item)]).hits(found)[0].tolist()) == want and len(want) > 1
 
 
+def test_benchmark_in_bounded_blocks(spark, monkeypatch):
+    """Copies of one item don't fill a block, one block is held at a time, all are reported."""
+    random.seed(6)
+    items = [" ".join(random.choices([f"w{i}" for i in range(900)], k=20)) for _ in range(40)]
+    rows = list(enumerate(items)) + [(7, items[7])] * 60 + [(100 + i, items[8]) for i in range(30)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = documents(spark, [f"a b {t} c d" for t in items])
+    held, written = [], []
+    monkeypatch.setattr(decontaminate, "settle", lambda df, label: written.append(label) or settle(df, label), raising=False)
+    frame = type(docs)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: held.append(collect(self)) or held[-1])
+    found = decontaminate.overlaps(docs, bench, block_bytes=2_000)
+    monkeypatch.undo()
+    held = [part for part in held if part and "text" in part[0]]  # not the size
+    assert len(held) > 4 and written.count("block") == len(held)
+    assert max(sum(len(r["text"]) for r in part) for part in held) < 4_000
+    got = sorted((r["doc_id"], r["i"]) for r in found.select("row.doc_id", F.explode("hits.item").alias("i")).collect())
+    assert got == sorted((items.index(t), i) for i, t in rows)
+
+
 def test_overlaps_on_the_table(spark):
     docs, bench = read("documents"), read("benchmark")
     got = {(r["doc_id"], r["item_id"]) for r in op3_decontamination(spark, SF).collect()}
