@@ -86,12 +86,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
 def write_version(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> str:
     """Write to a fresh directory below ``path`` and return it. A table may so be
     rewritten from itself: readers of the old version are not disturbed.
-    ``single_file`` is for small exports, since one task then writes everything; a
-    table that is not proven small is refused."""
+    ``single_file`` is for exports, since one task then writes everything: a table
+    that is not proven small is computed by all tasks first and streamed through it."""
     version = f"{path.rstrip('/')}/v={uuid.uuid4().hex}"
-    if single_file and not is_small(df):
-        raise ValueError("too large for a single file")
-    out = df.coalesce(1) if single_file else df
+    out = df
+    if single_file:
+        out = df.coalesce(1) if is_small(df) else df.repartition(1)
     writer = out.write
     if fmt == "csv":
         writer = writer.options(**_CSV).option("header", True)

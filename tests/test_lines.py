@@ -4,10 +4,11 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from riftlog.config import LINE_FIELDS, LINE_PATTERN
 from riftlog.functions.parsing import impute_request, parse_lines, rejected_lines, with_event_time
+from riftlog.operators.lookups import MAX_ROWS
 from riftlog.sources import tables, text_logs
 
 HEAD = "nova.log 2017-05-16 00:00:00.008 25746 INFO nova.wsgi "
@@ -112,3 +113,11 @@ def test_rewrite_from_itself_and_guards(spark, tmp_path):
         tables.require_columns(spark.range(1), "message")
     with pytest.raises(tables.EmptyInputError):
         tables.require_rows(spark.range(0))
+
+
+def test_single_file_at_any_size(spark, tmp_path):
+    rows = 2 * MAX_ROWS
+    path = tables.write_version(spark.range(rows).toDF("x"), str(tmp_path / "t"), "csv", single_file=True)
+    back = tables.read_csv(spark, path, T.StructType([T.StructField("x", T.LongType())]), multiline=False)
+    assert len(back.inputFiles()) == 1
+    assert back.agg(F.count("x"), F.sum("x")).first() == (rows, rows * (rows - 1) // 2)
