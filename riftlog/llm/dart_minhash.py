@@ -23,8 +23,8 @@ gives one link per class to the smallest of them; neighbourhoods are split in bl
 A neighbourhood of n different texts costs n / BLOCK copies of each of their sets, which
 is the price of comparing all of them.
 
-Defined results: a null text is like nothing, and so is a row without an id; texts
-without words are alike only if they are equal; repeated rows are copies; ties go to
+Defined results: a null text is like nothing, and so is a row without an id, and each
+such row is its own group; texts without words are alike only if they are equal; repeated rows are copies; ties go to
 the smallest id."""
 
 from __future__ import annotations
@@ -208,8 +208,8 @@ def links_within(names: list[int], sets: list[np.ndarray], split: int, threshold
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """One row per document with an id and a text: id, copy_id (smallest id with the same
-    shingle set), group_id (smallest id among all linked, directly or not)."""
+    """One row per document: id, copy_id (smallest id with the same shingle set), group_id
+    (smallest id among all linked, directly or not)."""
     own = settle(sketch(docs, id_col, text_col, bands, rows), "sketch")
     classes = settle(own.groupBy("class").agg(F.min(F.struct("id", "bands")).alias("first")).select("class", F.col("first.id").alias("id"), "first.bands"), "classes")
     banded = classes.select("class", F.explode("bands").alias("band"))
@@ -272,7 +272,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     groups = settle(groups, "groups")
     first = groups.groupBy("group").agg(F.min("id").alias("group_id"))
     named = groups.join(first, "group").select("class", F.col("id").alias("copy_id"), "group_id")
-    return own.select("id", "class").join(named, "class").select("id", "copy_id", "group_id")
+    found = own.select("id", "class").join(named, "class").select("id", "copy_id", "group_id")
+    own_id = F.col(id_col).cast("long")
+    alone = docs.where(own_id.isNull() | F.col(text_col).cast("string").isNull())
+    return found.unionByName(alone.select(own_id.alias("id"), own_id.alias("copy_id"), own_id.alias("group_id")))
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

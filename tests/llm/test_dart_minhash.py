@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,14 @@ def test_hot_family_in_blocks(spark):
         assert {r["id"]: r["group_id"] for r in got} == want
 
 
+def test_one_row_per_document(spark):
+    docs = odd(spark)
+    rows = dm.near_duplicates(docs).collect()
+    assert Counter(r["id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
+    alone = [tuple(r) for r in rows if r["id"] in (None, 0)]
+    assert sorted(alone, key=str) == [(0, 0, 0), (0, 0, 0), (None, None, None)]
+
+
 def test_one_of_each(spark):
     docs = odd(spark)
     kept = dm.one_of_each(docs)
