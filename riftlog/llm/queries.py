@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, suffix_dedup, token_counts, toxicity
+from riftlog.llm import collocations, dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, suffix_dedup, token_counts, toxicity, vector_codes
 from riftlog.llm.labelled import fold, held_out
 
 
@@ -71,6 +71,15 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -82,8 +91,46 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Product quantisation in SQL: a round is a pair of tables."""
+    steps = [
+        """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, range(4) AS t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT vec_id, p, min([list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), e]) AS best
+  FROM parts JOIN book{i} USING (p) GROUP BY vec_id, p
+)""")
+        if i < rounds:
+            steps.append(f"""book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY j) AS c FROM (
+      SELECT p, best[2] AS e, j, floor(sum(x[j]) / count(*)) AS mean
+      FROM near{i} JOIN parts USING (vec_id, p), generate_series(1, len(x)) AS t(j) GROUP BY ALL
+    ) GROUP BY p, e
+  ) m USING (p, e)
+)""")
+    return f"""WITH {", ".join(steps)}, coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02X', best[2]::INT)), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
 ORACLE = {
     "op1_mixing": r"""
 WITH sized AS (
@@ -110,4 +157,33 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        ((start + position * rate) // 1048576 - (start + (position - 1) * rate) // 1048576) * size AS taken
 FROM placed""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), counts AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f
+  FROM (SELECT lang, size, unnest(list_transform(generate_series(1, len(w) - size + 1), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+        FROM words, generate_series(1, 5) AS s(size))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') AS tail
+  FROM counts, generate_series(1, 4) AS s(k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.phrase, a, h.f AS l, t.f AS r, n, k, ((1000::HUGEINT * a * n) // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = head JOIN counts t ON t.lang = c.lang AND t.phrase = tail JOIN totals s ON s.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM counts q WHERE q.lang = p.lang AND q.f >= p.a AND q.phrase <> p.phrase AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000""",
+    "op13_vector_codes": _codes_sql(),
 }
