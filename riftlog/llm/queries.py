@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.llm import collocations, dart_minhash, decontaminate, language_id, license_scan, lz_fingerprint, mixing, quality_model, suffix_dedup, token_counts, toxicity, vector_codes
+from riftlog.llm import collocations, dart_minhash, decontaminate, html_text, language_id, license_scan, lz_fingerprint, mixing, quality_model, suffix_dedup, token_counts, toxicity, vector_codes
 from riftlog.llm.labelled import fold, held_out
 
 
@@ -75,6 +75,12 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
 
 
+def op12_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    found = html_text.extract(pages, html_text.fit(pages), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     coded, books = vector_codes.compress(table(spark, sf, "embeddings"))
     return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
@@ -92,6 +98,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
+    "op12_html_text": op12_html_text,
     "op13_vector_codes": op13_vector_codes,
 }
 
