@@ -7,31 +7,35 @@ groups of prefixes (vertical partitioning), each group on its own:
    neighbouring pairs are, so a bitmap of the frequent words (``BITS`` bits, whatever the
    corpus) tells most of the others apart; what it lets through by chance is counted
    exactly like the rest and dropped by its count.
-2. Pairs of such words are counted, and put into a bitmap in the same way: prefixes of
-   two words, with their exact frequencies.
-3. Every place where at least three words follow each other by frequent pairs gives a
-   suffix of up to ``LONGEST`` words. Equal suffixes are one row with their number, the
-   leaf totals.
-4. A prefix with more than ``PREFIX_ROWS`` suffixes is extended by a word, again and again
-   while that is so. Prefixes, whole, are packed into ranges of about ``GROUP_ROWS`` rows;
-   a range is sorted and read in one stream, where the suffixes of a prefix are a subtree:
-   the total of a node is the sum of the leaf totals below it. Nodes above an extended
-   prefix get the sum of the totals of their parts.
-
-Texts are read three times and never shuffled. What moves are counts, combined in the
-tasks first, so a passage or a pair that a third of all documents hold costs a row a task.
-The counts of the parts of each cut are joined by phrase; scores are whole numbers of 38
-digits. Ranking keeps the first ``TOP`` of each partition before they meet.
+2. Prefixes of two such words are counted by hash; those that occur ``LEAST`` times go into
+   a second bitmap. A prefix that occurs more than ``PREFIX_ROWS`` times is extended by a
+   word and its extensions are counted, again and again while there are such prefixes.
+3. Every place from which frequent pairs follow each other gives a suffix of up to
+   ``LONGEST`` words. Its prefix (two words, more where that one was extended) gives its
+   group. Equal suffixes of a task are one suffix with its number; the suffixes of a task
+   for a group travel together, as one row.
+4. Each group is sorted in one task: the suffixes of a prefix are a subtree, and the total
+   of a node is the sum of the leaf totals below it. Nodes above an extended prefix get the
+   sum of the totals of their parts.
+
+The number of groups follows the number of words (``GROUP_WORDS`` each), so a group is
+bounded by that and by ``PREFIX_ROWS``. Texts are read once for each of the passes and
+never shuffled. What moves is combined in the tasks first, so a passage or a pair that a
+third of all documents hold costs an entry a task. The list of extended prefixes, which all
+tasks hold, has the number of words / ``PREFIX_ROWS`` entries at the most. The counts of the
+parts of each cut are joined by phrase; scores are whole numbers of 38 digits. Ranking keeps
+the first ``TOP`` of each partition before they meet.
 
 Defined results: a null or empty text has no words; a null ``lang`` counts as ``und``,
 together with documents of that name; rows with equal or null ids count each; a text of any
-length is read whole, cut where a piece ends (a piece is held whole); phrases of which all
-words agree are ordered by their bytes; without candidates the result is empty. No other
+length is read whole, cut where a piece ends (a piece is held whole); phrases that agree in
+score and count are ordered by their bytes; without candidates the result is empty. No other
 column than text and language is looked at."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +49,8 @@ from riftlog.session import settle
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 BITS = 25  # log2 of the bits of a bitmap: 4 MB
-PREFIX_ROWS, GROUP_ROWS = 1 << 14, 1 << 20
+PREFIX_ROWS, GROUP_WORDS, MOST_GROUPS = 1 << 22, 1 << 19, 1 << 18
 HELD_ROWS = 1 << 19  # counts a task combines before it gives them on
-WORDS = [f"w{i + 1}" for i in range(LONGEST)]
 
 _U = np.uint64
 _WORD, _BLANK, _BREAK = 0, 1, 2
@@ -78,13 +81,17 @@ def hashes(strings: pa.Array) -> np.ndarray:
     return mix(out + length.astype(_U))
 
 
-def slots(*parts: np.ndarray) -> np.ndarray:
-    """The bit of a language and the words of a prefix, given by their hashes."""
+def prefix_hash(*parts: np.ndarray) -> np.ndarray:
+    """The hash of a language and the words of a prefix, given by their hashes."""
     out = np.zeros(len(parts[0]), _U)
     with np.errstate(over="ignore"):
         for h in parts:
             out = mix(out * _U(0x9FB21C651E98DF25) + h)
-    return (out >> _U(64 - BITS)).astype(np.int64)
+    return out
+
+
+def top_bits(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
 
 
 @dataclass
@@ -93,19 +100,15 @@ class Bits:
 
     raw: np.ndarray
 
-    def has(self, slot: np.ndarray) -> np.ndarray:
+    def has(self, h: np.ndarray) -> np.ndarray:
+        slot = top_bits(h, BITS)
         return (self.raw[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def bitmap(table: DataFrame, words: list[str]) -> Bits:
-    """The bits of all rows of ``table`` (lang, words)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(slots(*(hashes(batch.column(c)) for c in ["lang", *words])) + 1)], names=["slot"])
-
-    found = table.select("lang", *words).mapInArrow(run, "slot long")
-    found = found.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+def bitmap(hashed: DataFrame) -> Bits:
+    """The bits of all ``h`` (64 bits, as long)."""
+    slot = F.shiftrightunsigned("h", 64 - BITS) + 1
+    found = hashed.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     raw = np.zeros(max(1, 1 << BITS >> 3), np.uint8)
     for row in found.toLocalIterator():  # a bucket has 4 KB, and BITS bound their number
         begin = (row["bucket"] - 1) * 4096
@@ -169,176 +172,320 @@ def texts(batch: pa.RecordBatch) -> Iterator[Text]:
         )
 
 
-def combined(tables: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of equal ``keys`` made one, with the sum of their ``n``, as far as memory allows."""
+def combined(tables: Iterator[pa.Table], keys: list[str], chunk: int = 1 << 16, whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of equal ``keys`` made one, with the sum of their ``n``, as far as memory
+    allows, or all of them if ``whole``."""
 
     def one() -> pa.Table:
-        return pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*keys, "n"])
+        return pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*keys, "n"]).combine_chunks()
 
     held: list[pa.Table] = []
-    rows = 0
+    rows, most = 0, HELD_ROWS
     for table in tables:
         held.append(table)
         rows += table.num_rows
-        if rows > HELD_ROWS:
+        if rows > most:
             held = [one()]
             rows = held[0].num_rows
-            if rows > HELD_ROWS // 2:
-                yield from held[0].to_batches(max_chunksize=1 << 16)
+            if whole:
+                most = max(HELD_ROWS, 2 * rows)
+            elif rows > HELD_ROWS // 2:
+                yield from held[0].to_batches(max_chunksize=chunk)
                 held, rows = [], 0
     if held:
-        yield from one().to_batches(max_chunksize=1 << 16)
-
-
-def counted(docs: DataFrame, count: Callable[[Text], pa.Table], words: list[str]) -> DataFrame:
-    """(lang, words, n): what ``count`` finds in all texts of ``docs`` (text, lang), added up."""
-    keys = ["lang", *words]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined((count(text) for batch in batches for text in texts(batch)), keys)
-
-    schema = ", ".join(f"{c} string" for c in keys) + ", n long"
-    return docs.mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
-
+        yield from one().to_batches(max_chunksize=chunk)
 
-def count_words(text: Text) -> pa.Table:
-    """Every word, and under a null word how many there are in the language."""
-    n = np.bincount(text.number, minlength=len(text.words))
-    total = pa.table({"lang": text.langs, "n": n}).group_by("lang").aggregate([("n", "sum")])
-    words = pa.table({"lang": text.langs, "w1": text.words, "n": n})
-    return pa.concat_tables([words, pa.table({"lang": total["lang"], "w1": pa.nulls(len(total), pa.string()), "n": total["n_sum"]})])
 
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n): every word, and under a null word how many there are in the language."""
 
-def _pairs(text: Text, known: Bits) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-    """Places of neighbouring words that are both known, the distinct pairs (first times
-    the number of words plus second), each place's pair, and the hashes."""
-    lang, word = text.hashes()
-    frequent = known.has(slots(lang, word))[text.number]
-    at = np.flatnonzero(text.linked & frequent[1:] & frequent[:-1])
-    distinct, pair = np.unique(text.number[at] * len(text.words) + text.number[at + 1], return_inverse=True)
-    return at, distinct, pair, (lang, word)
-
+    def tables() -> Iterator[pa.Table]:
+        for batch in batches:
+            for text in texts(batch):
+                n = np.bincount(text.number, minlength=len(text.words))
+                total = pa.table({"lang": text.langs, "n": n}).group_by("lang").aggregate([("n", "sum")])
+                yield pa.table({"lang": text.langs, "word": text.words, "n": n})
+                yield pa.table({"lang": total["lang"], "word": pa.nulls(len(total), pa.string()), "n": total["n_sum"]})
 
-def pair_counter(known: Bits) -> Callable[[Text], pa.Table]:
-    def count(text: Text) -> pa.Table:
-        _, distinct, pair, _ = _pairs(text, known)
-        a, b = (pa.array(x) for x in np.divmod(distinct, len(text.words)))
-        return pa.table({"lang": text.langs.take(a), "w1": text.words.take(a), "w2": text.words.take(b), "n": np.bincount(pair, minlength=len(distinct))})
+    yield from combined(tables(), ["lang", "word"])
 
-    return count
 
+def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h = prefix_hash(hashes(batch.column("lang")), hashes(batch.column("word")))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-def suffix_counter(known: Bits, pairs: Bits) -> Callable[[Text], pa.Table]:
-    """Suffixes of three words and more: as far as the pairs in them are known."""
 
-    def count(text: Text) -> pa.Table:
-        at, distinct, pair, (lang, word) = _pairs(text, known)
+@dataclass
+class Prefixes:
+    """What is known of the prefixes: frequent words, frequent pairs, extended ones."""
+
+    words: Bits
+    pairs: Bits | None = None
+    extended: tuple[np.ndarray, ...] = ()  # of two words, of three ...: sorted hashes
+
+    def line(self, text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the pairs at all places of a text, from 1 (0: no known pair begins
+        there), the first and the second words of the pairs, and their hashes."""
+        lang, word = hashes(text.langs), hashes(text.words)
+        frequent = self.words.has(prefix_hash(lang, word))[text.number]
+        at = np.flatnonzero(text.linked & frequent[1:] & frequent[:-1])
+        distinct, pair = np.unique(text.number[at] * len(text.words) + text.number[at + 1], return_inverse=True)
         a, b = np.divmod(distinct, len(text.words))
-        good = pairs.has(slots(lang[a], word[a], word[b]))[pair]
-        # The pair at each place, counted from 1; 0 where there is none.
+        h = prefix_hash(lang[a], word[a], word[b])
+        good = self.pairs.has(h) if self.pairs else np.ones(len(h), bool)
         line = np.zeros(len(text.number) + LONGEST, np.int64)
-        line[at[good]] = pair[good] + 1
-        place = np.flatnonzero((line[:-1] > 0) & (line[1:] > 0))
-        steps = np.stack([line[place + j] for j in range(LONGEST - 1)], 1)
-        steps[np.minimum.accumulate(steps > 0, 1) == 0] = 0
-        key = np.zeros(len(place), np.int64)
-        for j in range(LONGEST - 1):  # dense numbers: the products stay small
-            _, key = np.unique(key * (len(distinct) + 1) + steps[:, j], return_inverse=True)
-        _, first, n = np.unique(key, return_index=True, return_counts=True)
-        one, step = place[first], steps[first]
-        number = np.append(text.number, np.zeros(LONGEST, np.int64))
-        columns = {"lang": text.langs.take(pa.array(number[one]))}
-        for j, name in enumerate(WORDS):
-            gone = step[:, j - 1] == 0 if j else np.zeros(len(one), bool)
-            columns[name] = text.words.take(pa.array(number[one + j], mask=gone))
-        return pa.table({**columns, "n": n})
-
-    return count
-
-
-def prefixes(suffixes: DataFrame, prefix_rows: int) -> DataFrame:
-    """Vertical partitioning: ``depth``, the words of the prefix to which a suffix belongs,
-    two at first, and more while its prefix has more than ``prefix_rows`` suffixes."""
-    rows = suffixes.withColumn("depth", F.lit(2))
-    for depth in range(2, LONGEST):
-        words = WORDS[:depth]
-        large = settle(rows.where(F.col("depth") == depth).groupBy("lang", *words).count().where(F.col("count") > prefix_rows).drop("count"), "prefixes")
-        if large.isEmpty():
-            break
-        rows = lookup_join(rows, large.withColumn("more", F.lit(1)), ["lang", *words], spread_by=WORDS)
-        rows = rows.withColumn("depth", F.col("depth") + F.coalesce(F.col("more"), F.lit(0))).drop("more")
-    return rows
+        line[at[good[pair]]] = pair[good[pair]] + 1
+        return line, a, b, h
+
+    def prefix_of(self, h: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The prefixes (hashes) of suffixes and their sizes, given the hashes of their
+        first pairs and of the words after them (0 where there is none)."""
+        h, size = h.copy(), np.full(len(h), 2)
+        more = np.ones(len(h), bool)
+        for j, extended in enumerate(self.extended):
+            more &= np.isin(h, extended)
+            # A suffix that ends with the prefix is a part of its own of the prefix.
+            h[more] = prefix_hash(h[more], words[more, j])
+            size[more] += 1
+        return h, size
+
+
+def suffixes(text: Text, known: Prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct suffixes of known pairs: (language and word) numbers, -1 after the end;
+    how often each stands there; hashes of first pairs and of the words that follow."""
+    line, _, b, h = known.line(text)
+    place = np.flatnonzero(line)
+    steps = np.stack([line[place + j] for j in range(LONGEST - 1)], 1)
+    steps[np.minimum.accumulate(steps > 0, 1) == 0] = 0
+    key = np.zeros(len(place), np.int64)
+    for j in range(LONGEST - 1):  # dense numbers: the products stay small
+        _, key = np.unique(key * (len(h) + 1) + steps[:, j], return_inverse=True)
+    _, first, n = np.unique(key, return_index=True, return_counts=True)
+    step = steps[first]
+    numbers = np.full((len(first), LONGEST), -1)
+    numbers[:, 0] = text.number[place[first]]
+    numbers[:, 1:] = np.where(step > 0, np.append(b, -1)[step - 1], -1)
+    after = np.append(hashes(text.words), _U(0))[numbers[:, 2:]]
+    return numbers, n, h[step[:, 0] - 1], after, place[first]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Ascending uint32 numbers as steps, all first bytes first: runs of small steps pack well."""
+    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
+def _sorted_sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """The rows of each ``group`` of sorted batches, as they come."""
+    rest = (
+        (int(keys[a]), batch.slice(a, b - a))
+        for batch in batches if batch.num_rows
+        for keys in [batch.column("group").to_numpy()]
+        for cuts in [np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))]
+        for a, b in zip(cuts, cuts[1:])
+    )
+    for key, parts in itertools.groupby(rest, key=lambda x: x[0]):
+        yield key, (x[1] for x in parts)
+
+
+def count_prefixes(docs: DataFrame, known: Prefixes, size: int, bits: int, least: int) -> DataFrame:
+    """(h, n) of the prefixes of ``size`` words that occur ``least`` times: all pairs of
+    known words, or the extensions of extended prefixes. A hash has ``bits`` + 32 bits, the
+    rest is 0; prefixes that share it count together."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+
+        def give() -> pa.RecordBatch:
+            h, n = _sorted_sums(*(np.concatenate(x) for x in zip(*held)))
+            group = top_bits(h, bits)
+            cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(h)) if len(h) else np.zeros(1, np.int64)
+            own = (h >> _U(32 - bits)).astype(np.uint32)
+            data = [(_planes(own[a:b]), n[a:b].astype("<i8").tobytes()) for a, b in zip(cuts, cuts[1:])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(group[cuts[:-1]], pa.int32()), pa.array([x for x, _ in data], pa.binary()), pa.array([x for _, x in data], pa.binary())],
+                names=["group", "keys", "counts"],
+            )
 
+        for batch in batches:
+            for text in texts(batch):
+                if size == 2:
+                    line, _, _, pair = known.line(text)
+                    h, n = pair, np.bincount(line[line > 0] - 1, minlength=len(pair))
+                else:
+                    _, n, pair, after, _ = suffixes(text, known)
+                    h, found = known.prefix_of(pair, after)
+                    h, n = h[found == size], n[found == size]
+                held.append(_sorted_sums(h, n))
+                rows += len(held[-1][0])
+                if rows > 4 * HELD_ROWS:
+                    held = [_sorted_sums(*(np.concatenate(x) for x in zip(*held)))]
+                    rows = len(held[0][0])
+                    if rows > 2 * HELD_ROWS:
+                        yield give()
+                        held, rows = [], 0
+        if held:
+            yield give()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, parts in grouped(batches):
+            key, n = np.empty(0, np.uint32), np.empty(0, np.int64)
+            held, rows = [(key, n)], 0
+            for part in itertools.chain(parts, [None]):
+                if part is None or rows > max(4 * HELD_ROWS, 2 * len(held[0][0])):
+                    held, rows = [_sorted_sums(*(np.concatenate(x) for x in zip(*held)))], 0
+                if part is not None:
+                    for k, c in zip(part.column("keys"), part.column("counts")):
+                        held.append((_from_planes(k.as_py()), np.frombuffer(c.as_py(), "<i8")))
+                        rows += len(held[-1][0])
+            key, n = held[0]
+            often = np.flatnonzero(n >= least)
+            h = _U(group) << _U(64 - bits) if bits else _U(0)
+            h = h | key[often].astype(_U) << _U(32 - bits)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n[often], pa.int64())], names=["h", "n"])
+
+    sent = docs.mapInArrow(count, "group int, keys binary, counts binary")
+    return sent.repartition("group").sortWithinPartitions("group").mapInArrow(add_up, "h long, n long")
+
+
+def send_suffixes(docs: DataFrame, known: Prefixes, bits: int) -> DataFrame:
+    """(group, lang, size, suffixes, counts): the suffixes of a task for a group, one a
+    line, by language and by the size of their prefixes."""
 
-def _node_totals(table: pa.Table, least: int) -> pa.RecordBatch:
-    """The nodes of whole subtrees: suffixes sorted by their words."""
-    names = ["lang", *WORDS]
-    n, depth = table.column("n").to_numpy(), table.column("depth").to_numpy()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tables() -> Iterator[pa.Table]:
+            for batch in batches:
+                for text in texts(batch):
+                    numbers, n, pair, after, _ = suffixes(text, known)
+                    h, size = known.prefix_of(pair, after)
+                    words = [text.words.take(pa.array(numbers[:, j], mask=numbers[:, j] < 0)) for j in range(LONGEST)]
+                    phrase = pc.binary_join_element_wise(*words, " ", null_handling="skip")
+                    group = pa.array(top_bits(h, bits), pa.int32())
+                    yield pa.table({"group": group, "lang": text.langs.take(pa.array(numbers[:, 0])), "size": pa.array(size, pa.int32()), "suffix": phrase, "n": n})
+
+        for batch in combined(tables(), ["group", "lang", "size", "suffix"], 1 << 30):
+            yield from _packed(batch)
+
+    schema = "group int, lang string, size int, suffixes binary, counts binary"
+    return docs.mapInArrow(run, schema)
+
+
+def _packed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """One row for each group, language and size."""
+    keys = ["group", "lang", "size"]
+    batch = batch.take(pc.sort_indices(batch, [(k, "ascending") for k in [*keys, "suffix"]]))
+    change = np.zeros(batch.num_rows, bool)
+    change[:1] = True
+    for k in keys:
+        column = batch.column(k)
+        change[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(change)
+    cuts = np.append(first, batch.num_rows)
+    n = batch.column("n").to_numpy().astype("<i8")
+    for a in range(0, len(first), 4096):
+        own = cuts[a : a + 4097]
+        lines = pa.ListArray.from_arrays(pa.array(own - own[0], pa.int32()), batch.column("suffix").slice(own[0], own[-1] - own[0]))
+        joined = pc.binary_join(lines, "\n").cast(pa.binary())
+        counts = pa.array([n[x:y].tobytes() for x, y in zip(own, own[1:])], pa.binary())
+        taken = pa.array(own[:-1])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in keys), joined, counts], names=[*keys, "suffixes", "counts"])
+
+
+def _unpacked(part: pa.RecordBatch) -> pa.Table:
+    lines = pc.split_pattern(part.column("suffixes").cast(pa.string()), "\n")
+    row = pa.array(np.repeat(np.arange(part.num_rows), lines.value_lengths().to_numpy(zero_copy_only=False)))
+    counts = np.frombuffer(b"".join(c.as_py() for c in part.column("counts")), "<i8")
+    return pa.table({"lang": part.column("lang").take(row), "size": part.column("size").take(row), "suffix": lines.flatten(), "n": counts})
+
+
+def node_totals(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, size, n) of the nodes of the subtrees of some prefixes, given all
+    their suffixes (lang, size of the prefix, suffix, n)."""
+    words = pc.split_pattern(table.column("suffix").combine_chunks(), " ")
+    length = words.value_lengths().to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    place = np.arange(LONGEST) < length[:, None]
+    tree = np.full((len(length), LONGEST + 1), -1)
+    tree[:, 0] = lang.indices.to_numpy()
+    tree[:, 1:][place] = coded.indices.to_numpy()
+    order = np.lexsort(tree.T[::-1])
+    tree, n, depth = tree[order], table.column("n").to_numpy()[order], table.column("size").to_numpy()[order]
     change = np.zeros(len(n), bool)
     change[:1] = True
-    out = []
-    for level, name in enumerate(names):
-        column = pc.fill_null(table.column(name), "")  # no word is empty
-        change[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(n) - 1)).to_numpy()
-        if level < 3:
+    for level in range(LONGEST + 1):
+        change[1:] |= tree[1:, level] != tree[:-1, level]
+        if level < 2:
             continue
         first = np.flatnonzero(change)
-        total = np.add.reduceat(n, first)
+        total = np.add.reduceat(n, first) if len(first) else n
         # A node above an extended prefix is whole only with its other parts.
-        there = pc.is_valid(table.column(name)).to_numpy()[first] & ((total >= least) | (depth[first] > level))
-        first, total = pa.array(first[there]), total[there]
-        given = [table.column(c).take(first).combine_chunks() if i <= level else pa.nulls(len(first), pa.string()) for i, c in enumerate(names)]
-        out.append(pa.RecordBatch.from_arrays([*given, pa.array(total)], names=[*names, "n"]))
-    return pa.Table.from_batches(out)
+        partly = np.maximum.reduceat(depth, first) > level if len(first) else first
+        there = (tree[first, level] >= 0) & ((total >= least) | partly)
+        first, total = first[there], total[there]
+        parts = [coded.dictionary.take(pa.array(tree[first, j])) for j in range(1, level + 1)]
+        phrase = pc.binary_join_element_wise(*parts, " ")
+        yield pa.RecordBatch.from_arrays(
+            [lang.dictionary.take(pa.array(tree[first, 0])), phrase, pa.array(np.full(len(first), level, np.int32)), pa.array(total)],
+            names=["lang", "phrase", "size", "f"],
+        )
 
 
-def subtrees(suffixes: DataFrame, least: int, prefix_rows: int, group_rows: int) -> DataFrame:
-    """(lang, words, n) of all nodes of three words and more that occur ``least`` times."""
-    spark = suffixes.sparkSession
-    rows = prefixes(suffixes, prefix_rows)
-    key = F.xxhash64("lang", *[F.when(F.col("depth") > i, F.col(w)) for i, w in enumerate(WORDS)])
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // group_rows))
-    packed = rows.withColumn("key", key).repartitionByRange(groups, "key").sortWithinPartitions("key", "lang", *WORDS)
+def subtrees(sent: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, size, f) of all phrases of two words and more that occur ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        many = 0
-        for batch in batches:
-            held.append(batch)
-            many += batch.num_rows
-            if many < 2 * prefix_rows:
-                continue
-            table = pa.Table.from_batches(held)
-            keys = table.column("key").to_numpy()
-            cut = int(np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[-1])  # where the last prefix begins
-            if cut:
-                yield from _node_totals(table.slice(0, cut), least).to_batches()
-            held, many = table.slice(cut).to_batches(), table.num_rows - cut
-        if many:
-            yield from _node_totals(pa.Table.from_batches(held), least).to_batches()
-
-    names = ["lang", *WORDS]
-    nodes = packed.mapInArrow(run, ", ".join(f"{c} string" for c in names) + ", n long")
-    return nodes.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        keys = ["lang", "size", "suffix"]
+        for _, parts in grouped(batches):
+            whole = list(combined((_unpacked(p) for p in parts), keys, 1 << 30, whole=True))
+            if whole:
+                yield from node_totals(pa.Table.from_batches(whole), least)
+
+    nodes = sent.repartition("group").sortWithinPartitions("group").mapInArrow(run, "lang string, phrase string, size int, f long")
+    return nodes.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
 def phrase_counts(
     docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
-    prefix_rows: int = PREFIX_ROWS, group_rows: int = GROUP_ROWS,
+    prefix_rows: int = PREFIX_ROWS, group_words: int = GROUP_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all phrases that occur ``least`` times, single words too,
     and (lang, n), the number of words of each language."""
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    words = settle(counted(rows, count_words, ["w1"]).where((F.col("n") >= least) | F.col("w1").isNull()), "words")
-    frequent = words.where(F.col("w1").isNotNull())
-    known = bitmap(frequent, ["w1"])
-    pairs = settle(counted(rows, pair_counter(known), ["w1", "w2"]).where(F.col("n") >= least), "pairs")
-    suffixes = settle(counted(rows, suffix_counter(known, bitmap(pairs, ["w1", "w2"])), WORDS), "suffixes")
-    nodes = subtrees(suffixes, least, prefix_rows, group_rows)
-    found = [x.select("lang", F.array_compact(F.array(*c)).alias("words"), F.col("n").alias("f")) for x, c in ((frequent, ["w1"]), (pairs, ["w1", "w2"]), (nodes, WORDS))]
-    counts = found[0].union(found[1]).union(found[2])
-    counts = counts.select("lang", F.array_join("words", " ").alias("phrase"), F.size("words").alias("size"), "f")
-    return settle(counts, "phrases"), words.where("w1 IS NULL").select("lang", "n")
+    words = rows.mapInArrow(count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = settle(words.where((F.col("n") >= least) | F.col("word").isNull()), "words")
+    frequent = words.where(F.col("word").isNotNull())
+    totals = words.where("word IS NULL").select("lang", "n")
+    groups = min((totals.agg(F.sum("n")).first()[0] or 0) // group_words + 1, MOST_GROUPS)
+    bits = max(groups, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length()
+
+    known = Prefixes(bitmap(frequent.mapInArrow(hash_words, "h long")))
+    for size in range(2, LONGEST):  # prefixes of LONGEST words have no subtree
+        found = settle(count_prefixes(rows, known, size, bits, least if size == 2 else prefix_rows + 1), "prefixes")
+        if size == 2:
+            known.pairs = bitmap(found)
+        large = np.sort(found.where(F.col("n") > prefix_rows).select("h").toArrow().column("h").to_numpy().view(_U))
+        if not len(large):
+            break
+        known.extended = (*known.extended, large)
+
+    nodes = subtrees(send_suffixes(rows, known, bits), least)
+    counts = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("f"))
+    return settle(counts.union(nodes), "phrases"), totals
 
 
 def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
@@ -368,10 +515,10 @@ def covered(counts: DataFrame) -> DataFrame:
 
 def collocations(
     docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP,
-    prefix_rows: int = PREFIX_ROWS, group_rows: int = GROUP_ROWS,
+    prefix_rows: int = PREFIX_ROWS, group_words: int = GROUP_WORDS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language."""
-    counts, totals = phrase_counts(docs, text_col=text_col, lang_col=lang_col, least=least, prefix_rows=prefix_rows, group_rows=group_rows)
+    counts, totals = phrase_counts(docs, text_col=text_col, lang_col=lang_col, least=least, prefix_rows=prefix_rows, group_words=group_words)
     kept = scored(counts, totals).join(covered(counts), ["lang", "phrase"], "left_anti")
     line = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= top)
