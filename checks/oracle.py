@@ -190,6 +190,12 @@ _WEIGHTS = """weights AS (
 SELECT doc_id, term, CAST(round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS DECIMAL(18, 6)) AS weight
 FROM weights"""
 
+def _session_weights(limit: int | None) -> str:
+    shown = f"WITH {_SHAPED}, sessions AS (SELECT request_id, shape FROM shaped WHERE request_id IS NOT NULL AND shape IS NOT NULL)"
+    top = _top("sessions", "shape", "request_id", limit).replace("count(*) FROM sessions", "count(DISTINCT request_id) FROM sessions")
+    return f"{shown}, {top}, {_WEIGHTS.format(words='words')}".replace("SELECT doc_id, term, CAST", "SELECT doc_id AS session_id, term, CAST")
+
+
 _CENTERS = """places AS (
   SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(64)) AS pos FROM embeddings),
 centers AS (SELECT label AS cluster, pos, avg(x) AS c FROM places GROUP BY ALL),
@@ -406,6 +412,8 @@ ORACLE = {
     "vocabulary_top1000": f"WITH {_top('documents', 'text', 'doc_id')} SELECT * FROM vocab",
     "tfidf_capped": f"WITH {_top('documents', 'text', 'doc_id')}, {_WEIGHTS.format(words='words')}",
     "tfidf_full": f"WITH {_top('documents', 'text', 'doc_id', None)}, {_WEIGHTS.format(words='words')}",
+    "session_tfidf": _session_weights(None),
+    "session_tfidf_top20": _session_weights(20),
     "tfidf_transform": f"""WITH {_top('documents', 'text', 'doc_id')}, turn_words AS (
         SELECT conv_id * 1000 + turn AS doc_id,
           unnest(regexp_extract_all(lower(text), '{_WORD}')) AS term FROM conversations),

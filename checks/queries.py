@@ -11,7 +11,7 @@ from riftlog.functions.parsing import (
 )
 from riftlog.operators import (
     autoencoder, catalogue, features, iforest, kmeans, profile, quality, quantiles, runs, scoring, sequences,
-    templates as tpl, training, windows,
+    session_terms, templates as tpl, training, windows,
 )
 from riftlog.operators.scoring import (
     EncoderModel, ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
@@ -386,11 +386,15 @@ def template_state_roundtrip(spark, sf):
 # Sequences and windows
 
 
-def _shape_sequences(spark, sf, **options):
+def _shape_texts(spark, sf):
     rows = stored(cleaned(spark, sf))
     keyed = tpl.shape_templates(tpl.with_shape(rows))
     tagged = stored(tpl.tag_rows(rows, keyed))
-    return sequences.session_sequences(tpl.template_text(tagged, keyed), **options)
+    return tpl.template_text(tagged, keyed)
+
+
+def _shape_sequences(spark, sf, **options):
+    return sequences.session_sequences(_shape_texts(spark, sf), **options)
 
 
 def session_sequences(spark, sf):
@@ -460,6 +464,17 @@ def tfidf_full(spark, sf):
     return _weights(features.tfidf_full(spread(spark, sf, "documents"), "doc_id", "text"))
 
 
+def session_tfidf(spark, sf):
+    """Training rows of sessions by all their words, from a long table."""
+    sessions = session_terms.session_terms(_shape_texts(spark, sf))
+    return sessions.weights(sessions.fit_all()).withColumn("weight", dec(F.col("weight")))
+
+
+def session_tfidf_top20(spark, sf):
+    sessions = session_terms.session_terms(_shape_texts(spark, sf))
+    return sessions.weights(sessions.fit(20)).withColumn("weight", dec(F.col("weight")))
+
+
 def tfidf_transform(spark, sf):
     turns = table(spark, sf, "conversations").withColumn(
         "doc_id", F.col("conv_id") * 1000 + F.col("turn")
@@ -885,7 +900,7 @@ QUERIES = {
         document_template_versions, tag_log_key, template_usage, unseen_templates, learn_templates, match_catalogue, template_state_roundtrip,
         session_sequences, session_sequences_from_parts, session_pieces, conversation_sequences, sliding_windows, user_windows,
         conversation_windows, short_files, context_payload,
-        vocabulary_top1000, tfidf_capped, tfidf_full, tfidf_transform, dense_vectors,
+        vocabulary_top1000, tfidf_capped, tfidf_full, session_tfidf, session_tfidf_top20, tfidf_transform, dense_vectors,
         token_ids_padded, split_80_20, split_tail10,
         nearest_centroid, centroid_distance, cluster_sizes, inertia, silhouette_exact,
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,

@@ -45,6 +45,8 @@ UPDATE_TASK = "airflow_trigger"
 # End of fixed values.
 
 SIMILARITY = 0.4
+# Events of a row of exported session text; longer sessions come in pieces.
+EXPORT_EVENTS = 100_000
 
 
 @dataclass(frozen=True)

@@ -14,6 +14,7 @@ from riftlog.operators.features import TfIdf
 from riftlog.operators.iforest import Forest, decide, keep_windows
 from riftlog.operators.kmeans import Centroids, assign_clusters, flag_far
 from riftlog.operators.lookups import lookup_join
+from riftlog.operators.session_terms import TermTable
 from riftlog.operators.templates import distinct_shapes, learn_more, match_shapes, with_shape
 from riftlog.operators.windows import context_payload, sliding_windows
 from riftlog.session import settle
@@ -27,7 +28,7 @@ class KMeansModel:
 
 @dataclass(frozen=True)
 class ForestModel:
-    tfidf: TfIdf
+    tfidf: TfIdf | TermTable
     forest: Forest
 
 

@@ -1,4 +1,4 @@
-"""Training jobs: from sequences to a model and its run log."""
+"""Training jobs: from the words of sessions to a model and its run log."""
 
 from __future__ import annotations
 
@@ -10,21 +10,18 @@ from riftlog.config import (
     BATCH_SIZE, EPOCHS, KMEANS_SEEDS, LATENT_DIM, LATENT_SEED, MAX_FEATURES, N_CLUSTERS,
 )
 from riftlog.operators.autoencoder import fit_autoencoder, with_latent
-from riftlog.operators.features import fit_tfidf, split_tail
+from riftlog.operators.features import split_tail
 from riftlog.operators.iforest import search_forest
 from riftlog.operators.kmeans import assign_clusters, cluster_sizes, fit_best_kmeans, fit_kmeans
 from riftlog.operators.positions import with_positions
 from riftlog.operators.runs import run_rows
 from riftlog.operators.scoring import EncoderModel, ForestModel, KMeansModel
+from riftlog.operators.session_terms import SessionTerms, TermTable, sequence_terms, with_vectors
 from riftlog.session import settle
 
-# The forest uses all words of the sequences. Those are made of templates, so
-# there are few; a corpus beyond this bound is refused, not cut.
-FOREST_TERMS = 1_000_000
-
 
 def numbered_sequences(sequences: DataFrame) -> DataFrame:
-    """Training rows in the order of their session, as ``row_no, sequence``."""
+    """Sequences in the order of their session, as ``row_no, sequence``."""
     kept = sequences.filter(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
     ordered = settle(
         kept.sort("session_id", "piece").withColumn("_id", F.monotonically_increasing_id()),
@@ -33,22 +30,27 @@ def numbered_sequences(sequences: DataFrame) -> DataFrame:
     return with_positions(ordered, "_id", name="row_no").select("row_no", "sequence")
 
 
+def training_terms(given: SessionTerms | DataFrame) -> SessionTerms:
+    """What the trainings learn from: the words of sessions, or sequences of text."""
+    return given if isinstance(given, SessionTerms) else sequence_terms(given)
+
+
 def _cluster_metrics(assigned: DataFrame) -> dict[str, int]:
     """Rows per cluster, one entry per cluster."""
     return {f"cluster_{r['cluster']}_count": r["n"] for r in cluster_sizes(assigned).collect()}
 
 
 def train_kmeans(
-    sequences: DataFrame, run_id: str = "kmeans", k: int = N_CLUSTERS, seeds=KMEANS_SEEDS,
+    sessions: SessionTerms | DataFrame, run_id: str = "kmeans", k: int = N_CLUSTERS, seeds=KMEANS_SEEDS,
     max_features: int = MAX_FEATURES,
 ) -> tuple[KMeansModel, DataFrame]:
-    sequences = sequences.filter(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
-    tfidf = fit_tfidf(sequences, limit=max_features)
-    data = settle(tfidf.transform(tfidf.features(sequences.select("sequence"))), "kmeans-input")
+    rows = training_terms(sessions)
+    tfidf = rows.fit(max_features)
+    data = with_vectors(rows.features(tfidf), tfidf.dim)
     centroids, trials = fit_best_kmeans(data, "vector", k, seeds)
     best = trials.orderBy(F.desc("score"), "run_no").first()
     log = run_rows(
-        sequences.sparkSession,
+        rows.terms.sparkSession,
         run_id,
         {"n_clusters": k, "max_features": max_features, "best_epoch": best["run_no"] + 1},
         {"best_silhouette_score": best["score"], **_cluster_metrics(assign_clusters(data, centroids))},
@@ -57,18 +59,18 @@ def train_kmeans(
 
 
 def train_forest(
-    sequences: DataFrame, run_id: str = "forest", n_trials: int = 10, trials=None
+    sessions: SessionTerms | DataFrame, run_id: str = "forest", n_trials: int = 10, trials=None
 ) -> tuple[ForestModel, DataFrame]:
-    rows = numbered_sequences(sequences)
-    tfidf = fit_tfidf(rows, limit=FOREST_TERMS + 1)
-    if tfidf.dim > FOREST_TERMS:
-        raise ValueError(f"more than {FOREST_TERMS} different words in the sequences")
-    data = settle(tfidf.features(rows).select("row_no", "features"), "forest-input")
+    """The forest uses all words of the sessions, however many."""
+    rows = training_terms(sessions)
+    terms = rows.fit_all()
+    data = settle(rows.features(terms), "forest-input")
+    tfidf = TermTable.from_table(terms.vocab)
     forest, table = search_forest(data, tfidf.dim, "row_no", n_trials=n_trials, trials=trials)
     logs = None
     for t in table.orderBy("run_no").collect():
         one = run_rows(
-            sequences.sparkSession,
+            rows.terms.sparkSession,
             f"{run_id}/{t['run_no']}",
             {
                 "n_estimators": t["n_trees"], "contamination": t["contamination"],
@@ -81,13 +83,13 @@ def train_forest(
 
 
 def train_encoder(
-    sequences: DataFrame, run_id: str = "encoder", epochs: int = EPOCHS, batch: int = BATCH_SIZE,
+    sessions: SessionTerms | DataFrame, run_id: str = "encoder", epochs: int = EPOCHS, batch: int = BATCH_SIZE,
     k: int = N_CLUSTERS, max_features: int = MAX_FEATURES, parts: int | None = None,
 ) -> tuple[EncoderModel, DataFrame]:
-    rows = numbered_sequences(sequences)
-    tfidf = fit_tfidf(rows, limit=max_features)
+    rows = training_terms(sessions)
+    tfidf = rows.fit(max_features)
     data = settle(
-        split_tail(tfidf.features(rows), "row_no").select("features", "is_validation"),
+        split_tail(rows.features(tfidf), "row_no").select("features", "is_validation"),
         "encoder-input",
     )
     network, losses = fit_autoencoder(data, tfidf.dim, epochs=epochs, batch=batch, parts=parts)
@@ -100,7 +102,7 @@ def train_encoder(
         assigned.select("cluster").distinct().count() > 1
     ) else 0.0
     log = run_rows(
-        sequences.sparkSession,
+        rows.terms.sparkSession,
         run_id,
         {
             "latent_dim": LATENT_DIM, "max_features": max_features, "n_clusters": k,

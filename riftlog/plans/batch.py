@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.config import Layout
+from riftlog.config import EXPORT_EVENTS, Layout
 from riftlog.functions.parsing import impute_request, line_matches, parse_lines
 from riftlog.operators.profile import histogram, profile_report
 from riftlog.operators.quality import EXPECTED_TYPES, gate, mean_impute, schema_suite, validate
 from riftlog.operators.runs import append_run, best_run
 from riftlog.operators.sequences import session_sequences
+from riftlog.operators.session_terms import session_terms
 from riftlog.operators.templates import mine_templates, tag_rows, template_text
 from riftlog.operators.training import train_encoder, train_forest, train_kmeans
 from riftlog.sources.messages import append_update
@@ -46,11 +47,15 @@ def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) ->
 
     templates = stored(mine_templates(cleaned), layout.templates)
     tagged = stored(tag_rows(cleaned, templates), layout.tagged)
-    sequences = stored(session_sequences(template_text(tagged, templates)), layout.sequences)
+    texts = template_text(tagged, templates)
+    # The text of a session is for export only, a long one in pieces; the models learn
+    # from the words of the events, where no session need fit one value.
+    sequences = stored(session_sequences(texts, piece_events=EXPORT_EVENTS), layout.sequences)
+    sessions = session_terms(texts)
 
     out: dict[str, object] = {"templates": templates, "sequences": sequences}
     for kind, job in (("kmeans", train_kmeans), ("encoder", train_encoder), ("forest", train_forest)):
-        model, log = job(sequences, kind, **train.get(kind, {}))
+        model, log = job(sessions, kind, **train.get(kind, {}))
         save_model(spark, model, layout.model(kind))
         append_run(log, layout.runs)
         out[kind] = model

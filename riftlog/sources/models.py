@@ -9,10 +9,11 @@ from riftlog.operators.features import TfIdf
 from riftlog.operators.iforest import Forest
 from riftlog.operators.kmeans import Centroids
 from riftlog.operators.scoring import EncoderModel, ForestModel, KMeansModel
+from riftlog.operators.session_terms import TermTable
 
 _PARTS = {
     KMeansModel: {"tfidf": TfIdf, "centroids": Centroids},
-    ForestModel: {"tfidf": TfIdf, "forest": Forest},
+    ForestModel: {"tfidf": TermTable, "forest": Forest},
     EncoderModel: {"tfidf": TfIdf, "network": Network, "centroids": Centroids},
 }
 
