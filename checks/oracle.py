@@ -139,6 +139,54 @@ merged AS (
 known AS (SELECT 'LG_KEY_' || row_number() OVER (ORDER BY first_line_no) AS log_key, * FROM merged)"""
 
 
+_LINE_SHAPES = f"""{_DOCUMENT_LINES},
+turns AS (SELECT doc_id * 100000 + line_no AS line_no, {_shape('line')} AS shape FROM document_lines)"""
+
+
+def _tree(shapes: str, to: str, children: int = 4) -> str:
+    """Shapes of ``shapes`` with the way through a tree two tokens deep."""
+    ways = []
+    for level in (1, 2):
+        before, node = (shapes, "''") if level == 1 else (f"{to}_1", "way")
+        ways.append(f"""{to}_first{level} AS (
+  SELECT n_tokens, {node} AS node, string_split(shape, ' ')[{level}] AS t, min(first_line_no) AS since
+  FROM {before} WHERE len(string_split(shape, ' ')) >= {level} AND string_split(shape, ' ')[{level}] <> '<*>' GROUP BY ALL),
+{to}_branch{level} AS (
+  SELECT * FROM {to}_first{level} QUALIFY row_number() OVER (PARTITION BY n_tokens, node ORDER BY since) <= {children}),
+{to}_{level} AS (
+  SELECT s.* EXCLUDE ({'first_token' if level == 1 else 'way'}),
+    {'' if level == 1 else "way || "}CASE WHEN len(string_split(shape, ' ')) < {level} THEN ''
+      ELSE {"''" if level == 1 else "' '"} || coalesce(b.t, '<*>') END AS way
+  FROM {before} s LEFT JOIN {to}_branch{level} b ON b.n_tokens = s.n_tokens AND b.node = {"''" if level == 1 else "s.way"}
+    AND b.t = string_split(s.shape, ' ')[{level}])""")
+    return ", ".join(ways) + f", {to} AS (SELECT * EXCLUDE (way), way AS first_token FROM {to}_2)"
+
+
+_TREE_MINED = f"""WITH RECURSIVE {_LINE_SHAPES},
+{_shapes("SELECT * FROM turns", "plain")}, {_tree("plain", "shapes")}, {_grown()}"""
+
+# The way of a shape through the branches that the templates have.
+_TREE_TAGGED = f"""WITH RECURSIVE {_LINE_SHAPES},
+{_shapes("SELECT * FROM turns WHERE line_no % 2 = 0", "plain")}, {_tree("plain", "shapes")}, {_grown()},
+asked AS (SELECT DISTINCT shape, string_split(shape, ' ') AS toks, CAST(len(string_split(shape, ' ')) AS INTEGER) AS n_tokens FROM turns WHERE shape IS NOT NULL),
+one AS (
+  SELECT a.*, CASE WHEN EXISTS (SELECT 1 FROM known k WHERE k.n_tokens = a.n_tokens AND string_split(k.first_token, ' ')[1] = toks[1])
+    THEN toks[1] ELSE '<*>' END AS w1 FROM asked a),
+two AS (
+  SELECT o.*, CASE WHEN o.n_tokens = 1 THEN w1 WHEN EXISTS (
+      SELECT 1 FROM known k WHERE k.n_tokens = o.n_tokens AND k.first_token = w1 || ' ' || toks[2])
+    THEN w1 || ' ' || toks[2] ELSE w1 || ' <*>' END AS way FROM one o),
+fits AS (
+  SELECT shape, log_key, row_number() OVER (PARTITION BY shape ORDER BY
+      len(list_filter(string_split(template, ' '), lambda t: t = '<*>')), CAST(split_part(log_key, '_', 3) AS INTEGER)) AS rank
+  FROM two JOIN known k ON k.n_tokens = two.n_tokens AND k.first_token = way
+  WHERE list_bool_and(list_transform(list_zip(toks, string_split(template, ' ')), lambda p: p[2] = '<*>' OR p[1] = p[2])))
+SELECT line_no, CASE WHEN shape IS NOT NULL THEN coalesce(log_key, 'UNMAPPED') END AS log_key
+FROM turns LEFT JOIN (SELECT * FROM fits WHERE rank = 1) USING (shape)"""
+
+_STRICT_MINED = f"""WITH RECURSIVE {_LINE_SHAPES},
+{_shapes("SELECT * FROM turns", "plain")}, shapes AS (SELECT * REPLACE ('' AS first_token) FROM plain), {_grown()}"""
+
 _DOCUMENT_SHAPED = f"""WITH RECURSIVE {_DOCUMENT_LINES}, shaped AS (
   SELECT doc_id * 100000 + line_no AS line_no, line AS message, {_shape('line')} AS shape FROM document_lines),
 {_shapes("SELECT * FROM shaped")}"""
@@ -371,6 +419,9 @@ ORACLE = {
     "mine_templates": f"WITH RECURSIVE {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_grown()} SELECT * FROM known",
     "mine_document_templates": f"""{_DOCUMENT_SHAPED}, {_grown()}
       SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known""",
+    "mine_templates_strict": f"{_STRICT_MINED} SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known",
+    "mine_templates_tree": f"{_TREE_MINED} SELECT log_key, md5(template) AS template_md5, n_rows, first_line_no, n_tokens FROM known",
+    "tag_by_tree": _TREE_TAGGED,
     "template_versions": f"WITH RECURSIVE {_SHAPED}, {_shapes('SELECT * FROM shaped')}, {_grown()} SELECT * FROM versions",
     "document_template_versions": f"""{_DOCUMENT_SHAPED}, {_grown()}
       SELECT * EXCLUDE (first_token) REPLACE (md5(template) AS template) FROM versions""",

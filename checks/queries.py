@@ -317,6 +317,26 @@ def mine_document_templates(spark, sf):
     return _brief(tpl.mine_templates(_document_lines(spark, sf)))
 
 
+#: Two tokens deep, with so few branches that most of a node's tokens share one.
+SMALL_TREE = tpl.Tree(depth=2, children=4)
+
+
+def mine_templates_strict(spark, sf):
+    """A leaf is a number of tokens."""
+    return _brief(tpl.mine_templates(_document_lines(spark, sf), tree=tpl.Tree(depth=0)))
+
+
+def mine_templates_tree(spark, sf):
+    return _brief(tpl.mine_templates(_document_lines(spark, sf), tree=SMALL_TREE))
+
+
+def tag_by_tree(spark, sf):
+    """Templates of every other line of the documents; all lines tagged by their tree."""
+    rows = stored(_document_lines(spark, sf))
+    known = tpl.mine_templates(rows.filter("line_no % 2 = 0"), tree=SMALL_TREE)
+    return tpl.tag_rows(rows, known, tree=SMALL_TREE).select("line_no", "log_key")
+
+
 def template_versions(spark, sf):
     return tpl.mine_versions(tpl.distinct_shapes(tpl.with_shape(parsed(spark, sf))))
 
@@ -896,7 +916,8 @@ QUERIES = {
         request_id_top50, request_id_top50_map, request_id_profile, column_summary,
         histogram_lineitem, histogram_pid, mean_impute, validation_report, stored_validation_report, validated_log,
         mask_shapes, mask_document_shapes, template_keys, mine_leaf_templates, mine_templates,
-        mine_templates_in_pieces, mine_document_templates, template_versions, match_templates,
+        mine_templates_in_pieces, mine_document_templates, mine_templates_strict, mine_templates_tree, tag_by_tree,
+        template_versions, match_templates,
         document_template_versions, tag_log_key, template_usage, unseen_templates, learn_templates, match_catalogue, template_state_roundtrip,
         session_sequences, session_sequences_from_parts, session_pieces, conversation_sequences, sliding_windows, user_windows,
         conversation_windows, short_files, context_payload,

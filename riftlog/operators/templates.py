@@ -2,10 +2,12 @@
 
 Mining follows the idea of the fixed-depth tree of He et al., "Drain: An Online
 Log Parsing Approach with Fixed Depth Tree" (ICWS 2017): messages of the same
-number of tokens and the same first token form a leaf, and within a leaf a
+number of tokens and the same first tokens form a leaf, and within a leaf a
 message joins the most similar template or starts a new one. Here messages are
 first masked and reduced to distinct shapes; leaves are mined in parallel, the shapes
-of a leaf in a sorted stream of which only the templates are kept."""
+of a leaf in a sorted stream of which only the templates are kept. ``leaf.Tree`` says
+how deep the tree is, how many branches a node has, or that the number of tokens alone
+makes a leaf."""
 
 from __future__ import annotations
 
@@ -16,11 +18,11 @@ from pyspark.sql import DataFrame, functions as F
 from riftlog.config import KEY_PREFIX, SIMILARITY, UNMAPPED, WILDCARD
 from riftlog.functions.parsing import computed_once
 from riftlog.functions.tokens import first_token, shape_of, token_count
+from riftlog.operators.leaf import FIRST_TOKEN, LEAF, Leaf, Tree
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.positions import BLOCK_ROWS, with_positions
 from riftlog.session import settle
 
-LEAF = ("n_tokens", "first_token")
 # Shapes a mining task takes up at once. It bounds memory and changes no result.
 CHUNK_SHAPES = 4096
 
@@ -35,17 +37,18 @@ def with_shape(rows: DataFrame, message: str = "message") -> DataFrame:
     return computed_once(rows, shape=shape_of(F.col(message)))
 
 
-def distinct_shapes(rows: DataFrame, order: str = "line_no") -> DataFrame:
+def distinct_shapes(
+    rows: DataFrame, order: str = "line_no", tree: Tree = FIRST_TOKEN, templates: DataFrame | None = None
+) -> DataFrame:
     """``shape, n_rows, first_line_no, n_tokens, first_token``. Equal shapes are
-    combined on the map side, so copies cost nothing downstream."""
-    return (
+    combined on the map side, so copies cost nothing downstream. ``first_token`` holds
+    the tokens on the way to the leaf; with ``templates`` that way is theirs."""
+    shapes = (
         rows.filter(F.col("shape").isNotNull())
         .groupBy("shape")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.min(order).alias("first_line_no"))
-        .withColumns(
-            {"n_tokens": token_count(F.col("shape")), "first_token": first_token(F.col("shape"))}
-        )
     )
+    return tree.place(shapes, templates)
 
 
 def number_templates(
@@ -67,92 +70,6 @@ def shape_templates(rows: DataFrame, order: str = "line_no") -> DataFrame:
     return settle(number_templates(shapes), "templates")
 
 
-def grow_leaf(tokens: np.ndarray, similarity: float, known: np.ndarray | None = None):
-    """Place shapes, given as token codes (rows, tokens) in order of appearance,
-    where code 0 is the wildcard. Returns the templates as a matrix, and per shape
-    its template and whether that template was new or changed.
-
-    A wildcard in a template says nothing about similarity; ties go to the
-    template with more wildcards, then to the older one."""
-    width = tokens.shape[1]
-    have = 0 if known is None else len(known)
-    templates = np.zeros((have + len(tokens), width), dtype=tokens.dtype)
-    if have:
-        templates[:have] = known
-    place = np.zeros(len(tokens), dtype=np.int64)
-    changed = np.zeros(len(tokens), dtype=bool)
-    for i, row in enumerate(tokens):
-        best = -1
-        if have:
-            current = templates[:have]
-            wild = current == 0
-            same = ((current == row) & ~wild).sum(axis=1)
-            rank = same * (width + 1) + wild.sum(axis=1)
-            best = int(rank.argmax())
-            if same[best] < similarity * width:
-                best = -1
-        if best < 0:
-            best, have = have, have + 1
-            templates[best] = row
-            changed[i] = True
-        else:
-            merged = np.where(templates[best] == row, row, 0)
-            changed[i] = bool((merged != templates[best]).any())
-            templates[best] = merged
-        place[i] = best
-    return templates[:have], place, changed
-
-
-def encode_tokens(shapes) -> tuple[np.ndarray, list[str]]:
-    """Shapes of one length as a code matrix and the words of the codes; the
-    wildcard has code 0."""
-    codes = {WILDCARD: 0}
-    rows = [[codes.setdefault(t, len(codes)) for t in s.split(" ")] for s in shapes]
-    return np.array(rows, dtype=np.int32), list(codes)
-
-
-class Leaf:
-    """A leaf while it is mined: per template its text, the line it first appeared
-    on, the number of its changes and of its rows. No shapes are kept."""
-
-    def __init__(self, texts=(), first=(), versions=(), n_rows=()):
-        self.texts, self.first = list(texts), list(first)
-        self.versions, self.n_rows = list(versions), list(n_rows)
-
-    def add(self, shapes, lines, counts, similarity: float) -> tuple[set[int], list[tuple]]:
-        """Learn shapes in order of appearance. How many come at a time changes
-        nothing. Returns the places they joined, and each change of a template as
-        (place, version, text, line)."""
-        known = len(self.texts)
-        if not known and len(shapes) == 1:
-            vocabulary, states, place, changed = None, [shapes[0]], [0], [True]
-        else:
-            codes, vocabulary = encode_tokens([*self.texts, *shapes])
-            _, place, changed = grow_leaf(codes[known:], similarity, codes[:known])
-            states = dict(enumerate(codes[:known]))
-        changes = []
-        for i, (p, is_new) in enumerate(zip(place, changed)):
-            p = int(p)
-            if p == len(self.texts):
-                self.texts.append("")
-                self.first.append(int(lines[i]))
-                self.versions.append(0)
-                self.n_rows.append(0)
-            self.n_rows[p] += int(counts[i])
-            if not is_new:
-                continue
-            if vocabulary is None:
-                text = states[p]
-            else:
-                row = codes[known + i]
-                states[p] = np.where(states[p] == row, row, 0) if p in states else row
-                text = " ".join([vocabulary[c] for c in states[p]])
-            self.texts[p] = text
-            self.versions[p] += 1
-            changes.append((p, self.versions[p], text, int(lines[i])))
-        return {int(p) for p in place}, changes
-
-
 def _finished(key: tuple, leaf: Leaf, changes: list[tuple], keys: list) -> list[tuple]:
     return [
         (*key, text, leaf.first[p], since, version, version == leaf.versions[p], leaf.n_rows[p],
@@ -234,11 +151,11 @@ def current_templates(versions: DataFrame) -> DataFrame:
 
 
 def mine_templates(
-    rows: DataFrame, similarity: float = SIMILARITY, order: str = "line_no", **options
+    rows: DataFrame, similarity: float = SIMILARITY, order: str = "line_no", tree: Tree = FIRST_TOKEN, **options
 ) -> DataFrame:
     """From rows with a ``message`` to the template table: ``log_key, template,
     n_rows, first_line_no, n_tokens, first_token``."""
-    versions = mine_versions(distinct_shapes(with_shape(rows), order), similarity, **options)
+    versions = mine_versions(distinct_shapes(with_shape(rows), order, tree), similarity, **options)
     return settle(current_templates(versions), "templates")
 
 
@@ -274,50 +191,68 @@ def _key_number():
     return F.substring_index("log_key", "_", -1).cast("bigint")
 
 
+def _fixed_tokens(templates: DataFrame) -> DataFrame:
+    """``LEAF, template, place, token`` of all tokens that are no wildcard."""
+    return templates.select(*LEAF, "template", F.posexplode(F.split("template", " ")).alias("place", "token")).filter(
+        F.col("token") != WILDCARD
+    )
+
+
 def match_shapes(shapes: DataFrame, templates: DataFrame) -> DataFrame:
     """Which template each distinct shape fits, without learning: ``shape,
     template, log_key``. A template fits when it has the same leaf and every token
     that is no wildcard is equal; of several the one with the fewest wildcards
     wins, then the one with the lowest key.
 
-    The comparison is an equality join: each shape is masked once with every
-    wildcard pattern that occurs among the templates of its leaf, and the masked
-    text is looked up as a whole."""
-    wild = F.transform(F.split("template", " "), lambda t: t == WILDCARD)
-    keyed = templates.select(
-        "template",
-        "log_key",
-        _key_number().alias("_no"),
-        token_count(F.col("template")).alias("n_tokens"),
-        first_token(F.col("template")).alias("first_token"),
-        wild.alias("_mask"),
-    )
-    masks = keyed.select(*LEAF, "_mask").distinct()
-    masked = F.array_join(
-        F.zip_with(
-            F.split("shape", " "), "_mask", lambda t, m: F.when(m, F.lit(WILDCARD)).otherwise(t)
+    Each template is found by the one of its fixed tokens, at its place, that the fewest
+    templates of the leaf share, or by the leaf if it has none. A shape looks up its own
+    tokens, and the templates it finds are compared with it as a whole."""
+    if "first_token" not in templates.columns:
+        templates = templates.withColumn("first_token", first_token(F.col("template")))
+    wild = F.size(F.filter(F.split("template", " "), lambda t: t == WILDCARD))
+    keyed = settle(
+        templates.select(
+            "template", "log_key", _key_number().alias("_no"), wild.alias("_wild"),
+            token_count(F.col("template")).alias("n_tokens"), "first_token",
         ),
-        " ",
+        "keyed",
     )
-    tried = lookup_join(shapes.select("shape", *LEAF), masks, LEAF, "inner", ["shape"]).select(
-        "shape", masked.alias("template"), F.size(F.filter("_mask", lambda m: m)).alias("_wild")
+    fixed = _fixed_tokens(keyed.select(*LEAF, "template").distinct())
+    shared = fixed.groupBy(*LEAF, "place", "token").agg(F.count(F.lit(1)).alias("_n"))
+    # A token's templates are counted by as many rows as there are tokens, not templates.
+    rarest = (
+        lookup_join(fixed, settle(shared, "shared-tokens"), [*LEAF, "place", "token"], "inner", ["template"])
+        .groupBy(*LEAF, "template").agg(F.min(F.struct("_n", "place", "token")).alias("_by"))
     )
-    hits = lookup_join(tried, keyed.select("template", "log_key", "_no"), ["template"], "inner", ["shape"])
+    index = lookup_join(keyed, settle(rarest, "rarest"), [*LEAF, "template"], "left", ["log_key"]).select(
+        *LEAF, F.coalesce("_by.place", F.lit(-1)).alias("place"), F.coalesce("_by.token", F.lit("")).alias("token"),
+        "template", "log_key", "_no", "_wild",
+    )
+    tokens = F.split("shape", " ")
+    asked = F.concat(
+        F.transform(tokens, lambda t, i: F.struct(i.cast("int").alias("place"), t.alias("token"))),
+        F.array(F.struct(F.lit(-1).alias("place"), F.lit("").alias("token"))),
+    )
+    looked = shapes.select("shape", *LEAF, F.inline(asked))
+    found = lookup_join(looked, settle(index, "template-index"), [*LEAF, "place", "token"], "inner", ["shape"])
+    fits = F.forall(F.arrays_zip(F.split("template", " ").alias("t"), F.split("shape", " ").alias("s")), lambda p: (p["t"] == WILDCARD) | (p["t"] == p["s"]))
     best = F.min(F.struct("_wild", "_no", "template", "log_key"))
     return (
-        hits.groupBy("shape")
+        found.filter(fits)
+        .groupBy("shape")
         .agg(best.alias("b"))
         .select("shape", F.col("b.template").alias("template"), F.col("b.log_key").alias("log_key"))
     )
 
 
 def tag_rows(
-    rows: DataFrame, templates: DataFrame, message: str = "message", order: str = "line_no"
+    rows: DataFrame, templates: DataFrame, message: str = "message", order: str = "line_no", tree: Tree = FIRST_TOKEN
 ) -> DataFrame:
     """Add ``log_key`` to each row: its template's key, or UNMAPPED; rows without
-    a message get none. Only distinct shapes are matched."""
+    a message get none. Only distinct shapes are matched. ``tree`` is the one that the
+    templates were mined with."""
     shaped = with_shape(rows, message)
-    shapes = settle(distinct_shapes(shaped, order), "shapes")
+    shapes = settle(distinct_shapes(shaped, order, tree, templates), "shapes")
     matches = settle(match_shapes(shapes, templates), "matches")
     return (
         lookup_join(shaped, matches.select("shape", "log_key"), ["shape"], "left", [order])

@@ -11,7 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riftlog.config import SIMILARITY
 from riftlog.functions.tokens import first_token, shape_of, token_count
-from riftlog.operators.templates import CHUNK_SHAPES, LEAF, Leaf
+from riftlog.operators.leaf import LEAF, Leaf
+from riftlog.operators.templates import CHUNK_SHAPES
 
 _SHAPES = "n_tokens int, first_token string, shape string, n_rows bigint, first_line_no bigint"
 _STATE = "templates array<string>, first_line_nos array<bigint>, versions array<int>, n_rows array<bigint>"
