@@ -37,6 +37,10 @@ def covered(spans):
     return out
 
 
+def span(row):
+    return row["id"], row["first"], row["last"]
+
+
 def test_every_run_holds_one_retained_place():
     random.seed(2)
     for pool in (5, 2000):
@@ -94,7 +98,7 @@ def test_planted_and_hot(spark, pieces):
     spark.conf.set("spark.sql.shuffle.partitions", str(pieces))
     try:
         spans, cuts = sd.repeats(table)
-        got, got_cut = covered(tuple(r) for r in spans.collect()), covered(tuple(r) for r in cuts.collect())
+        got, got_cut = covered(map(span, spans.collect())), covered(map(span, cuts.collect()))
         left = sd.cut_repeats(table, length_col="n_chars").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -126,13 +130,81 @@ def test_run_between_many_variants(spark):
         spark.conf.set(k, v)
     try:
         spans, cuts = sd.repeats(documents(spark, [t for _, t in docs]))
-        got, got_cut = covered(tuple(r) for r in spans.collect()), covered(tuple(r) for r in cuts.collect())
+        got, got_cut = covered(map(span, spans.collect())), covered(map(span, cuts.collect()))
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(want) == len(docs) and got == want and got_cut == cut
 
 
+@pytest.mark.parametrize("gather", [25, 400])
+def test_beginnings_larger_than_a_piece(spark, gather, monkeypatch):
+    """A passage in hundreds of surroundings, in copies and in near-copies, is compared by
+    classes; a handful of them stand for all its places."""
+    random.seed(9)
+    pool = [f"w{i}" for i in range(3000)]
+    take = lambda n: random.choices(pool, k=n)
+    hot, copy = take(70), take(150)
+    texts = [take(random.randint(0, 60)) + hot[: random.choice([70, 70, 55])] + take(random.randint(0, 60)) for _ in range(300)] + [copy] * 60
+    for _ in range(60):
+        own = list(copy)
+        own[random.randrange(len(own))] = "changed"
+        texts.append(own)
+    docs = [(d, " ".join(t)) for d, t in enumerate(texts)]
+    random.shuffle(docs)
+    want, cut = brute(docs)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = sd.suffixes(table, "doc_id", "text")
+    spans = sd._merge(sd.class_spans(rows.where("id IS NOT NULL")).where("kind = 0").drop("kind"))
+    assert covered(map(span, spans.collect())) == want  # all of them by classes
+    monkeypatch.setattr(sd, "GATHER", gather)
+    spans, cuts = sd.repeats(table)
+    assert covered(map(span, spans.collect())) == want and covered(map(span, cuts.collect())) == cut
+
+
+def test_spans_joined():
+    rng = random.Random(12)
+    for _ in range(50):
+        spans = [(rng.randint(1, 3), rng.randint(-1, 1), a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 30)))]
+        columns = [sd.np.array([s[i] for s in spans], dtype=sd.np.int64) for i in range(4)]
+        got = list(zip(*(c.tolist() for c in sd._joined(*columns))))
+        cover = lambda xs: {(i, t, w) for i, t, a, b in xs for w in range(a, b)}
+        assert cover(got) == cover(spans) and len(got) <= len(spans)
+        assert all(x[:2] != y[:2] or x[3] < y[2] for x, y in zip(got, got[1:]))
+
+
+def test_classes_of_a_hot_passage_are_few(spark):
+    random.seed(10)
+    take = lambda n: [f"w{random.randrange(10**8)}" for _ in range(n)]
+    hot, runs = take(60), []
+    for n in (100, 400):
+        table = documents(spark, [" ".join(take(60) + hot + take(60)) for _ in range(n)])
+        members = sd.suffixes(table, "doc_id", "text")
+        sides = ["key", "after", "before"]
+        classes = members.groupBy(*sides).agg(sd.F.min("id").alias("least"), sd.F.max("id").alias("most"))
+        for side in ("after", "before"):
+            order = ["key", side, "least", "most"]
+            classes = classes.coalesce(1).sortWithinPartitions(*order).mapInArrow(sd.shared_words(side), sd.T.StructType([*classes.schema, sd.T.StructField(f"{side}_words", sd.T.IntegerType())]))
+        left = classes.where(sd.F.col("after_words") + sd.F.col("before_words") >= sd.SIDE)
+        runs.append(left.selectExpr("key", "substring(after, 1, 3 * after_words) a", "substring(before, 1, 3 * before_words) b").distinct().count())
+    assert runs[1] <= 2 * runs[0] <= 20
+
+
+def test_two_texts_under_one_id_and_text_ids(spark):
+    random.seed(11)
+    take = lambda n: [f"u{random.randrange(10**6)}" for _ in range(n)]
+    shared, alone = take(80), " ".join(take(100))
+    rows = [("a", " ".join(shared)), ("b", " ".join(take(10) + shared + take(5))), ("b", alone), ("c", alone + " more"), ("b", None), (None, " ".join(shared))]
+    table = spark.createDataFrame(rows, "doc_id string, text string")
+    spans, cuts = sd.repeats(table)
+    found = {(r["id"], r["first"], r["last"]) for r in spans.collect()}
+    assert found == {("a", 0, 80), ("b", 10, 90), ("b", 0, 100), ("c", 0, 100)}
+    assert cuts.count() == 2
+    numbered = spark.createDataFrame([(5, " ".join(take(10) + shared)), (4, " ".join(shared)), (5, alone)], "doc_id int, text string")
+    left = sorted((r["doc_id"], len(words(r["text"]))) for r in sd.cut_repeats(numbered).collect())
+    assert left == [(4, 80), (5, 10), (5, 100)]
+
+
 def test_odd(spark):
     docs = odd(spark)
     spans, cuts = sd.repeats(docs)
