@@ -17,6 +17,7 @@ from riftlog.config import (
     FOREST_CONTAMINATION, FOREST_SAMPLES, FOREST_SEED, FOREST_TREES, FOREST_TRIALS,
 )
 from riftlog.functions.vectors import dense_rows, used_columns
+from riftlog.operators.iforest_table import TableForest, path_sums
 from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.quantiles import exact_quantiles
@@ -27,6 +28,9 @@ AUTO_ROWS = 256
 # Rows a task grows a node from. Larger nodes are cut by aggregates over all tasks
 # first; where a node is grown changes nothing about it.
 NODE_ROWS = 16384
+# Nodes of a forest that the driver and every scoring task may hold; a larger forest stays
+# a table and scores the same.
+HELD_NODES = 2_000_000
 EULER = 0.5772156649015329
 
 _NODES = "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -120,7 +124,9 @@ class Forest:
         )
 
     @classmethod
-    def from_table(cls, table: DataFrame) -> Forest:
+    def from_table(cls, table: DataFrame) -> Forest | TableForest:
+        if "left" not in table.columns:
+            return TableForest.from_table(table)
         pdf = table.toPandas()
         one = pdf.iloc[0]
         return cls(
@@ -342,15 +348,18 @@ def grow_forest(
     seed: int = FOREST_SEED,
     n_rows: int | None = None,
     node_rows: int = NODE_ROWS,
-) -> Forest:
-    """Grow all trees side by side. ``row_id`` is unique. The grown forest, at most
-    twice the sample size of nodes per tree, is the model and is held whole: for a
-    large table ask for a number of rows per tree rather than a share."""
+    held_nodes: int | None = None,
+) -> Forest | TableForest:
+    """Grow all trees side by side. ``row_id`` is unique. A forest of at most
+    ``held_nodes`` nodes is held whole; a larger one, as trees over a share of a large
+    table make it, stays a table."""
     n_rows = df.count() if n_rows is None else n_rows
     size = sample_size(n_rows, max_samples)
     samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed)
-    nodes = grow_nodes(samples, row_id, features, dim, seed, size, node_rows).toPandas()
-    return Forest(_linked(nodes), size, dim)
+    nodes = settle(grow_nodes(samples, row_id, features, dim, seed, size, node_rows), "forest-nodes")
+    if nodes.count() > (HELD_NODES if held_nodes is None else held_nodes):
+        return TableForest(nodes, n_trees, size, dim)
+    return Forest(_linked(nodes.toPandas()), size, dim)
 
 
 def _linked(grown: pd.DataFrame) -> np.ndarray:
@@ -369,8 +378,21 @@ def _linked(grown: pd.DataFrame) -> np.ndarray:
     )
 
 
-def with_scores(df: DataFrame, forest: Forest, features: str = "features") -> DataFrame:
-    return df.withColumn("score", forest.score(feature_column(df, features)))
+def with_scores(df: DataFrame, forest: Forest | TableForest, features: str = "features") -> DataFrame:
+    if isinstance(forest, Forest):
+        return df.withColumn("score", forest.score(feature_column(df, features)))
+    # Written first: the number of a row must be the same wherever it is read.
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "forest-input")
+    scores = path_sums(rows, forest, "_row", features, (forest.n_trees,)).withColumnRenamed("s0", "score")
+    return rows.join(scores, "_row").select(*df.columns, "score")
+
+
+def trial_scores(df: DataFrame, forest: Forest | TableForest, row_id: str, features: str, counts: tuple[int, ...]) -> DataFrame:
+    """``s0, s1, ...``: the scores of all rows under the first ``counts`` trees each."""
+    if isinstance(forest, TableForest):
+        return path_sums(df, forest, row_id, features, counts).drop(row_id)
+    scores = df.select(forest.score(feature_column(df, features), counts).alias("_s"))
+    return scores.select(*[F.col("_s")[i].alias(f"s{i}") for i in range(len(counts))])
 
 
 def fit_offset(scored: DataFrame, contamination: float, score: str = "score") -> float:
@@ -387,7 +409,7 @@ def fit_forest(
     contamination: float | None = None,
     max_samples: str | int | float = "auto",
     seed: int = FOREST_SEED,
-) -> Forest:
+) -> Forest | TableForest:
     forest = grow_forest(df, dim, row_id, features, n_trees, max_samples, seed)
     if contamination is None:
         return forest
@@ -395,7 +417,7 @@ def fit_forest(
     return replace(forest, offset=fit_offset(scored, contamination))
 
 
-def decide(df: DataFrame, forest: Forest, features: str = "features") -> DataFrame:
+def decide(df: DataFrame, forest: Forest | TableForest, features: str = "features") -> DataFrame:
     """Add ``anomaly_score``, the score above the offset (negative for abnormal
     rows), and ``is_anomaly``."""
     return (
@@ -441,7 +463,7 @@ def search_forest(
     n_trials: int = FOREST_TRIALS,
     seed: int = FOREST_SEED,
     trials: list[dict] | None = None,
-) -> tuple[Forest, DataFrame]:
+) -> tuple[Forest | TableForest, DataFrame]:
     """Try ``n_trials`` random settings and keep the one with the highest mean
     anomaly score. Returns the forest and the table of trials.
 
@@ -461,9 +483,7 @@ def search_forest(
                 data, dim, row_id, features, max(counts), samples, seed, n_rows
             )
             forests[samples] = forest
-            scored = data.select(
-                forest.score(feature_column(data, features), counts).alias("_s")
-            ).select(*[F.col("_s")[i].alias(f"s{i}") for i in range(len(group))]).persist()
+            scored = settle(trial_scores(data, forest, row_id, features, counts), "trial-scores")
             means = scored.agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in range(len(group))]).first()
             offsets = side_by_side(
                 [
@@ -478,7 +498,6 @@ def search_forest(
                         forest.sample, offset, float(offset - means[f"s{i}"]),
                     )
                 )
-            scored.unpersist()
     finally:
         data.unpersist()
     table = spark.createDataFrame(
