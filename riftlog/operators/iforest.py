@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -22,6 +23,7 @@ from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.quantiles import exact_quantiles
 from riftlog.operators.runs import best_run
+from riftlog.operators.search import Choice, Number, Space, study, trial_table
 from riftlog.session import settle, side_by_side
 
 AUTO_ROWS = 256
@@ -455,6 +457,50 @@ def trial_params(n_trials: int = FOREST_TRIALS, seed: int = FOREST_SEED) -> list
     ]
 
 
+FOREST_SPACE = {
+    "n_trees": Number(*FOREST_TREES, whole=True),
+    "contamination": Number(*FOREST_CONTAMINATION),
+    "max_samples": Choice(FOREST_SAMPLES),
+}
+
+
+def study_forest(
+    df: DataFrame,
+    dim: int,
+    row_id: str,
+    objective: Callable[[DataFrame], float] | None = None,
+    features: str = "features",
+    n_trials: int = FOREST_TRIALS,
+    seed: int = FOREST_SEED,
+    space: Space | None = None,
+) -> tuple[Forest | TableForest, DataFrame]:
+    """The forest of the highest ``objective`` of the decided rows (``anomaly_score`` and
+    ``is_anomaly`` beside the columns of ``df``; by default the mean anomaly score), and
+    the table of trials. Settings are chosen by the trials before; trees of one sample
+    size are grown once, as many as the space allows, and a trial takes the first."""
+    space = FOREST_SPACE if space is None else space
+    data = settle(df, "forest-study")
+    n_rows, grown = data.count(), {}
+    most = space["n_trees"].high
+
+    def fitted(t: dict) -> Forest | TableForest:
+        samples = t["max_samples"]
+        if samples not in grown:
+            grown[samples] = grow_forest(data, dim, row_id, features, int(most), samples, seed, n_rows)
+        forest = grown[samples].first(t["n_trees"])
+        return replace(forest, offset=fit_offset(with_scores(data.select(row_id, features), forest, features), t["contamination"]))
+
+    def value(t: dict) -> float:
+        decided = decide(data, fitted(t), features)
+        return mean_anomaly(decided).first()[0] if objective is None else objective(decided)
+
+    trials = study(value, space, n_trials, seed)
+    table = trial_table(df.sparkSession, [({**t, "max_samples": str(t["max_samples"])}, v) for t, v in trials],
+                        "n_trees int, contamination double, max_samples string")
+    chosen = trials[best_run(table, "run_no", "score").first()["run_no"]][0]
+    return fitted(chosen), table
+
+
 def search_forest(
     df: DataFrame,
     dim: int,
