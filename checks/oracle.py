@@ -528,6 +528,15 @@ ORACLE = {
         LEFT JOIN dots ON dots.conv_id = w.conv_id AND dots.turn = w.turn AND dots.cluster = s.cluster)
       SELECT conv_id, turn AS line_no, md5(any_value(text)) AS window_start_line, arg_min(cluster, d) AS cluster,
         {_dec("min(d)")} AS anomaly_score, min(d) > 0.5 AS is_anomaly FROM far GROUP BY conv_id, turn""",
+    "feature_covariance": """WITH places AS (
+      SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(64)) AS pos FROM embeddings)
+    SELECT CAST(a.pos AS INTEGER) AS i, CAST(b.pos AS INTEGER) AS j, CAST(round(covar_pop(a.x, b.x), 6) AS DECIMAL(18, 6)) AS covariance
+    FROM places a JOIN places b USING (vec_id) GROUP BY ALL""",
+    "best_setting": """WITH means AS (
+      SELECT o_orderpriority, o_orderstatus, avg(o_totalprice) AS price FROM orders GROUP BY ALL)
+    SELECT o_orderpriority, o_orderstatus, CAST(round(price, 4) AS DECIMAL(18, 4)) AS score,
+      (SELECT CAST(count(*) AS INTEGER) FROM means) AS n_settings
+    FROM means ORDER BY price DESC LIMIT 1""",
     "early_stop_epoch": f"""WITH {_LOSSES}, marked AS (
         SELECT epoch, val_loss, coalesce(val_loss < min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_new FROM losses),
       waited AS (SELECT *, epoch - max(CASE WHEN is_new THEN epoch END) OVER (ORDER BY epoch) AS waiting FROM marked),

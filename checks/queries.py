@@ -10,7 +10,7 @@ from riftlog.functions.parsing import (
     impute_request, parse_lines, rejected_lines, strip, with_event_time,
 )
 from riftlog.operators import (
-    autoencoder, catalogue, features, iforest, kmeans, profile, quality, quantiles, runs, scoring, sequences,
+    autoencoder, catalogue, features, iforest, kmeans, principal, profile, quality, quantiles, runs, scoring, search, sequences,
     session_terms, templates as tpl, training, windows,
 )
 from riftlog.operators.scoring import (
@@ -667,6 +667,29 @@ def iforest_search(spark, sf):
     return iforest.search_forest(data, 64, "vec_id", "embedding")[1]
 
 
+def feature_covariance(spark, sf):
+    """What the linear baseline of the autoencoder is made of."""
+    found = principal.covariance(spread(spark, sf, "embeddings"), 64, "embedding")
+    return found.withColumn("covariance", dec(F.col("covariance")))
+
+
+def best_setting(spark, sf):
+    """A study of a given objective: of which priority and status are orders dearest?"""
+    orders = spread(spark, sf, "orders")
+    means = stored(orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.avg("o_totalprice").alias("price")))
+    values = lambda c: tuple(r[0] for r in means.select(c).distinct().orderBy(c).collect())
+    space = {c: search.Choice(values(c)) for c in ("o_orderpriority", "o_orderstatus")}
+
+    def price(t):
+        row = means.filter((F.col("o_orderpriority") == t["o_orderpriority"]) & (F.col("o_orderstatus") == t["o_orderstatus"])).first()
+        return row and row["price"]
+
+    trials = search.study(price, space, n_trials=len(space["o_orderpriority"].options) * len(space["o_orderstatus"].options))
+    table = search.trial_table(spark, trials, "o_orderpriority string, o_orderstatus string")
+    best = runs.best_run(table, "run_no", "score", ("o_orderpriority", "o_orderstatus"))
+    return best.drop("run_no").withColumn("score", dec(F.col("score"), 4)).withColumn("n_settings", F.lit(table.filter("score IS NOT NULL").count()))
+
+
 def early_stop_epoch(spark, sf):
     return runs.early_stop(_monthly_loss(spark, sf)).select(
         "stop_epoch", "best_epoch", dec(F.col("best_loss"), 4).alias("best_loss")
@@ -925,7 +948,7 @@ QUERIES = {
         token_ids_padded, split_80_20, split_tail10,
         nearest_centroid, centroid_distance, cluster_sizes, inertia, silhouette_exact,
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,
-        iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, early_stop_epoch, best_run,
+        iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, feature_covariance, best_setting, early_stop_epoch, best_run,
         loss_curve, autoencoder_losses, latent_clusters, model_roundtrip,
         score_windows_given_centers, score_forest_given_stumps, score_encoder_learning, anomaly_payload, score_kmeans_windows, score_forest_windows, score_encoder_windows,
         stream_templates, stream_score, stream_retrain,

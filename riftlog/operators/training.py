@@ -84,7 +84,7 @@ def train_forest(
 
 def train_encoder(
     sessions: SessionTerms | DataFrame, run_id: str = "encoder", epochs: int = EPOCHS, batch: int = BATCH_SIZE,
-    k: int = N_CLUSTERS, max_features: int = MAX_FEATURES, parts: int | None = None,
+    k: int = N_CLUSTERS, max_features: int = MAX_FEATURES, parts: int = 1,
 ) -> tuple[EncoderModel, DataFrame]:
     rows = training_terms(sessions)
     tfidf = rows.fit(max_features)
