@@ -205,6 +205,16 @@ def test_two_texts_under_one_id_and_text_ids(spark):
     assert left == [(4, 80), (5, 10), (5, 100)]
 
 
+@pytest.mark.parametrize("bits", [3, 16, 25])
+def test_no_cut_is_missed_by_the_bitmap(spark, bits, monkeypatch):
+    monkeypatch.setattr(sd, "BITS", bits)
+    rows = spark.range(-2000, 2000).selectExpr("id AS _own_id", "xxhash64(id) AS _own_text")
+    cuts = rows.where("pmod(_own_id, 5) = 0").toDF("_cut_id", "_cut_text")
+    found = sd.with_chance(rows, cuts)
+    assert found.where("pmod(_own_id, 5) = 0 AND NOT _chance").count() == 0 and found.count() == 4000
+    assert bits < 20 or found.where("_chance").count() < 810
+
+
 def test_odd(spark):
     docs = odd(spark)
     spans, cuts = sd.repeats(docs)
