@@ -602,3 +602,24 @@ ORACLE["stream_score"] = f"""WITH {_LINES}, n AS (SELECT count(*) AS n FROM line
   upload AS (SELECT value, row_number() OVER (PARTITION BY file ORDER BY place) - 1 AS line_no,
     count(*) OVER (PARTITION BY file) AS n FROM arriving)
   SELECT line_no, value AS window_start_line, true AS same FROM upload WHERE line_no + 10 <= n"""
+
+ORACLE["forest_roundtrip"] = ORACLE["score_forest_given_stumps"]
+ORACLE["normal_windows_given_stumps"] = f"SELECT * FROM ({ORACLE['score_forest_given_stumps'].replace('+ 0.43', '+ 0.57')}) scored WHERE NOT is_anomaly"
+_ORDER_RUNS = """means AS (
+  SELECT o_orderstatus AS kind, o_orderstatus || '/' || (o_custkey % 7) AS run_id, o_custkey % 7 AS no,
+    round(avg(o_totalprice), 2) AS price, count(*) AS n FROM orders GROUP BY ALL)"""
+ORACLE["run_log_written"] = f"""WITH {_ORDER_RUNS}
+  SELECT run_id, 'param' AS kind, 'n_orders' AS key, CAST(n AS VARCHAR) AS value FROM means
+  UNION ALL SELECT run_id, 'metric', 'mean_price', CAST(price AS VARCHAR) FROM means
+  UNION ALL SELECT run_id, 'tag', 'model_path', run_id FROM means"""
+ORACLE["best_over_kinds"] = f"""WITH {_ORDER_RUNS}, best AS (
+  SELECT * FROM means QUALIFY row_number() OVER (PARTITION BY kind ORDER BY price DESC, no) = 1),
+spread AS (SELECT kind, avg(price) AS mean, stddev_pop(price) AS deviation, count(*) AS n_runs FROM means GROUP BY kind)
+  SELECT kind, run_id, {_dec("price", 2)} AS score, {_dec("lead")} AS lead
+  FROM (SELECT *, CASE WHEN deviation > 0 THEN (price - mean) / deviation ELSE 0 END AS lead FROM best JOIN spread USING (kind))
+  ORDER BY lead DESC, n_runs DESC, kind LIMIT 1"""
+ORACLE["one_day_of_log"] = f"""WITH {_PARSED}, days AS (
+  SELECT *, CAST(TRY_CAST("timestamp" AS TIMESTAMP) AS DATE) AS day FROM parsed), last_day AS (SELECT max(day) AS last FROM days)
+  SELECT line_no, level, message, CAST(day AS VARCHAR) AS day,
+    (SELECT count(*) FROM days) - (SELECT count(*) FROM days, last_day WHERE day = last AND level = 'ERROR') AS n_all
+  FROM days, last_day WHERE day = last AND level <> 'ERROR'"""

@@ -7,7 +7,7 @@ import dataclasses
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riftlog.functions.parsing import (
-    impute_request, parse_lines, rejected_lines, strip, with_event_time,
+    event_day, impute_request, parse_lines, rejected_lines, strip, with_event_time,
 )
 from riftlog.operators import (
     autoencoder, catalogue, features, iforest, kmeans, principal, profile, quality, quantiles, runs, scoring, search, sequences,
@@ -16,7 +16,7 @@ from riftlog.operators import (
 from riftlog.operators.scoring import (
     EncoderModel, ForestModel, KMeansModel, score_encoder, score_forest, score_kmeans, scoring_windows, with_unit,
 )
-from riftlog.plans.batch import store_report
+from riftlog.plans.batch import best_over_kinds as _best_over_kinds, store_report
 from riftlog.session import scratch_path, settle
 from riftlog.sources import messages, tables, text_logs
 from riftlog.sources.event_lines import event_lines
@@ -83,7 +83,7 @@ _ORDERS = T.StructType(
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
     structured = parsed(spark, sf).select(*tables.STRUCTURED.fieldNames())
-    return tables.read_csv(spark, tables.write_csv(structured, path), tables.STRUCTURED)
+    return tables.read_csv(spark, tables.write_csv(structured, path), tables.STRUCTURED, multiline=False)
 
 
 def csv_headerless(spark, sf):
@@ -107,7 +107,7 @@ def single_file_export(spark, sf):
         profile.value_counts(impute_request(old), "request_id"), path, "csv", single_file=True
     )
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("n", T.LongType())])
-    back = tables.read_csv(spark, second, schema)
+    back = tables.read_csv(spark, second, schema, multiline=False)
     return back.withColumn("files", F.lit(len(back.inputFiles())))
 
 
@@ -875,6 +875,63 @@ def model_roundtrip(spark, sf):
     return _same_scores(score_kmeans(wins, model), score_kmeans(wins, load_model(spark, type(model), path)), ["file", "line_no"])
 
 
+def forest_roundtrip(spark, sf):
+    """Windows under a stored and loaded forest."""
+    turns = table(spark, sf, "conversations")
+    tfidf = features.fit_tfidf(turns, "text")
+    model = ForestModel(tfidf, dataclasses.replace(_stumps(), dim=tfidf.dim))
+    back = load_model(spark, ForestModel, save_model(spark, model, scratch_path(spark, "model")))
+    out = score_forest(_turn_windows(turns), back)
+    return _round_score(out).withColumn("window_start_line", F.md5("window_start_line"))
+
+
+#: Between the scores of windows with few and with many of the asked words.
+NORMAL_OFFSET = -0.57
+
+
+def normal_windows_given_stumps(spark, sf):
+    """Only the windows that the forest of fixed stumps finds normal."""
+    turns = table(spark, sf, "conversations")
+    tfidf = features.fit_tfidf(turns, "text")
+    forest = dataclasses.replace(_stumps(), dim=tfidf.dim, offset=NORMAL_OFFSET)
+    out = score_forest(_turn_windows(turns), ForestModel(tfidf, forest), "normal")
+    return _round_score(out).withColumn("window_start_line", F.md5("window_start_line"))
+
+
+def _order_runs(spark, sf):
+    """A run log made of orders: a run per status and clerk number, written and read."""
+    means = table(spark, sf, "orders").groupBy("o_orderstatus", (F.col("o_custkey") % 7).alias("no")).agg(
+        F.round(F.avg("o_totalprice"), 2).alias("price"), F.count("*").alias("n"))
+    means = stored(means.withColumn("run_id", F.concat_ws("/", "o_orderstatus", "no")))
+    row = lambda kind, key, value: means.select("run_id", F.lit(kind).alias("kind"), F.lit(key).alias("key"), F.lit(None).cast("int").alias("step"), F.col(value).cast("string").alias("value"))
+    path = scratch_path(spark, "runs")
+    for one in (row("param", "n_orders", "n"), row("metric", "mean_price", "price"), row("tag", "model_path", "run_id")):
+        runs.append_run(one, path)
+    return spark.read.parquet(path)
+
+
+def run_log_written(spark, sf):
+    return _order_runs(spark, sf).select("run_id", "kind", "key", "value")
+
+
+def best_over_kinds(spark, sf):
+    """One best run over three kinds of run."""
+    found = _best_over_kinds(_order_runs(spark, sf), {s: "mean_price" for s in ("F", "O", "P")})
+    return found.select("kind", "run_id", dec(F.col("score"), 2).alias("score"), dec(F.col("lead")).alias("lead"))
+
+
+def one_day_of_log(spark, sf):
+    """The structured log by date of event; the last date is written again without its
+    errors, and read alone."""
+    path = scratch_path(spark, "days")
+    rows = stored(parsed(spark, sf).withColumn(tables.DAY, event_day()))
+    tables.write_days(rows, path)
+    last = rows.agg(F.max(tables.DAY)).first()[0]
+    tables.write_days(rows.filter((F.col(tables.DAY) == last) & (F.col("level") != "ERROR")), path)
+    n_all = tables.read_days(spark, path).agg(F.count(F.lit(1))).scalar()
+    return tables.read_days(spark, path, last, last).select("line_no", "level", "message", F.col(tables.DAY).cast("string").alias("day"), n_all.alias("n_all"))
+
+
 # Streams
 
 
@@ -949,7 +1006,7 @@ QUERIES = {
         nearest_centroid, centroid_distance, cluster_sizes, inertia, silhouette_exact,
         silhouette_squared, reconstruction_mse, contamination_cut, kmeans_best_seed,
         iforest_scores, iforest_stump_scores, iforest_stump_mean, network_errors, iforest_search, iforest_normal_windows, feature_covariance, best_setting, early_stop_epoch, best_run,
-        loss_curve, autoencoder_losses, latent_clusters, model_roundtrip,
+        loss_curve, autoencoder_losses, latent_clusters, model_roundtrip, forest_roundtrip, normal_windows_given_stumps, run_log_written, best_over_kinds, one_day_of_log,
         score_windows_given_centers, score_forest_given_stumps, score_encoder_learning, anomaly_payload, score_kmeans_windows, score_forest_windows, score_encoder_windows,
         stream_templates, stream_score, stream_retrain,
     )

@@ -90,6 +90,14 @@ class Layout:
     def sequences(self) -> str:
         return self._at("gold", "sequences")
 
+    @property
+    def structured_days(self) -> str:
+        return self._at("silver", "structured_by_day")
+
+    @property
+    def tagged_days(self) -> str:
+        return self._at("gold", "structured_with_log_key_by_day")
+
     @property
     def runs(self) -> str:
         return self._at("runs")

@@ -83,6 +83,11 @@ def with_event_time(parsed: DataFrame) -> DataFrame:
     )
 
 
+def event_day(column: str = "timestamp") -> Column:
+    """The date of a line's time; null where the time cannot be read."""
+    return F.expr(f"try_cast(try_cast(`{column}` AS timestamp_ntz) AS date)")
+
+
 def impute_request(df: DataFrame, column: str = "request_id") -> DataFrame:
     """The placeholder id becomes the system session; missing ids stay missing."""
     value = F.col(column)

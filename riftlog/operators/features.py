@@ -153,12 +153,12 @@ def padded_token_ids(
     docs: DataFrame, vocab: DataFrame, doc: str, text: str = "text", length: int = TOKEN_LENGTH
 ) -> DataFrame:
     """``doc, input_ids, attention_mask``: token ids of the first ``length`` words,
-    filled up with the pad id. The vocabulary is of fixed size, so it is broadcast."""
+    filled up with the pad id. The vocabulary is broadcast if it is proven small, else words
+    are dealt out over copies of it."""
     cut = docs.select(doc, F.slice(words(F.col(text)), 1, length).alias("_w"))
     known = F.struct("_at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
     ids = (
-        cut.select(doc, F.posexplode_outer("_w").alias("_at", "term"))
-        .join(F.broadcast(vocab), "term", "left")
+        lookup_join(cut.select(doc, F.posexplode_outer("_w").alias("_at", "term")), settle(vocab, "token-ids"), ["term"], "left", [doc])
         .groupBy(doc)
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), known)))["id"].alias("_ids")

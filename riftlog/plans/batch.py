@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riftlog.config import EXPORT_EVENTS, Layout
-from riftlog.functions.parsing import impute_request, line_matches, parse_lines
+from riftlog.config import EXPORT_EVENTS, SIMILARITY, Layout
+from riftlog.functions.parsing import event_day, impute_request, line_matches, parse_lines
 from riftlog.operators.profile import histogram, profile_report
 from riftlog.operators.quality import EXPECTED_TYPES, gate, mean_impute, schema_suite, validate
-from riftlog.operators.runs import append_run, best_run
+from riftlog.operators.runs import append_run, best_run, run_rows
 from riftlog.operators.sequences import session_sequences
 from riftlog.operators.session_terms import session_terms
-from riftlog.operators.templates import mine_templates, tag_rows, template_text
+from riftlog.operators.templates import distinct_shapes, learn_more, mine_templates, tag_rows, template_text, with_shape
 from riftlog.operators.training import train_encoder, train_forest, train_kmeans
 from riftlog.sources.messages import append_update
 from riftlog.sources.models import save_model
-from riftlog.sources.tables import read_csv, require_columns, require_rows, write_version
+from riftlog.sources.tables import DAY, read_csv, require_columns, require_rows, write_days, write_version
 from riftlog.sources.text_logs import read_log
-from riftlog.session import scratch_path
+from riftlog.session import path_exists, scratch_path, settle
 
 
 def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) -> dict[str, object]:
@@ -56,13 +56,32 @@ def run_batch(spark: SparkSession, layout: Layout, train: dict | None = None) ->
     out: dict[str, object] = {"templates": templates, "sequences": sequences}
     for kind, job in (("kmeans", train_kmeans), ("encoder", train_encoder), ("forest", train_forest)):
         model, log = job(sessions, kind, **train.get(kind, {}))
-        save_model(spark, model, layout.model(kind))
-        append_run(log, layout.runs)
+        path = save_model(spark, model, layout.model(kind))
+        append_run(log.unionByName(run_rows(spark, kind, tags={"model_path": path})), layout.runs)
         out[kind] = model
     append_update(spark, layout.updates, {"models": ",".join(sorted(("kmeans", "encoder", "forest")))})
     return out
 
 
+def run_days(spark: SparkSession, layout: Layout, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Bring the layers up to date with more lines (``file, line_no, value``): parse them,
+    let the templates go on learning, tag, and write structured and tagged rows by the date
+    of their event. The dates of these lines are replaced, so a date may be run again; no
+    other date is read or written. Returns the templates as they are then."""
+    parsed = parse_lines(lines.filter(line_matches(F.col("value"))))
+    structured = settle(parsed.withColumn(DAY, event_day()), "day")
+    write_days(structured, layout.structured_days)
+    cleaned = impute_request(structured)
+    if path_exists(spark, layout.templates):
+        known = settle(spark.read.parquet(layout.templates), "known-templates")
+        templates = learn_more(known, distinct_shapes(with_shape(cleaned)), similarity)
+    else:
+        templates = mine_templates(cleaned, similarity)
+    write_days(tag_rows(cleaned, templates), layout.tagged_days)
+    templates.write.mode("overwrite").parquet(layout.templates)
+    return spark.read.parquet(layout.templates)
+
+
 def store_report(report: DataFrame, path: str) -> DataFrame:
     """Keep a validation report as a version below ``path``, and read it back."""
     return report.sparkSession.read.parquet(write_version(report, path))
@@ -80,6 +99,21 @@ def run_quality(
     return write_version(mean_impute(df), out, "csv")
 
 
+def best_over_kinds(runs: DataFrame, metric: dict[str, str]) -> DataFrame:
+    """The one best run over all kinds of model. Scores of different kinds are no common
+    measure; how far the best stands out among the runs of its kind is: ``lead``, its
+    distance from their mean in standard deviations (0 for a kind with one run or equal
+    ones). Of equal leads the kind with more runs wins, then the first by name."""
+    best = best_model(runs, metric)
+    names = F.create_map(*[F.lit(x) for pair in metric.items() for x in pair])
+    kind = F.split("run_id", "/")[0]
+    scores = runs.filter(F.col("key") == F.get(F.array(names[kind]), F.lit(0))).select(kind.alias("kind"), F.expr("try_cast(value as double)").alias("score"))
+    spread = scores.groupBy("kind").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("deviation"), F.count("score").alias("n_runs"))
+    lead = F.when(F.col("deviation") > 0, (F.col("score") - F.col("mean")) / F.col("deviation")).otherwise(F.lit(0.0))
+    # One row per kind.
+    return best.join(spread, "kind").withColumn("lead", lead).orderBy(F.desc("lead"), F.desc("n_runs"), "kind").limit(1).select("kind", "run_id", "score", "lead")
+
+
 def best_model(runs: DataFrame, metric: dict[str, str]) -> DataFrame:
     """The best run of each kind of model. ``metric`` names the score of each kind,
     as scores of different kinds cannot be compared."""

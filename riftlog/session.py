@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Per thread, the scratch tables of the innermost ``passing_scratch``.
+_SCRATCH = threading.local()
+
+
 def build_session(app: str = "riftlog", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs expect. On a cluster, ``master``,
     memory and the number of shuffle partitions come from the submit command."""
@@ -46,7 +52,11 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/riftlog/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/riftlog/{label}-{uuid.uuid4().hex}"
+    paths = getattr(_SCRATCH, "paths", None)
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def settle(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -57,6 +67,27 @@ def settle(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in any store that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession):
+    """Tables settled inside are removed when the block ends: for batches of a stream,
+    whose results are written by then."""
+    outer = getattr(_SCRATCH, "paths", None)
+    _SCRATCH.paths = paths = []
+    try:
+        yield
+    finally:
+        _SCRATCH.paths = outer
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def side_by_side(jobs: Sequence[Callable], at_once: int = 5) -> list:
     """Run independent Spark jobs at the same time, so that one fills the slots the
     others leave free; results in the order of ``jobs``."""

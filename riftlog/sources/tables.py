@@ -67,8 +67,9 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, multiline: bool = True
 ) -> DataFrame:
-    """CSV with a declared schema. ``multiline=False`` keeps one large file
-    splittable where no field holds a line break."""
+    """CSV with a declared schema. Fields may hold line breaks, so a file is read as a
+    whole; ``multiline=False`` reads large files in splits where no field holds one, as in
+    tables of log lines."""
     return (
         spark.read.schema(schema)
         .options(**_CSV)
@@ -99,6 +100,27 @@ def write_version(df: DataFrame, path: str, fmt: str = "parquet", single_file: b
     return version
 
 
+DAY = "event_date"
+
+
+def write_days(df: DataFrame, path: str, day: str = DAY) -> str:
+    """Write rows by date. Dates that ``df`` has rows of replace what was there; all others
+    stay as they are, so a job can be run again for a date. Rows of one date and task are
+    one file; null is a date of its own."""
+    df.write.partitionBy(day).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    return path
+
+
+def read_days(spark: SparkSession, path: str, first=None, last=None, day: str = DAY) -> DataFrame:
+    """The rows of the dates from ``first`` to ``last``; other dates are not looked at."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        rows = rows.filter(F.col(day) >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.filter(F.col(day) <= F.lit(last).cast("date"))
+    return rows
+
+
 def by_source(df: DataFrame, order: str = "line_no", column: str = "source") -> DataFrame:
     """Rows range-partitioned and sorted by source, then by line. The line is part
     of the range key, so one busy source is cut over many partitions."""

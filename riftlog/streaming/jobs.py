@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riftlog.operators.scoring import scoring_windows, with_unit
+from riftlog.session import passing_scratch
 from riftlog.sources.messages import retrain_requests
 from riftlog.sources.text_logs import number_lines, stream_lines, strip_blank
 
@@ -29,9 +30,10 @@ def score_arrivals(
     learning from the files of a batch before its windows are formed."""
 
     def one(batch: DataFrame, number: int) -> None:
-        lines = number_lines(strip_blank(batch))
-        windows = scoring_windows(with_unit(lines, unit, templates, learn=learn))
-        score(windows).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with passing_scratch(spark):
+            lines = number_lines(strip_blank(batch))
+            windows = scoring_windows(with_unit(lines, unit, templates, learn=learn))
+            score(windows).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
         stream_lines(spark, path)
