@@ -7,7 +7,13 @@
     mixture            rows are repeated or left out so that sources reach their weights
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and
-returns the columns of documents."""
+returns the columns of documents.
+
+Defined results: rows with a null text or id pass the first four stages (nothing is known
+against them) and count 0 words in the mixture; empty texts are copies of each other, and of
+copies, as of repeated rows, one stays; a null source is a source of its own. Two texts under
+one id are judged, cut and dropped each by itself. Texts of any length are read whole, other
+columns are carried under any name, and an empty table passes empty."""
 
 from __future__ import annotations
 
