@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riftlog.llm.components import components
 from riftlog.llm.text import Words, mix, words_of
+from riftlog.operators.lookups import lookup_join
 from riftlog.session import settle
 
 SHINGLE = 5
@@ -143,8 +144,9 @@ def band_keys(names: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """(id, class, bands) of every document with an id and a text."""
+    """(id, text, class, bands) of every document with an id and a text, whose hash is given."""
     known = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
+    known = known.withColumn("hash", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,11 +157,11 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
                 size = np.where(np.diff(start) > 0, bands, 0)  # texts without words have no bands
                 flat = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(keys[size > 0].ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(words.first, words.rows), pa.array(set_hashes(words, element, start).view(np.int64)), flat],
-                    names=["id", "class", "bands"],
+                    [*(batch.column(c).slice(words.first, words.rows) for c in ("id", "hash")), pa.array(set_hashes(words, element, start).view(np.int64)), flat],
+                    names=["id", "text", "class", "bands"],
                 )
 
-    return known.mapInArrow(run, "id long, class long, bands array<long>")
+    return known.mapInArrow(run, "id long, text long, class long, bands array<long>")
 
 
 def links_within(names: list[int], sets: list[np.ndarray], split: int, threshold: float) -> list[tuple[int, int]]:
@@ -206,12 +208,12 @@ def links_within(names: list[int], sets: list[np.ndarray], split: int, threshold
     return found
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """One row per document: id, copy_id (smallest id with the same shingle set), group_id
-    (smallest id among all linked, directly or not)."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD,
+            bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """One row per document with an id and a text: id, text (its hash), copy_id, group_id
+    and group_text, the smallest id of the group with the smallest of its texts there."""
     own = settle(sketch(docs, id_col, text_col, bands, rows), "sketch")
-    classes = settle(own.groupBy("class").agg(F.min(F.struct("id", "bands")).alias("first")).select("class", F.col("first.id").alias("id"), "first.bands"), "classes")
+    classes = settle(own.groupBy("class").agg(F.min(F.struct("id", "text", "bands")).alias("first")).select("class", F.col("first.id").alias("id"), F.col("first.text").alias("text"), "first.bands"), "classes")
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     candidates = banded.join(shared, "band").where("class <> least").select(F.col("class").alias("u"), F.col("least").alias("v"))
@@ -268,11 +270,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         yield flush()
 
     linked = components(found.mapInArrow(compare, "u long, v long"))
-    groups = classes.select("class", "id").join(linked.withColumnRenamed("node", "class"), "class", "left").select("class", "id", F.coalesce("component", "class").alias("group"))
+    groups = classes.select("class", "id", "text").join(linked.withColumnRenamed("node", "class"), "class", "left").select("class", "id", "text", F.coalesce("component", "class").alias("group"))
     groups = settle(groups, "groups")
-    first = groups.groupBy("group").agg(F.min("id").alias("group_id"))
-    named = groups.join(first, "group").select("class", F.col("id").alias("copy_id"), "group_id")
-    found = own.select("id", "class").join(named, "class").select("id", "copy_id", "group_id")
+    first = groups.groupBy("group").agg(F.min(F.struct("id", "text")).alias("first"))
+    named = groups.join(first, "group").select("class", F.col("id").alias("copy_id"), F.col("first.id").alias("group_id"), F.col("first.text").alias("group_text"))
+    return own.select("id", "text", "class").join(named, "class").select("id", "text", "copy_id", "group_id", "group_text")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: id, copy_id (smallest id with the same shingle set), group_id
+    (smallest id among all linked, directly or not)."""
+    found = grouped(docs, id_col, text_col, **options).select("id", "copy_id", "group_id")
     own_id = F.col(id_col).cast("long")
     alone = docs.where(own_id.isNull() | F.col(text_col).cast("string").isNull())
     return found.unionByName(alone.select(own_id.alias("id"), own_id.alias("copy_id"), own_id.alias("group_id")))
@@ -280,11 +288,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays,
-    and of repeated rows one. Rows without an id or a text stay."""
-    found = settle(near_duplicates(docs, id_col=id_col, text_col=text_col, **options), "found")
-    drop = found.where("id <> group_id").select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(drop, id_col, "left_anti").select(docs.columns)
-    if found.groupBy("id").count().where("count > 1").isEmpty():
-        return kept
-    known = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
-    return kept.where(known).dropDuplicates([id_col, text_col]).unionByName(kept.where(~known))
+    of several texts under that id the one of the smallest hash, and of repeated rows one.
+    Another text under a dropped id is judged by itself. Rows without an id or a text stay."""
+    found = settle(grouped(docs, id_col, text_col, **options), "found")
+    drop = found.where("id <> group_id OR text <> group_text").select(F.col("id").alias("_id"), F.col("text").alias("_text")).distinct()
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("_id"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_text"), F.col(f"`{text_col}`").isNull().alias("_none"),
+    )
+    kept = lookup_join(own, settle(drop, "drop"), ["_id", "_text"], "left_anti", ["_id", "_text"])
+    if found.groupBy("id", "text").count().where("count > 1").isEmpty():
+        return kept.select("row.*")
+    known = F.col("_id").isNotNull() & ~F.col("_none")
+    one = kept.where(known).dropDuplicates(["_id", "_text"]).select("row.*")
+    return one.unionByName(kept.where(~known).select("row.*"))

@@ -130,6 +130,17 @@ def test_one_of_each(spark):
 
 
 
+def test_another_text_under_a_dropped_id_stays(spark):
+    random.seed(14)
+    text = [f"w{random.randrange(10**6)}" for _ in range(60)]
+    near, other = [*text[:-1], "changed"], " ".join(f"v{i}" for i in range(40))
+    rows = [(1, " ".join(text)), (2, " ".join(near)), (2, other), (3, " ".join(text)), (3, " ".join(near)), (2, other)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert sorted(tuple(r) for r in dm.one_of_each(docs).collect()) == [(1, " ".join(text)), (2, other)]
+    twice = spark.createDataFrame([(7, " ".join(text)), (7, " ".join(near)), (7, " ".join(text))], "doc_id int, text string")
+    assert dm.one_of_each(twice).count() == 1
+
+
 def test_components(spark):
     random.seed(6)
     edges = [(random.randrange(400), random.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5000 + i) for i in range(1, 300)]

@@ -59,8 +59,18 @@ def test_odd_and_empty(spark):
             assert docs.schema.names[:5] == [x.split()[0] for x in SCHEMA.split(", ")]
 
 
+def test_two_texts_under_one_id(spark):
+    """A copy and a text of its own under one id: the stages keep the latter whole."""
+    alone, copy = " ".join(f"word{i}" for i in range(120)), " ".join(f"other{i}" for i in range(120))
+    rows = [(1, copy, "en", "s", len(copy)), (2, copy, "en", "s", len(copy)), (2, alone, "en", "s", len(alone))]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = settle(stage(spark, docs, SF), name)
+    assert sorted((r["doc_id"], r["text"]) for r in docs.collect()) == [(1, copy), (2, alone)]
+
+
 def test_registered():
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sorted(int(q[2:].split("_")[0]) for q in entry.queries() if q.startswith("op") and q[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in entry.queries() if q.startswith("op") and q[2].isdigit()) == list(range(1, 14))
