@@ -134,7 +134,7 @@ def tfidf_full(docs: DataFrame, doc: str, text: str = "sequence") -> DataFrame:
         vocabulary(docs, text).select("term", smooth_idf(F.col("doc_count"), n_docs).alias("idf")),
         "idf",
     )
-    weighted = lookup_join(tf, idf, ["term"], "inner", [doc], max_rows=1_000_000).select(
+    weighted = lookup_join(tf, idf, ["term"], "inner", [doc]).select(
         doc, "term", (F.col("tf") * F.col("idf")).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
