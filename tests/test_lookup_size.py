@@ -1,5 +1,6 @@
 """What joins and matching move: no copies of a table, no copies of a text per token."""
 
+from riftlog.operators import templates as tpl
 from riftlog.operators.lookups import BROADCAST_BYTES, lookup_join
 
 
@@ -26,3 +27,19 @@ def test_a_broadcast_is_small(spark):
     plan = lookup_join(left, wide, ["k"], "left")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan.lower()
 
+
+def test_matching_moves_no_text_per_token(spark, monkeypatch):
+    calls, real = [], tpl.lookup_join
+
+    def join(rows, table, on, *rest):
+        calls.append((set(rows.columns), tuple(on)))
+        return real(rows, table, on, *rest)
+
+    monkeypatch.setattr(tpl, "lookup_join", join)
+    texts = [f"go {'word ' * 30}end{chr(97 + i)}" for i in range(6)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "line_no bigint, message string")
+    known = tpl.mine_templates(rows.filter("line_no < 4"), similarity=1.0)
+    shapes = tpl.distinct_shapes(tpl.with_shape(rows))
+    got = {r["shape"]: r["template"] for r in tpl.match_shapes(shapes, known).collect()}
+    assert got == {t: t for t in texts[:4]}
+    assert calls and not any(columns & {"shape", "template"} for columns, _ in calls)
