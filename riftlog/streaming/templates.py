@@ -54,7 +54,7 @@ def _learner(similarity: float):
                 "first_token": key[1],
                 "place": np.array(at, dtype=np.int32),
                 "version": np.array([leaf.versions[p] for p in at], dtype=np.int32),
-                "template": [leaf.texts[p] for p in at],
+                "template": [leaf.text(p) for p in at],
                 "first_line_no": [leaf.first[p] for p in at],
                 "n_rows": [leaf.n_rows[p] for p in at],
             }
