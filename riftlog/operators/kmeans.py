@@ -16,6 +16,9 @@ from riftlog.operators.lookups import lookup_join
 from riftlog.operators.runs import best_run
 from riftlog.session import side_by_side
 
+# Blocks that the exact silhouette deals its vectors into, and so copies of each.
+PAIR_BLOCKS = 24
+
 
 @dataclass(frozen=True)
 class Centroids:
@@ -227,6 +230,21 @@ def _silhouette_of(measured: DataFrame) -> DataFrame:
     )
 
 
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Plain distances of all rows of ``x`` to all of ``y``. Rows that are so near that the
+    product of matrices has lost their digits are subtracted place by place."""
+    xx, yy = (x * x).sum(axis=1)[:, None], (y * y).sum(axis=1)[None, :]
+    squared = x @ y.T
+    squared *= -2
+    squared += xx
+    squared += yy
+    near = np.nonzero(~(squared > 1e-6 * (xx + yy)))
+    for at in range(0, len(near[0]), 4096):
+        a, b = (k[at : at + 4096] for k in near)
+        squared[a, b] = ((x[a] - y[b]) ** 2).sum(axis=1)
+    return np.sqrt(squared, out=squared)
+
+
 def silhouette_exact(
     df: DataFrame, features: str, cluster: str, block_rows: int = 2048
 ) -> DataFrame:
@@ -235,8 +253,10 @@ def silhouette_exact(
     This measure has no short cut: the work grows with the square of the distinct
     vectors, so use it for tables of some 100,000 distinct rows and
     ``silhouette_squared`` beyond. Equal vectors are counted once with a weight.
-    Blocks of ``block_rows`` vectors meet pairwise, each pair in a task of its
-    own that gives back one row per vector and cluster, never one per pair."""
+    The vectors are dealt into at most ``PAIR_BLOCKS`` blocks, so that is how often one is
+    copied; blocks meet pairwise, each pair in a task of its own that compares
+    ``block_rows`` vectors of both at a time by one product of matrices, and gives back
+    one row per vector and cluster, never one per pair."""
     points = (
         df.select(F.col(features).alias("x"), F.col(cluster).alias("cluster"))
         .groupBy("x", "cluster")
@@ -244,7 +264,7 @@ def silhouette_exact(
         .withColumn("id", F.xxhash64("x", "cluster"))
         .persist()
     )
-    blocks = max(1, -(-points.count() // block_rows))
+    blocks = min(PAIR_BLOCKS, max(1, -(-points.count() // block_rows)))
     each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     mine = F.pmod("id", F.lit(blocks)).cast("int")
     left = points.select("id", "x", mine.alias("a"), each.alias("b"))
@@ -253,14 +273,15 @@ def silhouette_exact(
     def meet(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(p) or not len(q):
             return pd.DataFrame({"id": [], "to": [], "d": []})
-        qx = np.vstack(q["x"].to_numpy()).astype(float)
+        px, qx = (np.vstack(t["x"].to_numpy()).astype(float) for t in (p, q))
         weight, codes = q["w"].to_numpy(dtype=float), q["cluster"].to_numpy()
         names, index = np.unique(codes, return_inverse=True)
         onto = np.zeros((len(q), len(names)))
         onto[np.arange(len(q)), index] = weight
-        sums = np.stack(
-            [np.sqrt(((qx - x) ** 2).sum(axis=1)) @ onto for x in p["x"].to_numpy()]
-        )
+        sums = np.zeros((len(p), len(names)))
+        for i in range(0, len(p), block_rows):
+            for j in range(0, len(q), block_rows):
+                sums[i : i + block_rows] += distances(px[i : i + block_rows], qx[j : j + block_rows]) @ onto[j : j + block_rows]
         return pd.DataFrame(
             {
                 "id": np.repeat(p["id"].to_numpy(), len(names)),
