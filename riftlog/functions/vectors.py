@@ -40,6 +40,19 @@ def dense_rows(features, dim: int, columns: np.ndarray | None = None) -> np.ndar
     return out
 
 
+def distinct_rows(features) -> tuple:
+    """Of an Arrow batch of features the first of each group of equal rows, and the place
+    of every row among these. What is computed per row need not be done for copies, such
+    as the windows of a log of few templates; a batch without any only pays for a look-up."""
+    if isinstance(features, pd.DataFrame):
+        keys = [(np.asarray(i).tobytes(), np.asarray(v).tobytes()) for i, v in zip(features["indices"], features["values"])]
+    else:
+        keys = [np.asarray(x).tobytes() for x in features]
+    number: dict = {}
+    place = np.fromiter((number.setdefault(k, len(number)) for k in keys), dtype=np.int64, count=len(keys))
+    return features.iloc[np.unique(place, return_index=True)[1]], place
+
+
 def used_columns(features, dim: int) -> np.ndarray:
     """Places that are set in any row of a batch; all of them if it is dense."""
     if not isinstance(features, pd.DataFrame):

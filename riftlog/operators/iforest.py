@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riftlog.config import (
     FOREST_CONTAMINATION, FOREST_SAMPLES, FOREST_SEED, FOREST_TREES, FOREST_TRIALS,
 )
-from riftlog.functions.vectors import dense_rows, used_columns
+from riftlog.functions.vectors import dense_rows, distinct_rows, used_columns
 from riftlog.operators.iforest_table import TableForest, path_sums
 from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.lookups import lookup_join
@@ -172,7 +172,8 @@ class _PathReader:
         self.levels = int(nodes["depth"].max())
 
     def scores(self, x, wanted: tuple[int, ...]) -> pd.Series:
-        out: list = []
+        x, place = distinct_rows(x)
+        out = [np.zeros((0, len(wanted)))]
         for at in range(0, len(x), self.chunk):
             rows = dense_rows(x.iloc[at : at + self.chunk], self.dim, self.used)
             here = np.tile(self.root, (len(rows), 1))
@@ -186,10 +187,8 @@ class _PathReader:
                 here = np.where(inner, np.where(goes_left, self.left[here], self.right[here]), here)
             depth = np.cumsum(self.path[here], axis=1)
             scale = self.scale if self.scale > 0 else 1.0
-            out.extend(
-                np.stack([-(2.0 ** (-depth[:, n - 1] / n / scale)) for n in wanted], axis=1).tolist()
-            )
-        return pd.Series(out, dtype=object)
+            out.append(np.stack([-(2.0 ** (-depth[:, n - 1] / n / scale)) for n in wanted], axis=1))
+        return pd.Series(np.concatenate(out)[place].tolist(), dtype=object)
 
 
 def _node_array(pdf: pd.DataFrame) -> np.ndarray:

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riftlog.config import DISTANCE_THRESHOLD, KMEANS_SEEDS, N_CLUSTERS
-from riftlog.functions.vectors import dense_rows, squared_distance
+from riftlog.functions.vectors import dense_rows, distinct_rows, squared_distance
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.runs import best_run
 from riftlog.session import side_by_side
@@ -57,6 +57,7 @@ class Centroids:
 
 def _nearest(x, centers, labels) -> pd.DataFrame:
     out = []
+    x, place = distinct_rows(x)
     for at in range(0, len(x), 2048):
         rows = dense_rows(x.iloc[at : at + 2048], centers.shape[1])
         d2 = np.stack([((rows - c) ** 2).sum(axis=1) for c in centers], axis=1)
@@ -66,7 +67,9 @@ def _nearest(x, centers, labels) -> pd.DataFrame:
                 {"cluster": labels[best], "distance": np.sqrt(d2[np.arange(len(best)), best])}
             )
         )
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cluster": [], "distance": []})
+    if not out:
+        return pd.DataFrame({"cluster": [], "distance": []})
+    return pd.concat(out, ignore_index=True).iloc[place].reset_index(drop=True)
 
 
 class SparseColumn:
