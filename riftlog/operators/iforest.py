@@ -18,7 +18,7 @@ from riftlog.config import (
     FOREST_CONTAMINATION, FOREST_SAMPLES, FOREST_SEED, FOREST_TREES, FOREST_TRIALS,
 )
 from riftlog.functions.vectors import dense_rows, distinct_rows, used_columns
-from riftlog.operators.iforest_table import TableForest, path_sums
+from riftlog.operators.iforest_table import TableForest, path_sums, score_sums
 from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.quantiles import exact_quantiles
@@ -30,6 +30,10 @@ AUTO_ROWS = 256
 # Rows a task grows a node from. Larger nodes are cut by aggregates over all tasks
 # first; where a node is grown changes nothing about it.
 NODE_ROWS = 16384
+# Of dense rows, whose width is known, a task takes as many as have so many numbers (64 MB).
+NODE_CELLS = 1 << 23
+# Numbers of a node that is grown level by level, with all its nodes below at once.
+LEVEL_CELLS = 1 << 18
 # Nodes of a forest that the driver and every scoring task may hold; a larger forest stays
 # a table and scores the same.
 HELD_NODES = 2_000_000
@@ -59,6 +63,18 @@ def _draws(seed: int, tree: int, node: int) -> tuple[float, float]:
     return out[0], out[1]
 
 
+def _draws_of(seed: int, tree: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_draws`` of many nodes of a tree."""
+    start = (seed * 0x9E3779B97F4A7C15 + tree * 0xD1342543DE82EF95) & ((1 << 64) - 1)
+    x, out = nodes.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.uint64(start), []
+    for _ in range(2):
+        x = x + np.uint64(0x9E3779B97F4A7C15)
+        z = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(((z ^ (z >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53))
+    return out[0], out[1]
+
+
 def pick_cut(features, low, high, seed: int, tree: int, node: int) -> tuple[int, float]:
     """A random one of ``features``, in ascending order and none constant, and a random
     value between its ``low`` and ``high``."""
@@ -72,17 +88,67 @@ def depth_limit(size: int) -> int:
     return math.ceil(math.log2(max(size, 2)))
 
 
+_NODE_FIELDS = ("node", "feature", "threshold", "size")
+
+
+def _grow_levels(x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int):
+    """As ``grow_tree``, all nodes of a level at once: the rows of a node lie together."""
+    leaf = np.full(len(x), root, np.int64)
+    rows, nodes, starts, found = np.arange(len(x)), np.array([root], np.int64), np.zeros(1, np.int64), []
+    depth = root.bit_length() - 1
+    while len(rows):
+        sizes = np.diff(np.append(starts, len(rows)))
+        if depth < limit and x.shape[1]:
+            low, high = (f.reduceat(x, starts, axis=0) for f in (np.minimum, np.maximum))
+            varied = (low < high) & (sizes > 1)[:, None]
+        else:
+            varied = np.zeros((len(nodes), 0), bool)
+        n_varied = varied.sum(axis=1)
+        cut = np.flatnonzero(n_varied)
+        feature, threshold = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
+        place = np.zeros(len(nodes), np.int64)
+        if len(cut):
+            a, b = _draws_of(seed, tree, nodes[cut])
+            chosen = (a * n_varied[cut]).astype(np.int64)
+            place[cut] = (np.cumsum(varied[cut], axis=1) <= chosen[:, None]).sum(axis=1)
+            least, most = low[cut, place[cut]], high[cut, place[cut]]
+            at = least + b * (most - least)
+            feature[cut], threshold[cut] = columns[place[cut]], np.where(at < most, at, least)
+        found.append((nodes, feature, threshold, sizes))
+        of = np.repeat(np.arange(len(nodes)), sizes)
+        leaf[rows] = nodes[of]
+        on = np.flatnonzero(feature[of] >= 0)
+        of = of[on]
+        below = 2 * of + (x[on, place[of]] > threshold[of])
+        order = np.argsort(below, kind="stable")
+        # What is constant in all nodes of a level is so in those below.
+        some = np.flatnonzero(varied.any(axis=0))
+        rows, below = rows[on[order]], below[order]
+        x, columns = x[np.ix_(on[order], some)], columns[some]
+        starts = np.flatnonzero(np.r_[True, below[1:] != below[:-1]]) if len(below) else np.zeros(0, np.int64)
+        nodes = 2 * nodes[below[starts] >> 1] + (below[starts] & 1)
+        depth += 1
+    return found, leaf
+
+
 def grow_tree(
     x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int = 1
-) -> list[tuple]:
+) -> tuple[pd.DataFrame, np.ndarray]:
     """Nodes below and with ``root`` for its rows ``x``, whose columns are the features
-    ``columns``: (node, feature, threshold, size). Node n has the children 2n and
-    2n + 1. A node is cut at a random value of a random feature that is not constant in
-    it, until it holds one row, all its rows are equal, or it is at depth ``limit``."""
-    nodes: list[tuple] = []
+    ``columns``: (node, feature, threshold, size), by node; and the leaf of every row. Node n
+    has the children 2n and 2n + 1. A node is cut at a random value of a random feature that
+    is not constant in it, until it holds one row, all its rows are equal, or it is at depth
+    ``limit``."""
+    found: list[tuple] = []
+    leaf = np.full(len(x), root, np.int64)
     todo = [(root, np.arange(len(x)), np.arange(x.shape[1]))]
     while todo:
         node, rows, places = todo.pop()
+        if len(rows) * len(places) <= LEVEL_CELLS:
+            nodes, own = _grow_levels(x[np.ix_(rows, places)], columns[places], seed, tree, limit, node)
+            found += nodes
+            leaf[rows] = own
+            continue
         if len(rows) > 1 and node.bit_length() - 1 < limit:
             part = x[np.ix_(rows, places)]
             low, high = part.min(axis=0), part.max(axis=0)
@@ -92,14 +158,29 @@ def grow_tree(
         else:
             places = places[:0]
         if not len(places):
-            nodes.append((node, -1, 0.0, len(rows)))
+            found.append(([node], [-1], [0.0], [len(rows)]))
+            leaf[rows] = node
             continue
         feature, threshold = pick_cut(columns[places], low, high, seed, tree, node)
         goes_left = x[rows, np.searchsorted(columns, feature)] <= threshold
-        nodes.append((node, feature, threshold, len(rows)))
+        found.append(([node], [feature], [threshold], [len(rows)]))
         todo.append((2 * node + 1, rows[~goes_left], places))
         todo.append((2 * node, rows[goes_left], places))
-    return nodes
+    out = pd.DataFrame(dict(zip(_NODE_FIELDS, (np.concatenate(v) for v in zip(*found)))))
+    return out.sort_values("node", ignore_index=True), leaf
+
+
+def _leaves(x: np.ndarray, columns: np.ndarray, nodes: pd.DataFrame, root: int) -> np.ndarray:
+    """The leaf of every row of ``x`` in a grown tree."""
+    node, feature, threshold = (nodes[c].to_numpy() for c in _NODE_FIELDS[:3])
+    here, active = np.full(len(x), root, np.int64), np.arange(len(x))
+    while len(active):
+        at = np.searchsorted(node, here[active])
+        inner = feature[at] >= 0
+        active, at = active[inner], at[inner]
+        right = x[active, np.searchsorted(columns, feature[at])] > threshold[at]
+        here[active] = 2 * here[active] + right
+    return here
 
 
 @dataclass(frozen=True)
@@ -217,27 +298,35 @@ def _hash(seed: int, salt: str, *columns) -> Column:
 
 
 def tree_samples(
-    df: DataFrame, row_id: str, n_trees: int, size: int, n_rows: int, seed: int
+    df: DataFrame, row_id: str, n_trees: int, size: int, n_rows: int, seed: int, guests: bool = False
 ) -> DataFrame:
     """``tree`` beside the columns of ``df``: a random sample of ``size`` rows per
-    tree, those of lowest hash. The samples do not depend on partitioning.
+    tree, those of lowest hash. The samples do not depend on partitioning. With ``guests``
+    all rows of ``df`` for each tree, and ``_in``, whether they are of its sample.
 
     One hash per row draws a pool some times larger than all samples together, and
     only pool rows are offered to the trees; so what is shuffled depends on the forest,
-    not on the table. Rows per 1/65536 of the hash range are counted; a tree takes the
+    not on the table. Rows per 1/1024 of the hash range are counted, on the map side; a tree takes the
     ranges that it can take whole and ranks the rows of its last one only."""
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
     if size >= n_rows:
-        return df.withColumn("tree", F.explode(trees))
+        every = df.withColumn("tree", F.explode(trees))
+        return every.withColumn("_in", F.lit(True)) if guests else every
     aim = 4.0 * n_trees * size + 1000
     share = min(1.0, aim / max(n_rows, 1))
-    pool = df if share == 1.0 else df.filter(_hash(seed, "pool", F.col(row_id)) < share * HASH)
+    in_pool = F.lit(True) if share == 1.0 else _hash(seed, "pool", F.col(row_id)) < share * HASH
     pooled = share * n_rows
     offer = min(1.0, (size + 8.0 * math.sqrt(size) + 16.0) / max(pooled - 8 * math.sqrt(pooled), 1.0))
     draw = lambda t: _hash(seed, "tree", F.col(row_id), t)
-    offered = pool.withColumn("tree", F.explode(F.filter(trees, lambda t: draw(t) < offer * HASH))).withColumns(
-        {"_draw": draw(F.col("tree")), "_range": F.shiftright(draw(F.col("tree")), 24)}
-    )
+    drawn = {"_draw": draw(F.col("tree")), "_range": F.shiftright(draw(F.col("tree")), 30)}
+    if guests:
+        every = df.withColumn("tree", F.explode(trees)).withColumns(drawn)
+        every = every.withColumn("_in", in_pool & (F.col("_draw") < offer * HASH))
+        offered = every.filter("_in")
+    else:
+        every = offered = df.filter(in_pool).withColumn(
+            "tree", F.explode(F.filter(trees, lambda t: draw(t) < offer * HASH))
+        ).withColumns({**drawn, "_in": F.lit(True)})
     so_far = Window.partitionBy("tree").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = (
         offered.groupBy("tree", "_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -246,31 +335,49 @@ def tree_samples(
         .groupBy("tree").agg(F.max_by(F.struct("_range", "_before"), "_range").alias("_last"))
     )
     # One row per tree.
-    placed = offered.join(F.broadcast(last), "tree").filter(F.col("_range") <= F.col("_last._range"))
-    whole = placed.filter(F.col("_range") < F.col("_last._range"))
+    placed = every.join(F.broadcast(last), "tree")
+    at_last = F.col("_in") & (F.col("_range") == F.col("_last._range"))
+    whole = placed.filter(~at_last).withColumn("_in", F.col("_in") & (F.col("_range") < F.col("_last._range")))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", row_id))
-    edge = placed.filter(F.col("_range") == F.col("_last._range")).withColumn("_rank", rank)
-    edge = edge.filter(F.col("_rank") <= size - F.col("_last._before")).drop("_rank")
-    return whole.unionByName(edge).select(*df.columns, "tree")
+    edge = placed.filter(at_last).withColumn("_in", rank <= size - F.col("_last._before"))
+    found = whole.unionByName(edge)
+    return found.select(*df.columns, "tree", "_in") if guests else found.filter("_in").select(*df.columns, "tree")
 
 
 _GROWN = "tree int, node bigint, feature int, threshold double, size bigint"
 
 
-def _grow_small(rows: DataFrame, row_id: str, features: str, dim: int, seed: int, limit: int) -> DataFrame:
-    """All nodes below those of ``rows``, a task per node of ``rows``."""
+def _grow_small(rows: DataFrame, row_id: str, features: str, dim: int, seed: int, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """All nodes below those of ``rows``, a task per node of ``rows``; where these have
+    guests, also ``row_id, tree, path`` of all rows: the length of the row's path."""
     is_struct = rows.schema[features].dataType.typeName() == "struct"
+    guests = "_in" in rows.columns
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree, root = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
-        batch = pd.DataFrame(pdf[features].tolist()) if is_struct else pdf[features]
-        used = used_columns(batch, dim)
-        nodes = grow_tree(dense_rows(batch, dim, used), used, seed, tree, limit, root)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "size"])
-        out.insert(0, "tree", tree)
-        return out
-
-    return rows.groupBy("tree", "node").applyInPandas(grow, _GROWN)
+        batch = pd.DataFrame(pdf[features].tolist()) if is_struct else pdf[features].reset_index(drop=True)
+        own = pdf["_in"].to_numpy(bool) if guests else np.ones(len(pdf), bool)
+        used = used_columns(batch[own], dim)
+        nodes, leaf = grow_tree(dense_rows(batch[own], dim, used), used, seed, tree, limit, root)
+        if not guests:
+            nodes.insert(0, "tree", tree)
+            return nodes
+        ends = np.empty(len(pdf), np.int64)
+        ends[own] = leaf
+        ends[~own] = _leaves(dense_rows(batch[~own], dim, used), used, nodes, root)
+        at = np.searchsorted(nodes["node"].to_numpy(), ends)
+        path = np.frexp(ends.astype(float))[1] - 1 + average_path(nodes["size"].to_numpy()[at])
+        cells = [tree, *[nodes[c].to_numpy() for c in _NODE_FIELDS], pdf[row_id].to_numpy(), path]
+        return pd.DataFrame([cells], columns=["tree", *_NODE_FIELDS, row_id, "path"])
+
+    parts = rows.groupBy("tree", "node")
+    if not guests:
+        return parts.applyInPandas(grow, _GROWN), None
+    id_kind = rows.schema[row_id].dataType.simpleString()
+    kinds = f"tree int, node array<bigint>, feature array<int>, threshold array<double>, size array<bigint>, {row_id} array<{id_kind}>, path array<double>"
+    grown = settle(parts.applyInPandas(grow, kinds), "forest-grown")
+    nodes = grown.select("tree", F.inline(F.arrays_zip(*_NODE_FIELDS)))
+    return nodes, grown.select("tree", F.inline(F.arrays_zip(row_id, "path"))).select(row_id, "tree", "path")
 
 
 def _cut_large(rows: DataFrame, sizes: DataFrame, features: str, seed: int) -> DataFrame:
@@ -312,31 +419,44 @@ def _value_at(df: DataFrame, features: str) -> Column:
 
 def grow_nodes(
     samples: DataFrame, row_id: str, features: str, dim: int, seed: int, size: int, node_rows: int
-) -> DataFrame:
-    """All nodes of all trees. While some node holds more than ``node_rows`` rows, one
+) -> tuple[DataFrame, DataFrame | None]:
+    """All nodes of all trees; where ``samples`` has guests, also the paths of all rows. While some node holds more than ``node_rows`` rows, one
     level of such nodes is cut: an aggregate finds the range of every feature in every
     node, and each row goes to the side of its node. Smaller nodes go to a task each."""
     limit = depth_limit(size)
-    rows, done = samples.withColumn("node", F.lit(1).cast("bigint")), []
+    rows, done, ended = samples.withColumn("node", F.lit(1).cast("bigint")), [], []
+    guests = "_in" in rows.columns
     if size > node_rows:
         rows = settle(rows, "forest-rows")
         for level in range(limit + 1):
-            sizes = settle(rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")), "forest-sizes")
+            counted = rows.filter("_in") if guests else rows
+            sizes = settle(counted.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")), "forest-sizes")
             large = sizes.filter(F.col("size") > node_rows)
             if large.isEmpty():
                 break
-            in_large = lookup_join(rows, large.select("tree", "node"), ["tree", "node"], "left_semi", [row_id])
+            in_large = lookup_join(counted, large.select("tree", "node"), ["tree", "node"], "left_semi", [row_id])
             cuts = settle(_cut_large(in_large, large, features, seed).filter(F.lit(level < limit)), "forest-cuts")
             # At full depth, or without a feature that varies, a large node is a leaf.
             flat = large.join(cuts, ["tree", "node"], "left_anti")
             done += [cuts, flat.select("tree", "node", F.lit(-1).alias("feature"), F.lit(0.0).alias("threshold"), "size")]
+            if guests:
+                n = F.col("size")
+                path = F.lit(level) + F.when(n == 2, 1.0).otherwise(2 * (F.ln(n - 1) + EULER) - 2 * (n - 1) / n)
+                stay = lookup_join(rows, flat.select("tree", "node", "size"), ["tree", "node"], "inner", [row_id])
+                ended.append(stay.select(row_id, "tree", path.alias("path")))
             placed = lookup_join(rows, cuts.drop("size"), ["tree", "node"], "left", [row_id])
             placed = lookup_join(placed, flat.select("tree", "node"), ["tree", "node"], "left_anti", [row_id])
             side = F.when(_value_at(rows, features) <= F.col("threshold"), 0).otherwise(1)
             node = F.when(F.col("feature").isNull(), F.col("node")).otherwise(F.col("node") * 2 + side)
             rows = settle(placed.withColumn("node", node).select(*rows.columns), "forest-rows")
-    done.append(_grow_small(rows, row_id, features, dim, seed, limit))
-    return functools.reduce(DataFrame.unionByName, done)
+    nodes, paths = _grow_small(rows, row_id, features, dim, seed, limit)
+    nodes = functools.reduce(DataFrame.unionByName, [*done, nodes])
+    return nodes, functools.reduce(DataFrame.unionByName, [*ended, paths]) if guests else None
+
+
+def _rows_of_a_task(df: DataFrame, features: str, dim: int) -> int:
+    is_struct = df.schema[features].dataType.typeName() == "struct"
+    return NODE_ROWS if is_struct else max(NODE_ROWS, NODE_CELLS // max(dim, 1))
 
 
 def grow_forest(
@@ -348,7 +468,7 @@ def grow_forest(
     max_samples: str | int | float = "auto",
     seed: int = FOREST_SEED,
     n_rows: int | None = None,
-    node_rows: int = NODE_ROWS,
+    node_rows: int | None = None,
     held_nodes: int | None = None,
 ) -> Forest | TableForest:
     """Grow all trees side by side. ``row_id`` is unique. A forest of at most
@@ -357,7 +477,8 @@ def grow_forest(
     n_rows = df.count() if n_rows is None else n_rows
     size = sample_size(n_rows, max_samples)
     samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed)
-    nodes = settle(grow_nodes(samples, row_id, features, dim, seed, size, node_rows), "forest-nodes")
+    node_rows = _rows_of_a_task(df, features, dim) if node_rows is None else node_rows
+    nodes = settle(grow_nodes(samples, row_id, features, dim, seed, size, node_rows)[0], "forest-nodes")
     if nodes.count() > (HELD_NODES if held_nodes is None else held_nodes):
         return TableForest(nodes, n_trees, size, dim)
     return Forest(_linked(nodes.toPandas()), size, dim)
@@ -396,6 +517,29 @@ def trial_scores(df: DataFrame, forest: Forest | TableForest, row_id: str, featu
     return scores.select(*[F.col("_s")[i].alias(f"s{i}") for i in range(len(counts))])
 
 
+def grow_and_score(
+    df: DataFrame, dim: int, row_id: str, features: str, counts: tuple[int, ...], max_samples: str | int | float,
+    seed: int, n_rows: int, node_rows: int | None = None,
+) -> tuple[Forest | TableForest, DataFrame]:
+    """A forest of as many trees as the largest of ``counts``, and the ``trial_scores`` of the
+    rows it was grown from.
+
+    Trees over most rows of a large table meet nearly every row while they grow. There the
+    rows that a tree has not drawn come along as guests: they count for no cut, but end in a
+    leaf with the others, so rows move to the trees once and not again to be scored."""
+    n_trees, size = max(counts), sample_size(n_rows, max_samples)
+    if n_trees * (2 * size - 1) <= HELD_NODES or 2 * size < n_rows:
+        forest = grow_forest(df, dim, row_id, features, n_trees, max_samples, seed, n_rows, node_rows or _rows_of_a_task(df, features, dim))
+        return forest, trial_scores(df, forest, row_id, features, counts)
+    samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed, guests=True)
+    nodes, paths = grow_nodes(samples, row_id, features, dim, seed, size, node_rows or _rows_of_a_task(df, features, dim))
+    if nodes.count() <= HELD_NODES:
+        forest = Forest(_linked(nodes.toPandas()), size, dim)
+    else:
+        forest = TableForest(nodes, n_trees, size, dim)
+    return forest, score_sums(paths, forest, row_id, counts).drop(row_id)
+
+
 def fit_offset(scored: DataFrame, contamination: float, score: str = "score") -> float:
     """The score below which the ``contamination`` share of the training rows lies."""
     return exact_quantiles(scored, score, [contamination])[0]
@@ -524,11 +668,9 @@ def search_forest(
         for samples in dict.fromkeys(t["max_samples"] for t in trials):
             group = [t for t in trials if t["max_samples"] == samples]
             counts = tuple(t["n_trees"] for t in group)
-            forest = grow_forest(
-                data, dim, row_id, features, max(counts), samples, seed, n_rows
-            )
+            forest, scores = grow_and_score(data, dim, row_id, features, counts, samples, seed, n_rows)
             forests[samples] = forest
-            scored = settle(trial_scores(data, forest, row_id, features, counts), "trial-scores")
+            scored = settle(scores, "trial-scores")
             means = scored.agg(*[F.avg(f"s{i}").alias(f"s{i}") for i in range(len(group))]).first()
             offsets = side_by_side(
                 [

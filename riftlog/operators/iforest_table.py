@@ -122,10 +122,16 @@ def path_sums(
         ended = walked.filter(F.col("path").isNotNull() & ~F.isnan("path")).select(row_id, "tree", "path")
         done = ended if done is None else done.unionByName(ended)
         state = walked.filter(F.col("root") > 0).select(row_id, "tree", "root", "features")
-    scale = float(average_path(forest.sample)) or 1.0
-    sums = [F.sum(F.when(F.col("tree") < n, F.col("path"))).alias(f"s{i}") for i, n in enumerate(n_trees)]
     if done is None:
         return rows.select(row_id, *[F.lit(None).cast("double").alias(f"s{i}") for i in range(len(n_trees))])
-    total = done.groupBy(row_id).agg(*sums)
-    return total.select(row_id, *[(-F.pow(F.lit(2.0), -F.col(f"s{i}") / n / scale)).alias(f"s{i}") for i, n in enumerate(n_trees)])
+    return score_sums(done, forest, row_id, n_trees)
 
+
+def score_sums(paths: DataFrame, forest: TableForest, row_id: str, n_trees: tuple[int, ...]) -> DataFrame:
+    """``row_id`` and ``s0, s1, ...`` from ``row_id, tree, path`` of all rows and trees."""
+    from riftlog.operators.iforest import average_path
+
+    scale = float(average_path(forest.sample)) or 1.0
+    sums = [F.sum(F.when(F.col("tree") < n, F.col("path"))).alias(f"s{i}") for i, n in enumerate(n_trees)]
+    total = paths.groupBy(row_id).agg(*sums)
+    return total.select(row_id, *[(-F.pow(F.lit(2.0), -F.col(f"s{i}") / n / scale)).alias(f"s{i}") for i, n in enumerate(n_trees)])

@@ -60,6 +60,29 @@ def test_search_and_bundle(spark, rows, tmp_path, monkeypatch):
     assert a == b
 
 
+@pytest.mark.parametrize("samples, node_rows", [(1.0, None), (0.8, None), (0.8, 25)])
+def test_scored_while_it_grows(rows, monkeypatch, samples, node_rows):
+    """Rows that a tree has not drawn end in its leaves as when they are scored later, also
+    below nodes that are cut by aggregates."""
+    held = iso.grow_forest(rows, 6, "row_no", n_trees=3, max_samples=samples)
+    monkeypatch.setattr(iso, "HELD_NODES", 0)
+    forest, scores = iso.grow_and_score(rows, 6, "row_no", "features", (2, 3), samples, iso.FOREST_SEED, 200, node_rows)
+    assert isinstance(forest, table.TableForest) and "_in" not in forest.nodes.columns
+    want = iso.trial_scores(rows, held, "row_no", "features", (2, 3))
+    got, want = (np.array(sorted(tuple(r) for r in d.collect())) for d in (scores, want))
+    assert got.shape == (200, 2) and np.allclose(got, want, rtol=0, atol=1e-12)
+    assert (iso._linked(forest.nodes.toPandas()) == held.nodes).all()
+
+
+def test_levels_at_once_are_node_by_node(monkeypatch):
+    x = np.random.default_rng(5).normal(size=(300, 5)).round(1)
+    x[:100] = x[0]
+    at_once, leaf = iso.grow_tree(x, np.arange(5) * 3, 42, 7, 9)
+    monkeypatch.setattr(iso, "LEVEL_CELLS", -1)
+    one_by_one, same = iso.grow_tree(x, np.arange(5) * 3, 42, 7, 9)
+    assert at_once.equals(one_by_one) and (leaf == same).all() and len(at_once) > 100
+
+
 def test_no_rows(spark, rows):
     _, kept = forests(rows, max_samples=64)
     assert iso.with_scores(rows.limit(0), kept).count() == 0
