@@ -47,16 +47,18 @@ def with_unit(
     order: str = "line_no",
     learn: bool = False,
     similarity: float = SIMILARITY,
+    masked: str | None = None,
 ) -> DataFrame:
     """Add ``unit``, the text a window is made of: the line itself, or the
     template of the line. Templates are looked up in ``templates``; a line that
     fits none stands for itself with its digits masked, as a new template would.
-    With ``learn``, the templates first go on learning from all lines given."""
+    With ``learn``, the templates first go on learning from all lines given. ``masked``
+    names a column that holds the masked lines, if there is one."""
     if unit == "line":
         return lines.withColumn("unit", F.col(line))
     if unit != "template":
         raise ValueError(f"unit must be line or template, not {unit!r}")
-    shaped = with_shape(lines, line)
+    shaped = with_shape(lines, line, masked)
     if templates is None:
         return shaped.withColumnRenamed("shape", "unit")
     shapes = settle(distinct_shapes(shaped, order), "shapes")
