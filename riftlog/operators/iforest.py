@@ -19,6 +19,7 @@ from riftlog.config import (
 )
 from riftlog.functions.vectors import dense_rows, distinct_rows, used_columns
 from riftlog.operators.iforest_table import TableForest, path_sums, score_sums
+from riftlog.operators.iforest_whole import WholeTrees, fits_a_task, number_kind, packed_rows
 from riftlog.operators.kmeans import SparseColumn, feature_column
 from riftlog.operators.lookups import lookup_join
 from riftlog.operators.quantiles import exact_quantiles
@@ -91,6 +92,21 @@ def depth_limit(size: int) -> int:
 _NODE_FIELDS = ("node", "feature", "threshold", "size")
 
 
+def _part(x: np.ndarray, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Some rows and columns of ``x``; whole rows are copied at once."""
+    part = x.take(rows, axis=0)
+    return part if len(places) == x.shape[1] else part.take(places, axis=1)
+
+
+def _ranges(x: np.ndarray, rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the largest number of each column of some rows, a few rows at a time."""
+    low, high, step = np.full(len(places), np.inf), np.full(len(places), -np.inf), max(1, LEVEL_CELLS // x.shape[1])
+    for at in range(0, len(rows), step):
+        part = _part(x, rows[at : at + step], places)
+        low, high = np.minimum(low, part.min(axis=0)), np.maximum(high, part.max(axis=0))
+    return low, high
+
+
 def _grow_levels(x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int):
     """As ``grow_tree``, all nodes of a level at once: the rows of a node lie together."""
     leaf = np.full(len(x), root, np.int64)
@@ -124,7 +140,7 @@ def _grow_levels(x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit
         # What is constant in all nodes of a level is so in those below.
         some = np.flatnonzero(varied.any(axis=0))
         rows, below = rows[on[order]], below[order]
-        x, columns = x[np.ix_(on[order], some)], columns[some]
+        x, columns = _part(x, on[order], some), columns[some]
         starts = np.flatnonzero(np.r_[True, below[1:] != below[:-1]]) if len(below) else np.zeros(0, np.int64)
         nodes = 2 * nodes[below[starts] >> 1] + (below[starts] & 1)
         depth += 1
@@ -132,26 +148,26 @@ def _grow_levels(x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit
 
 
 def grow_tree(
-    x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int = 1
+    x: np.ndarray, columns: np.ndarray, seed: int, tree: int, limit: int, root: int = 1, rows: np.ndarray | None = None
 ) -> tuple[pd.DataFrame, np.ndarray]:
-    """Nodes below and with ``root`` for its rows ``x``, whose columns are the features
-    ``columns``: (node, feature, threshold, size), by node; and the leaf of every row. Node n
+    """Nodes below and with ``root`` for its ``rows`` of ``x`` (all), whose columns are the features
+    ``columns``: (node, feature, threshold, size), by node; and the leaf of every such row. Node n
     has the children 2n and 2n + 1. A node is cut at a random value of a random feature that
     is not constant in it, until it holds one row, all its rows are equal, or it is at depth
     ``limit``."""
     found: list[tuple] = []
     leaf = np.full(len(x), root, np.int64)
-    todo = [(root, np.arange(len(x)), np.arange(x.shape[1]))]
+    todo = [(root, np.arange(len(x)) if rows is None else rows, np.arange(x.shape[1]))]
     while todo:
         node, rows, places = todo.pop()
         if len(rows) * len(places) <= LEVEL_CELLS:
-            nodes, own = _grow_levels(x[np.ix_(rows, places)], columns[places], seed, tree, limit, node)
+            own = _part(x, rows, places).astype(np.float64, copy=False)
+            nodes, own = _grow_levels(own, columns[places], seed, tree, limit, node)
             found += nodes
             leaf[rows] = own
             continue
         if len(rows) > 1 and node.bit_length() - 1 < limit:
-            part = x[np.ix_(rows, places)]
-            low, high = part.min(axis=0), part.max(axis=0)
+            low, high = _ranges(x, rows, places)
             varied = np.flatnonzero(low < high)
             # What is constant in a node is constant in its children.
             places, low, high = places[varied], low[varied], high[varied]
@@ -162,7 +178,8 @@ def grow_tree(
             leaf[rows] = node
             continue
         feature, threshold = pick_cut(columns[places], low, high, seed, tree, node)
-        goes_left = x[rows, np.searchsorted(columns, feature)] <= threshold
+        # In double precision, whatever the numbers have.
+        goes_left = x[rows, np.searchsorted(columns, feature)] <= np.float64(threshold)
         found.append(([node], [feature], [threshold], [len(rows)]))
         todo.append((2 * node + 1, rows[~goes_left], places))
         todo.append((2 * node, rows[goes_left], places))
@@ -297,6 +314,13 @@ def _hash(seed: int, salt: str, *columns) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *columns), F.lit(HASH))
 
 
+def _pool(n_trees: int, size: int, n_rows: int) -> tuple[float, float]:
+    """The share of all rows that is the pool, and the share of the pool offered to a tree."""
+    share = min(1.0, (4.0 * n_trees * size + 1000) / max(n_rows, 1))
+    pooled = share * n_rows
+    return share, min(1.0, (size + 8.0 * math.sqrt(size) + 16.0) / max(pooled - 8 * math.sqrt(pooled), 1.0))
+
+
 def tree_samples(
     df: DataFrame, row_id: str, n_trees: int, size: int, n_rows: int, seed: int, guests: bool = False
 ) -> DataFrame:
@@ -312,11 +336,8 @@ def tree_samples(
     if size >= n_rows:
         every = df.withColumn("tree", F.explode(trees))
         return every.withColumn("_in", F.lit(True)) if guests else every
-    aim = 4.0 * n_trees * size + 1000
-    share = min(1.0, aim / max(n_rows, 1))
+    share, offer = _pool(n_trees, size, n_rows)
     in_pool = F.lit(True) if share == 1.0 else _hash(seed, "pool", F.col(row_id)) < share * HASH
-    pooled = share * n_rows
-    offer = min(1.0, (size + 8.0 * math.sqrt(size) + 16.0) / max(pooled - 8 * math.sqrt(pooled), 1.0))
     draw = lambda t: _hash(seed, "tree", F.col(row_id), t)
     drawn = {"_draw": draw(F.col("tree")), "_range": F.shiftright(draw(F.col("tree")), 30)}
     if guests:
@@ -476,14 +497,37 @@ def grow_forest(
     table make it, stays a table."""
     n_rows = df.count() if n_rows is None else n_rows
     size = sample_size(n_rows, max_samples)
-    samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed)
-    node_rows = _rows_of_a_task(df, features, dim) if node_rows is None else node_rows
-    nodes = settle(grow_nodes(samples, row_id, features, dim, seed, size, node_rows)[0], "forest-nodes")
+    if node_rows is None and _needs_most_rows(n_trees, size, n_rows) and fits_a_task(df, features, dim, n_rows):
+        nodes = whole_trees(df, dim, row_id, features, n_trees, size, seed, n_rows).nodes(n_trees)
+    else:
+        samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed)
+        node_rows = _rows_of_a_task(df, features, dim) if node_rows is None else node_rows
+        nodes = grow_nodes(samples, row_id, features, dim, seed, size, node_rows)[0]
+    nodes = settle(nodes, "forest-nodes")
     if nodes.count() > (HELD_NODES if held_nodes is None else held_nodes):
         return TableForest(nodes, n_trees, size, dim)
     return Forest(_linked(nodes.toPandas()), size, dim)
 
 
+def _needs_most_rows(n_trees: int, size: int, n_rows: int) -> bool:
+    """Whether large trees draw half of the rows or more."""
+    return n_trees * (2 * size - 1) > HELD_NODES and 2 * size >= n_rows
+
+
+def whole_trees(df: DataFrame, dim: int, row_id: str, features: str, n_trees: int, size: int, seed: int, n_rows: int) -> WholeTrees:
+    """What grows trees over the rows of ``df`` that draw half of them or more, so that all
+    rows are in the pool."""
+    offer = _pool(n_trees, size, n_rows)[1]
+    return WholeTrees(packed_rows(df, row_id, features, seed), n_rows, dim, number_kind(df, features), size, offer, seed)
+
+
+def _held_if_small(forest: Forest | TableForest) -> Forest | TableForest:
+    """The forest held whole, if its nodes are known to be few and are not made yet."""
+    if isinstance(forest, TableForest) and forest.fresh and forest.n_nodes <= HELD_NODES:
+        return Forest(_linked(forest.nodes.toPandas()), forest.sample, forest.dim, forest.offset)
+    return forest
+
+
 def _linked(grown: pd.DataFrame) -> np.ndarray:
     """Nodes 1, 2n, 2n + 1 numbered 0, 1, ... per tree, with their children and depth."""
     grown = grown.sort_values(["tree", "node"], ignore_index=True)
@@ -522,15 +566,21 @@ def grow_and_score(
     seed: int, n_rows: int, node_rows: int | None = None,
 ) -> tuple[Forest | TableForest, DataFrame]:
     """A forest of as many trees as the largest of ``counts``, and the ``trial_scores`` of the
-    rows it was grown from.
+    rows it was grown from. Nodes of trees that are grown whole are made when they are asked
+    for: what tries many settings needs those of one.
 
-    Trees over most rows of a large table meet nearly every row while they grow. There the
+    Trees over most rows of a large table meet nearly every row while they grow: each is grown
+    in one task that holds all rows (``iforest_whole``). Of a table too large for that the
     rows that a tree has not drawn come along as guests: they count for no cut, but end in a
     leaf with the others, so rows move to the trees once and not again to be scored."""
     n_trees, size = max(counts), sample_size(n_rows, max_samples)
-    if n_trees * (2 * size - 1) <= HELD_NODES or 2 * size < n_rows:
+    if not _needs_most_rows(n_trees, size, n_rows):
         forest = grow_forest(df, dim, row_id, features, n_trees, max_samples, seed, n_rows, node_rows or _rows_of_a_task(df, features, dim))
         return forest, trial_scores(df, forest, row_id, features, counts)
+    if node_rows is None and fits_a_task(df, features, dim, n_rows):
+        trees = whole_trees(df, dim, row_id, features, n_trees, size, seed, n_rows)
+        n_nodes, scores = trees.scores(counts, float(average_path(size)) or 1.0)
+        return TableForest(trees.nodes(n_trees), n_trees, size, dim, fresh=trees.nodes, n_nodes=n_nodes), scores
     samples = tree_samples(df.select(row_id, features), row_id, n_trees, size, n_rows, seed, guests=True)
     nodes, paths = grow_nodes(samples, row_id, features, dim, seed, size, node_rows or _rows_of_a_task(df, features, dim))
     if nodes.count() <= HELD_NODES:
@@ -695,4 +745,4 @@ def search_forest(
     win = best_run(table, "run_no", "mean_score", ("n_trees", "max_samples", "offset")).first()
     chosen = next(t for t in trials if t["run_no"] == win["run_no"])
     best = forests[chosen["max_samples"]].first(chosen["n_trees"])
-    return replace(best, offset=win["offset"]), table
+    return _held_if_small(replace(best, offset=win["offset"])), table

@@ -114,8 +114,8 @@ def score_kmeans(
 def score_forest(windows: DataFrame, model: ForestModel, keep: str = "all") -> DataFrame:
     """``window_start_line, anomaly_score, is_anomaly`` by the isolation forest;
     ``keep`` may leave only the normal or only the abnormal windows."""
-    scored = decide(model.tfidf.features(windows, "words"), model.forest)
-    return keep_windows(scored, keep).drop("features", "words")
+    scored = decide(model.tfidf.features(windows, "words").drop("words"), model.forest)
+    return keep_windows(scored, keep).drop("features")
 
 
 def score_encoder(windows: DataFrame, model: EncoderModel) -> DataFrame:
